@@ -16,7 +16,7 @@ WHITESPACE = "".join(
     ]
 )
 # One line end as str.splitlines() sees it.
-LINE_END = r"(?:\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ])"
+LINE_END = r"(?:\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\x{2028}\x{2029}])"
 # Byte-level text back to the letters it stands for.
 BYTELEVEL_REPAIRS = [
     ("Ġ", " "),
