@@ -8,6 +8,7 @@ import zlib
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 
 def _unpacked(data):
@@ -26,17 +27,17 @@ def _decoded(data, charset, errors):
         return None
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def _gunzip(data: pd.Series) -> pd.Series:
     return data.map(_unpacked)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _decode_lossy(data: pd.Series) -> pd.Series:
     return data.map(lambda d: _decoded(d, "utf-8", "ignore"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _decode_as(data: pd.Series, charset: pd.Series) -> pd.Series:
     return pd.Series([_decoded(d, c, "strict") for d, c in zip(data, charset)], dtype="object")
 

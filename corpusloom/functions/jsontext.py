@@ -15,6 +15,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 _MARK = "corpusloom.end.of.line"
 
@@ -47,12 +48,12 @@ def _second_opinion(line, nan):
         return None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _repaired(lines: pd.Series) -> pd.Series:
     return lines.map(lambda s: _second_opinion(s, True))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _repaired_no_nan(lines: pd.Series) -> pd.Series:
     return lines.map(lambda s: _second_opinion(s, False))
 
@@ -134,17 +135,17 @@ def _rewritten(line, rule):
         return None
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ArrayType(StringType()))
 def inline_lines(lines: pd.Series) -> pd.Series:
     return lines.map(lambda s: _rewritten(s, inline_record))
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ArrayType(StringType()))
 def fan_out_lines(lines: pd.Series) -> pd.Series:
     return lines.map(lambda s: _rewritten(s, fan_out_record))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def update_json(lines: pd.Series, patches: pd.Series) -> pd.Series:
     """``dict.update`` on two JSON objects; a null patch leaves the record as it is."""
     return pd.Series(

@@ -37,7 +37,8 @@ def map_rows(df: DataFrame, fn: Callable[[dict], Mapping], schema: str) -> DataF
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame([dict(fn(row)) for row in batch.to_dict("records")])
+            if len(batch):
+                yield pd.DataFrame([dict(fn(row)) for row in batch.to_dict("records")])
 
     return df.mapInPandas(run, schema)
 

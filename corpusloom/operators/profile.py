@@ -80,30 +80,22 @@ def term_postings(df: DataFrame, col: str, id_col: str) -> DataFrame:
 
 
 def term_rows(df: DataFrame, col: str, min_frequency: int = 1) -> DataFrame:
-    """For each word the number of rows it occurs in and its total count."""
-    counted = F.explode(_counted_words(pretokenize_ws(F.col(col))))
-    return (
-        df.select(counted.alias("w"))
-        .groupBy(F.col("w.word").alias("word"))
-        .agg(F.count("*").alias("n_rows"), F.sum("w.n").alias("n"))
-        .where(F.col("n") >= min_frequency)
-    )
-
+    """For each word the number of rows it occurs in and its total count.
 
-def _counted_words(words: Column) -> Column:
-    """Distinct words of one row with their counts: run lengths over the sorted words."""
-    ordered = F.array_sort(words)
-    starts = F.filter(
-        F.sequence(F.lit(0), F.size(ordered) - 1),
-        lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)),
+    Each row contributes its words and, marked, its distinct words, so that one map-side combined
+    aggregation gives both numbers without a shuffle on (word, row).
+    """
+    words = df.select(pretokenize_ws(F.col(col)).alias("words"))
+    marked = F.concat(
+        F.transform("words", lambda w: F.struct(w.alias("word"), F.lit(0).alias("row"))),
+        F.transform(F.array_distinct("words"), lambda w: F.struct(w.alias("word"), F.lit(1).alias("row"))),
     )
-    ends = F.concat(F.slice(starts, 2, F.size(starts)), F.array(F.size(ordered)))
-    runs = F.zip_with(
-        starts,
-        ends,
-        lambda a, b: F.struct(F.get(ordered, a).alias("word"), (b - a).cast("bigint").alias("n")),
+    return (
+        words.select(F.inline(marked))
+        .groupBy("word")
+        .agg(F.sum("row").alias("n_rows"), F.sum(F.lit(1) - F.col("row")).alias("n"))
+        .where(F.col("n") >= min_frequency)
     )
-    return F.when(F.size(words) > 0, runs)
 
 
 def sorted_listing(df: DataFrame, *cols: str | Column) -> DataFrame:

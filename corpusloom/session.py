@@ -64,7 +64,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 def estimated_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate of a plan (file sizes for a plain scan)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def spread(scan: DataFrame) -> DataFrame:
