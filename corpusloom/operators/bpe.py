@@ -65,14 +65,18 @@ class BpeModel:
         return pretokenizer(self.words, self.add_prefix_space)
 
     def vocab_table(self, spark: SparkSession) -> DataFrame:
-        rows = [(t, i, t in self.special) for i, t in enumerate(self.tokens)]
+        special = set(self.special)
+        rows = [(t, i, t in special) for i, t in enumerate(self.tokens)]
         return spark.createDataFrame(rows, "token string, id int, special boolean")
 
     def merge_table(self, spark: SparkSession) -> DataFrame:
         text = self.tokens
-        rows = [(r, text[a], text[b], text[c], c) for r, (a, b, c) in enumerate(self.merges)]
+        rows = [
+            (rank, text[a], text[b], text[c], a, b, c) for rank, (a, b, c) in enumerate(self.merges)
+        ]
         return spark.createDataFrame(
-            rows, "rank int, left string, right string, merged string, id int"
+            rows,
+            "rank int, left string, right string, merged string, left_id int, right_id int, id int",
         )
 
 
@@ -99,9 +103,8 @@ def load_tokenizer(spark: SparkSession, path: str) -> BpeModel:
     if vocab.count() > MAX_VOCAB:
         raise ValueError(f"vocabulary over {MAX_VOCAB} tokens")
     tokens = [r.token for r in vocab.orderBy("id").collect()]
-    ids = {t: i for i, t in enumerate(tokens)}
     rows = spark.read.parquet(f"{path}/merges").orderBy("rank").collect()
-    merges = tuple((ids[r.left], ids[r.right], r.id) for r in rows)
+    merges = tuple((r.left_id, r.right_id, r.id) for r in rows)
     options = spark.read.parquet(f"{path}/options").first()
     return BpeModel(tuple(tokens), merges, tuple(options.special), options.words, options.add_prefix_space)
 

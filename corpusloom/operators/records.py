@@ -109,11 +109,20 @@ def keep_type(df: DataFrame, rest: Sequence[str]) -> str:
     return f"struct<{fields}>"
 
 
+def rewrite_lines(df: DataFrame, col: str = "raw", fan_out: bool = False) -> DataFrame:
+    """Open-schema JSON lines with their rewritten lines in ``lines``, null for an unusable line.
+
+    A line is unusable when it is malformed, or when its value does not allow the key test (a bare
+    number).
+    """
+    return df.withColumn("lines", (fan_out_lines if fan_out else inline_lines)(F.col(col)))
+
+
 def qa_inline_lines(df: DataFrame, col: str = "raw") -> DataFrame:
-    """Open-schema JSON lines: every valid line, pairs rewritten; malformed lines drop out."""
-    return df.select(F.explode(inline_lines(col)).alias(col))
+    """Every usable line, pairs rewritten."""
+    return rewrite_lines(df.select(col), col).select(F.explode("lines").alias(col))
 
 
 def qa_fan_out_lines(df: DataFrame, col: str = "raw") -> DataFrame:
-    """Open-schema JSON lines: pairs become two lines, lines without ``content`` drop out."""
-    return df.select(F.explode(fan_out_lines(col)).alias(col))
+    """Pairs become two lines, lines without ``content`` drop out."""
+    return rewrite_lines(df.select(col), col, fan_out=True).select(F.explode("lines").alias(col))

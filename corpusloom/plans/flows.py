@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.text import single_line
 from corpusloom.operators.bpe import BpeModel, bpe_train, load_tokenizer, save_tokenizer
-from corpusloom.operators.records import content_of_lines, drop_empty_blob, qa_fan_out_lines, qa_inline_lines
+from corpusloom.operators.records import content_of_lines, drop_empty_blob, rewrite_lines
 from corpusloom.operators.tokens import MAX_LENGTH, encode
 from corpusloom.session import spread, written
 from corpusloom.sources.blobs import hydrate_blobs, join_blob_store, scan_blob_store
@@ -75,11 +75,12 @@ def corpus_to_tokens(
     return model
 
 
-def repair_records(spark: SparkSession, path: str, out: str, dead_letters: str | None = None, fan_out: bool = True) -> None:
-    """Question/answer lines to content lines; malformed lines go to their own output."""
-    lines = spread(scan_lines(spark, path))
-    rewritten = qa_fan_out_lines(lines) if fan_out else qa_inline_lines(lines)
-    write_lines(rewritten, out, mode="overwrite")
+def repair_records(
+    spark: SparkSession, path: str, out: str, dead_letters: str | None = None, fan_out: bool = True
+) -> None:
+    """Question/answer lines to content lines; unusable lines go to their own output."""
+    lines = rewrite_lines(spread(scan_lines(spark, path)), "raw", fan_out)
     if dead_letters is not None:
-        bad = split_dead_letter(scan_jsonl(spark, path))[1]
-        write_lines(bad, dead_letters, mode="overwrite")
+        lines = written(lines, "rewritten")
+        write_lines(lines.where(F.col("lines").isNull()), dead_letters, mode="overwrite")
+    write_lines(lines.select(F.explode("lines").alias("raw")), out, mode="overwrite")

@@ -80,10 +80,17 @@ def hydrate_blobs(
 
 
 def scan_blob_store(spark, path) -> DataFrame:
-    """Stored blobs as ``blob_id, data``; the id is the file name up to its first dot."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    name = F.element_at(F.split("path", "/"), -1)
-    return files.select(F.substring_index(name, ".", 1).alias("blob_id"), F.col("content").alias("data"))
+    """Stored blobs as ``blob_id, data``.
+
+    The id is the ``blob_id=`` folder when the store is laid out that way, else the file name up to
+    its first dot.
+    """
+    files = spark.read.format("binaryFile").load(path)
+    if "blob_id" in files.columns:
+        blob_id = F.col("blob_id").cast("string")
+    else:
+        blob_id = F.substring_index(F.element_at(F.split("path", "/"), -1), ".", 1)
+    return files.select(blob_id.alias("blob_id"), F.col("content").alias("data"))
 
 
 def join_blob_store(manifest: DataFrame, store: DataFrame, charset: str | None = None) -> DataFrame:

@@ -16,7 +16,7 @@ def stream_lines(
     spark: SparkSession,
     in_dir: str,
     max_files_per_trigger: int | None = None,
-    max_bytes_per_trigger: str | None = None,
+    max_bytes_per_trigger: int | None = None,
 ) -> DataFrame:
     """JSON lines of a growing folder as ``raw``; the two limits bound one micro-batch."""
     reader = spark.readStream.format("text")
@@ -34,7 +34,7 @@ def incremental_corpus(
     checkpoint: str,
     model: BpeModel | None = None,
     max_files_per_trigger: int | None = None,
-    max_bytes_per_trigger: str | None = None,
+    max_bytes_per_trigger: int | None = None,
     max_length: int | None = MAX_LENGTH,
 ) -> StreamingQuery:
     """Clean, and with a model encode, the new files of ``in_dir`` into JSON lines in ``out_dir``.
