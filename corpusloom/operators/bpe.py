@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import heapq
 from collections import defaultdict
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -44,7 +44,6 @@ DIGEST_PIECE = 256
 # Working ids: a character is its code point, merges follow, special tokens come before. The order
 # of working ids equals the order of the final ids.
 _FIRST_MERGE = 0x110000
-_WORDS_SCHEMA = "symbols array<int>, n bigint"
 # A vocabulary larger than this is refused rather than brought to the driver.
 MAX_VOCAB = 2_000_000
 
@@ -152,36 +151,35 @@ def pair_counts(words: DataFrame, symbols: str = "symbols", n: str = "n") -> Dat
     )
 
 
-def _pair_keys(flat: np.ndarray) -> np.ndarray:
-    wide = flat.astype(np.int64)
-    return (wide[:-1] << 32) | (wide[1:] & 0xFFFFFFFF)
-
-
-def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+def _flat(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray]:
+    """All symbols of a batch one after the other, and where each word ends."""
     column = batch.column("symbols")
-    flat = column.flatten().to_numpy(zero_copy_only=False)
     lengths = column.value_lengths().to_numpy(zero_copy_only=False)
-    return flat, np.concatenate(([0], np.cumsum(lengths)))
+    return column.flatten(), np.concatenate(([0], np.cumsum(lengths)))
 
 
-def _hot_joints(flat: np.ndarray, ends: np.ndarray, hot: np.ndarray) -> np.ndarray:
+def _hot_joints(flat: pa.Array, ends: np.ndarray, hot: Sequence[tuple]) -> np.ndarray:
     """For each place between two symbols, whether it is a hot pair inside one word."""
     if len(flat) < 2:
-        return np.zeros(max(len(flat) - 1, 0), dtype=bool)
-    joints = np.isin(_pair_keys(flat), hot)
+        return np.zeros(0, dtype=bool)
+    coded = flat.dictionary_encode()
+    code = {symbol: c for c, symbol in enumerate(coded.dictionary.to_pylist())}
+    width = len(code)
+    keys = [code[a] * width + code[b] for a, b in hot if a in code and b in code]
+    codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    joints = np.isin(codes[:-1] * width + codes[1:], np.array(keys, dtype=np.int64))
     inner = ends[1:-1]
     joints[inner[(inner > 0) & (inner < len(flat))] - 1] = False
     return joints
 
 
-def hot_pieces(words: DataFrame, hot: Sequence[tuple[int, int]]) -> DataFrame:
+def hot_pieces(words: DataFrame, hot: Sequence[tuple]) -> DataFrame:
     """Words cut at every pair that is not hot, pieces of one symbol left out, equal pieces summed."""
-    hot_keys = np.array([(a << 32) | (b & 0xFFFFFFFF) for a, b in hot], dtype=np.int64)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             flat, ends = _flat(batch)
-            joints = _hot_joints(flat, ends, hot_keys)
+            joints = _hot_joints(flat, ends, hot)
             edges = np.diff(np.concatenate(([False], joints, [False])).astype(np.int8))
             first, last = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
             size = last - first + 1
@@ -189,16 +187,17 @@ def hot_pieces(words: DataFrame, hot: Sequence[tuple[int, int]]) -> DataFrame:
             places = np.arange(stops[-1]) + np.repeat(first - stops[:-1], size)
             owner = np.searchsorted(ends, first, side="right") - 1
             counts = batch.column("n").to_numpy(zero_copy_only=False)[owner]
-            pieces = pa.ListArray.from_arrays(
-                pa.array(stops, pa.int32()), pa.array(flat[places].astype(np.int32), pa.int32())
-            )
+            pieces = pa.ListArray.from_arrays(pa.array(stops, pa.int32()), flat.take(pa.array(places)))
             yield pa.RecordBatch.from_arrays([pieces, pa.array(counts, pa.int64())], ["symbols", "n"])
 
-    return words.mapInArrow(cut, _WORDS_SCHEMA).groupBy("symbols").agg(F.sum("n").alias("n"))
+    return words.mapInArrow(cut, words.schema).groupBy("symbols").agg(F.sum("n").alias("n"))
+
 
+def merge_symbols(symbols: list, ranks: Mapping[tuple, tuple]) -> list:
+    """Apply merges to one word, lowest rank first, left to right.
 
-def merge_symbols(symbols: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """Apply merges to one word, lowest rank first, left to right."""
+    ``ranks`` gives rank and merged symbol of each pair.
+    """
     while len(symbols) > 1:
         present = [ranks[p] for p in zip(symbols, symbols[1:]) if p in ranks]
         if not present:
@@ -216,29 +215,53 @@ def merge_symbols(symbols: list[int], ranks: dict[tuple[int, int], tuple[int, in
     return symbols
 
 
-def apply_merges(words: DataFrame, merges: Sequence[Merge]) -> DataFrame:
-    """Words after the given merges; fully merged words leave the table."""
+def apply_merges(words: DataFrame, merges: Sequence[tuple]) -> DataFrame:
+    """Words after the given merges ``(left, right, merged)``; fully merged words leave the table."""
     ranks = {(a, b): (r, c) for r, (a, b, c) in enumerate(merges)}
-    hot_keys = np.array([(a << 32) | (b & 0xFFFFFFFF) for a, b, _ in merges], dtype=np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             flat, ends = _flat(batch)
-            joints = _hot_joints(flat, ends, hot_keys)
-            touched = set((np.searchsorted(ends, np.flatnonzero(joints), side="right") - 1).tolist())
+            joints = np.flatnonzero(_hot_joints(flat, ends, list(ranks)))
+            touched = set((np.searchsorted(ends, joints, side="right") - 1).tolist())
             lists = batch.column("symbols").to_pylist()
             merged = [merge_symbols(s, ranks) if i in touched else s for i, s in enumerate(lists)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(merged, pa.list_(pa.int32())), batch.column("n")], ["symbols", "n"]
-            )
+            symbols = pa.array(merged, pa.list_(flat.type))
+            yield pa.RecordBatch.from_arrays([symbols, batch.column("n")], ["symbols", "n"])
+
+    return words.mapInArrow(run, words.schema).where(F.size("symbols") > 1)
+
+
+class MergeRule:
+    """What a merge loop counts, how it ranks pairs, and when it stops."""
+
+    min_count = 1
+
+    def pairs(self, symbols: list) -> list[tuple]:
+        """The pairs of a word that count."""
+        return list(zip(symbols, symbols[1:]))
 
-    return words.mapInArrow(run, _WORDS_SCHEMA).where(F.size("symbols") > 1)
+    def rank(self, n: int, pair: tuple) -> tuple:
+        """Sort key of a pair, best first."""
+        raise NotImplementedError
 
+    def allowed(self, pair: tuple) -> bool:
+        return True
 
-class _Vocabulary:
+    def merge(self, pair: tuple):
+        """The merged symbol and whether the round must end after it; None if it may not merge."""
+        raise NotImplementedError
+
+    def full(self) -> bool:
+        raise NotImplementedError
+
+
+class _BpeRule(MergeRule):
     """Token texts by working id, on the driver; at most ``vocab_size`` entries."""
 
-    def __init__(self, special: Sequence[str], chars: Sequence[str]):
+    def __init__(self, special: Sequence[str], chars: Sequence[str], vocab_size: int, min_count: int):
+        self.vocab_size = vocab_size
+        self.min_count = min_count
         self.special = list(special)
         self.text = {i - len(special): t for i, t in enumerate(special)}
         self.ids = {t: i for i, t in self.text.items()}
@@ -248,12 +271,11 @@ class _Vocabulary:
             self.ids[c] = ord(c)
         self.new: list[str] = []
 
-    def __len__(self) -> int:
-        return len(self.ids)
+    def rank(self, n, pair):
+        return (-n, *pair)
 
-    def merged(self, left: int, right: int) -> tuple[int, bool]:
-        """The id of the joined text, and whether that text was already a token."""
-        joined = self.text[left] + self.text[right]
+    def merge(self, pair):
+        joined = self.text[pair[0]] + self.text[pair[1]]
         if joined in self.ids:
             return self.ids[joined], True
         new = _FIRST_MERGE + len(self.new)
@@ -262,68 +284,71 @@ class _Vocabulary:
         self.ids[joined] = new
         return new, False
 
+    def full(self):
+        return len(self.ids) >= self.vocab_size
+
     def final(self, merges: Sequence[Merge]) -> tuple[tuple[str, ...], tuple[Merge, ...]]:
         tokens = (*self.special, *self.chars, *self.new)
         number = {self.ids[t]: i for i, t in enumerate(tokens)}
         return tokens, tuple((number[a], number[b], number[c]) for a, b, c in merges)
 
 
-def _rank_key(n: int, pair: tuple[int, int]) -> tuple[int, int, int]:
-    return (-n, *pair)
-
-
-def _settle(pieces, floor, vocab: _Vocabulary, vocab_size: int, min_count: int) -> tuple[list[Merge], bool]:
+def settle(digest, floor: tuple | None, rule: MergeRule) -> tuple[list[tuple], bool]:
     """Merges in order, worked out on the digest, and whether training is over.
 
-    ``floor`` is the rank key of the best pair outside the digest, or None.
+    ``floor`` is the rank of the best pair outside the digest, or None.
     """
-    words = [list(s) for s, _ in pieces]
-    weight = [n for _, n in pieces]
-    counts: dict[tuple[int, int], int] = defaultdict(int)
-    where: dict[tuple[int, int], set[int]] = defaultdict(set)
+    words = [list(s) for s, _ in digest]
+    weight = [n for _, n in digest]
+    counts: dict[tuple, int] = defaultdict(int)
+    where: dict[tuple, set[int]] = defaultdict(set)
     for i, symbols in enumerate(words):
-        for pair in zip(symbols, symbols[1:]):
+        for pair in rule.pairs(symbols):
             counts[pair] += weight[i]
             where[pair].add(i)
-    heap = [_rank_key(n, pair) for pair, n in counts.items()]
+    heap = [(rule.rank(n, pair), pair) for pair, n in counts.items() if rule.allowed(pair)]
     heapq.heapify(heap)
-    merges: list[Merge] = []
+    merges: list[tuple] = []
     while heap:
-        if len(vocab) >= vocab_size:
+        if rule.full():
             return merges, True
-        key = heapq.heappop(heap)
-        pair = key[1:]
-        if counts[pair] != -key[0]:
-            if counts[pair] > 0:
-                heapq.heappush(heap, _rank_key(counts[pair], pair))
+        key, pair = heapq.heappop(heap)
+        n = counts[pair]
+        if -key[0] != n:
+            if n > 0:
+                heapq.heappush(heap, (rule.rank(n, pair), pair))
             continue
-        if -key[0] < min_count:
+        if n < rule.min_count:
             break
         if floor is not None and key > floor:
             return merges, False
-        new, reused = vocab.merged(*pair)
+        outcome = rule.merge(pair)
+        if outcome is None:
+            continue
+        new, last = outcome
         merges.append((*pair, new))
-        if reused:
-            return merges, False
-        rule = {pair: (0, new)}
+        if last:
+            return merges, rule.full()
+        ranks = {pair: (0, new)}
         raised = set()
         for i in where.pop(pair):
             old = words[i]
-            words[i] = merge_symbols(old, rule)
-            for p in zip(old, old[1:]):
+            words[i] = merge_symbols(old, ranks)
+            for p in rule.pairs(old):
                 counts[p] -= weight[i]
-            for p in zip(words[i], words[i][1:]):
+            for p in rule.pairs(words[i]):
                 counts[p] += weight[i]
                 where[p].add(i)
                 if new in p:
                     raised.add(p)
         counts[pair] = 0
         for p in raised:
-            heapq.heappush(heap, _rank_key(counts[p], p))
+            if rule.allowed(p):
+                heapq.heappush(heap, (rule.rank(counts[p], p), p))
     return merges, floor is None
 
 
-class _WordTable:
+class WordTable:
     """The word table of the current round, kept in two alternating folders.
 
     A round reads one folder and writes the other, so a lost executor only repeats tasks and old
@@ -339,14 +364,14 @@ class _WordTable:
     def _write(self, words: DataFrame) -> None:
         path = f"{self.base}/{self.slot}"
         words.write.mode("overwrite").parquet(path)
-        self.words = self.spark.read.schema(_WORDS_SCHEMA).parquet(path)
+        self.words = self.spark.read.schema(words.schema).parquet(path)
         self.slot = 1 - self.slot
 
-    def merge(self, merges: Sequence[Merge]) -> None:
+    def merge(self, merges: Sequence[tuple]) -> None:
         self._write(apply_merges(self.words, merges))
 
 
-def _digest(words: DataFrame, hot: list[tuple[int, int]]):
+def _digest(words: DataFrame, hot: list[tuple]):
     """The digest as a list, or None when it is over its fixed size."""
     rows = (
         hot_pieces(words, hot)
@@ -359,6 +384,44 @@ def _digest(words: DataFrame, hot: list[tuple[int, int]]):
     return [(r.symbols, r.n) for r in rows]
 
 
+def merge_rounds(
+    state: WordTable,
+    rule: MergeRule,
+    best_pairs: Callable[[DataFrame, int, bool], list],
+    merges_per_round: int,
+) -> list[tuple]:
+    """Rounds until the rule is satisfied.
+
+    ``best_pairs(words, k, mergeable)`` returns the ``k`` best rows ``left, right, n`` in rank order,
+    with ``mergeable`` only those that the rule would merge.
+    """
+    merges: list[tuple] = []
+    width = merges_per_round
+    while not rule.full():
+        done = None
+        if width > 1:
+            best = best_pairs(state.words, width + 1, False)
+            pairs = [(r.left, r.right) for r in best]
+            digest = _digest(state.words, pairs[:width]) if best else []
+            if digest is None:
+                width = max(width // 4, 1)
+                continue
+            floor = rule.rank(best[width].n, pairs[width]) if len(best) > width else None
+            done, finished = settle(digest, floor, rule)
+        if not done and (width == 1 or not finished):
+            # One merge needs no digest: it is the best pair.
+            one = best_pairs(state.words, 1, True)
+            finished = not one
+            done = [(p, rule.merge(p)[0]) for p in ((r.left, r.right) for r in one)]
+            done = [(*p, new) for p, new in done]
+        merges += done
+        if finished:
+            break
+        state.merge(done)
+        width = min(width * 2, merges_per_round)
+    return merges
+
+
 def learn_merges(
     words: DataFrame,
     vocab_size: int,
@@ -371,43 +434,17 @@ def learn_merges(
     ``merges_per_round`` is the most pairs looked at in one round; 1 is the plain one-merge loop.
     """
     chars = [r.symbol for r in characters(words).select("symbol").orderBy("symbol").collect()]
-    vocab = _Vocabulary(special, chars)
     min_count = max(min_frequency, 1)
-    merges: list[Merge] = []
-    if len(vocab) >= vocab_size:
-        return vocab.final(merges)
-    state = _WordTable(with_symbols(words).where(F.size("symbols") > 1))
-    width = merges_per_round
-    while len(vocab) < vocab_size:
-        best = (
-            pair_counts(state.words)
-            .where(F.col("n") >= min_count)
-            .orderBy(F.desc("n"), "left", "right")
-            .limit(width + 1)
-            .collect()
-        )
-        if not best:
-            break
-        hot, digest = [], None
-        while width > 1:
-            hot = [(r.left, r.right) for r in best[:width]]
-            digest = _digest(state.words, hot)
-            if digest is not None:
-                break
-            width = max(width // 4, 1)
-        if digest is None:
-            pair = (best[0].left, best[0].right)
-            done_here = [(*pair, vocab.merged(*pair)[0])]
-            finished = False
-        else:
-            floor = _rank_key(best[width].n, (best[width].left, best[width].right)) if len(best) > width else None
-            done_here, finished = _settle(digest, floor, vocab, vocab_size, min_count)
-        merges += done_here
-        if finished:
-            break
-        state.merge(done_here)
-        width = min(width * 2, merges_per_round)
-    return vocab.final(merges)
+    rule = _BpeRule(special, chars, vocab_size, min_count)
+    if rule.full():
+        return rule.final([])
+
+    def best_pairs(state: DataFrame, k: int, mergeable: bool) -> list:
+        counts = pair_counts(state).where(F.col("n") >= min_count)
+        return counts.orderBy(F.desc("n"), "left", "right").limit(k).collect()
+
+    state = WordTable(with_symbols(words).where(F.size("symbols") > 1))
+    return rule.final(merge_rounds(state, rule, best_pairs, merges_per_round))
 
 
 def bpe_train(
