@@ -40,8 +40,12 @@ def to_byte_text(col: Column) -> Column:
 
 
 def from_byte_text(col: Column) -> Column:
-    """The UTF-8 bytes behind byte-level text, as binary."""
-    return F.encode(F.translate(col, _SHOWN, _HIDDEN), "ISO-8859-1")
+    """The UTF-8 bytes behind byte-level text, as binary.
+
+    ``translate`` deletes what maps to a zero character, so that one is replaced first.
+    """
+    zeroed = F.replace(col, F.lit(_SHOWN[0]), F.lit(_HIDDEN[0]))
+    return F.encode(F.translate(zeroed, _SHOWN[1:], _HIDDEN[1:]), "ISO-8859-1")
 
 
 def pretokenize_bytes(col: Column, add_prefix_space: bool = True) -> Column:

@@ -35,12 +35,14 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.words import pretokenize_bytes, pretokenize_ws
 from corpusloom.operators.profile import word_counts
-from corpusloom.session import scratch_path, spread
+from corpusloom.session import scratch_path, spread, written
 
 # Special tokens in id order.
 SPECIAL_TOKENS = ("<s>", "<pad>", "</s>", "<unk>", "<mask>")
 DIGEST_ROWS = 20_000
 DIGEST_PIECE = 256
+# Pairs looked at in the first round; later rounds widen while the digest stays small.
+_FIRST_WIDTH = 64
 # Working ids: a character is its code point, merges follow, special tokens come before. The order
 # of working ids equals the order of the final ids.
 _FIRST_MERGE = 0x110000
@@ -360,6 +362,10 @@ class WordTable:
         self.base = scratch_path(self.spark, "bpe-words")
         self.slot = 0
         self._write(words)
+        even = spread(self.words)
+        if even is not self.words:
+            # A small table is written as one or two files; the merges run in Python on all cores.
+            self._write(even)
 
     def _write(self, words: DataFrame) -> None:
         path = f"{self.base}/{self.slot}"
@@ -396,9 +402,9 @@ def merge_rounds(
     with ``mergeable`` only those that the rule would merge.
     """
     merges: list[tuple] = []
-    width = merges_per_round
+    width = min(_FIRST_WIDTH, merges_per_round)
     while not rule.full():
-        done = None
+        done, growth = None, 4
         if width > 1:
             best = best_pairs(state.words, width + 1, False)
             pairs = [(r.left, r.right) for r in best]
@@ -408,6 +414,7 @@ def merge_rounds(
                 continue
             floor = rule.rank(best[width].n, pairs[width]) if len(best) > width else None
             done, finished = settle(digest, floor, rule)
+            growth = 4 if len(digest) * 8 < DIGEST_ROWS else 2
         if not done and (width == 1 or not finished):
             # One merge needs no digest: it is the best pair.
             one = best_pairs(state.words, 1, True)
@@ -415,10 +422,10 @@ def merge_rounds(
             done = [(p, rule.merge(p)[0]) for p in ((r.left, r.right) for r in one)]
             done = [(*p, new) for p, new in done]
         merges += done
-        if finished:
+        if finished or rule.full():
             break
         state.merge(done)
-        width = min(width * 2, merges_per_round)
+        width = min(width * growth, merges_per_round)
     return merges
 
 
@@ -443,7 +450,7 @@ def learn_merges(
         counts = pair_counts(state).where(F.col("n") >= min_count)
         return counts.orderBy(F.desc("n"), "left", "right").limit(k).collect()
 
-    state = WordTable(with_symbols(words).where(F.size("symbols") > 1))
+    state = WordTable(with_symbols(spread(words)).where(F.size("symbols") > 1))
     return rule.final(merge_rounds(state, rule, best_pairs, merges_per_round))
 
 
@@ -462,8 +469,6 @@ def bpe_train(
     ``words='ws'`` splits on word boundaries, ``words='bytes'`` is the byte-level variant.
     """
     counts = word_counts(spread(df.select(col)), col, pretokenize=pretokenizer(words, add_prefix_space))
-    path = scratch_path(df.sparkSession, "bpe-counts")
-    counts.write.parquet(path)
-    stored = df.sparkSession.read.schema("word string, n bigint").parquet(path)
+    stored = written(counts, "bpe-counts")
     tokens, merges = learn_merges(stored, vocab_size, min_frequency, merges_per_round, special)
     return BpeModel(tokens, merges, tuple(special), words, add_prefix_space)

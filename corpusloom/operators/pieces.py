@@ -190,5 +190,6 @@ def train_pieces(
         return counts.orderBy(F.desc("n"), F.length(text), text, "left").limit(k).collect()
 
     if n_merges:
-        merge_rounds(WordTable(mergeable_runs(words, chars, split_digits)), rule, best_pairs, merges_per_round)
+        runs = mergeable_runs(spread(words), chars, split_digits)
+        merge_rounds(WordTable(runs), rule, best_pairs, merges_per_round)
     return PieceModel((*fixed, *rule.pieces, *chars), len(rule.pieces))
