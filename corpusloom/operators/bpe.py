@@ -134,9 +134,17 @@ def alphabet(words: DataFrame, special: Sequence[str] = SPECIAL_TOKENS) -> DataF
     return special_tokens(words.sparkSession, special).unionByName(chars)
 
 
-def with_symbols(words: DataFrame) -> DataFrame:
-    """Words as code points, the starting symbols."""
-    return words.select(F.transform(F.split("word", ""), F.ascii).alias("symbols"), "n")
+def with_symbols(words: DataFrame, special: Sequence[str] = ()) -> DataFrame:
+    """Words as code points, the starting symbols; a one-character special token has its own id."""
+    known = {ord(t): i - len(special) for i, t in enumerate(special) if len(t) == 1}
+
+    def symbol(char: Column) -> Column:
+        code = F.ascii(char)
+        for c, i in known.items():
+            code = F.when(F.ascii(char) == c, i).otherwise(code)
+        return code
+
+    return words.select(F.transform(F.split("word", ""), symbol).alias("symbols"), "n")
 
 
 def pair_counts(words: DataFrame, symbols: str = "symbols", n: str = "n") -> DataFrame:
@@ -450,7 +458,7 @@ def learn_merges(
         counts = pair_counts(state).where(F.col("n") >= min_count)
         return counts.orderBy(F.desc("n"), "left", "right").limit(k).collect()
 
-    state = WordTable(with_symbols(spread(words)).where(F.size("symbols") > 1))
+    state = WordTable(with_symbols(spread(words), special).where(F.size("symbols") > 1))
     return rule.final(merge_rounds(state, rule, best_pairs, merges_per_round))
 
 
