@@ -61,8 +61,11 @@ def _repaired_no_nan(lines: pd.Series) -> pd.Series:
 def with_parsed(df: DataFrame, col: str = "raw", nan: bool = True) -> DataFrame:
     """Add ``parsed`` (variant) and ``is_valid``. ``nan=False`` also refuses ``NaN``/``Infinity``."""
     line = F.col(col)
+    # Not marked for its results but for the plan: a filter on the parsed value would otherwise be
+    # pushed below the parse, and every line would be parsed several times.
+    second_opinion = (_repaired if nan else _repaired_no_nan).asNondeterministic()
     wrapped = F.try_parse_json(F.concat(F.lit("["), line, F.lit(f',"{_MARK}"]')))
-    repaired = (_repaired if nan else _repaired_no_nan)(F.when(~F.col("_whole"), line))
+    repaired = second_opinion(F.when(~F.col("_whole"), line))
     return (
         df.withColumn("_wrapped", wrapped)
         .withColumn(

@@ -233,11 +233,13 @@ def apply_merges(words: DataFrame, merges: Sequence[tuple]) -> DataFrame:
         for batch in batches:
             flat, ends = _flat(batch)
             joints = np.flatnonzero(_hot_joints(flat, ends, list(ranks)))
-            touched = set((np.searchsorted(ends, joints, side="right") - 1).tolist())
-            lists = batch.column("symbols").to_pylist()
-            merged = [merge_symbols(s, ranks) if i in touched else s for i, s in enumerate(lists)]
+            touched = np.zeros(len(batch), dtype=bool)
+            touched[np.searchsorted(ends, joints, side="right") - 1] = True
+            yield batch.filter(pa.array(~touched))
+            changed = batch.filter(pa.array(touched))
+            merged = [merge_symbols(s, ranks) for s in changed.column("symbols").to_pylist()]
             symbols = pa.array(merged, pa.list_(flat.type))
-            yield pa.RecordBatch.from_arrays([symbols, batch.column("n")], ["symbols", "n"])
+            yield pa.RecordBatch.from_arrays([symbols, changed.column("n")], ["symbols", "n"])
 
     return words.mapInArrow(run, words.schema).where(F.size("symbols") > 1)
 
@@ -441,7 +443,7 @@ def learn_merges(
     words: DataFrame,
     vocab_size: int,
     min_frequency: int,
-    merges_per_round: int = 1024,
+    merges_per_round: int = 8192,
     special: Sequence[str] = SPECIAL_TOKENS,
 ) -> tuple[tuple[str, ...], tuple[Merge, ...]]:
     """Tokens and merges from a table ``word, n``.
@@ -467,7 +469,7 @@ def bpe_train(
     col: str = "content",
     vocab_size: int = 8000,
     min_frequency: int = 1,
-    merges_per_round: int = 1024,
+    merges_per_round: int = 8192,
     special: Sequence[str] = SPECIAL_TOKENS,
     words: str = "ws",
     add_prefix_space: bool = True,

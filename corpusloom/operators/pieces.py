@@ -164,7 +164,7 @@ def train_pieces(
     control_symbols: Sequence[str] = CONTROL_SYMBOLS,
     user_symbols: Sequence[str] = USER_SYMBOLS,
     max_line_bytes: int | None = None,
-    merges_per_round: int = 1024,
+    merges_per_round: int = 8192,
 ) -> PieceModel:
     """Learn a piece vocabulary from one text per row.
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.jsontext import update_json
-from corpusloom.session import written
+from corpusloom.session import range_tasks, written
 from corpusloom.sources.files import FILE_ORDER, file_order_columns
 
 _IN_PARTITION = (1 << 33) - 1
@@ -32,11 +32,17 @@ def _offsets(counts: DataFrame, order: list[str]) -> DataFrame:
 
 
 def row_position(df: DataFrame, order, name: str = "row_pos") -> DataFrame:
-    """Add the 0-based position of each row in the given order (which should be unique)."""
-    keys = _columns(order)
+    """Add the 0-based position of each row in the given order; ties keep their input order.
+
+    The running input number is part of the range key, so that one value of the order column may
+    hold any share of the rows and still spread over many tasks.
+    """
+    keys = [*_columns(order), F.col("_input")]
     placed = written(
-        df.repartitionByRange(*keys)
+        df.withColumn("_input", F.monotonically_increasing_id())
+        .repartitionByRange(range_tasks(df), *keys)
         .sortWithinPartitions(*keys)
+        .drop("_input")
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_seq", F.monotonically_increasing_id().bitwiseAND(F.lit(_IN_PARTITION))),
         "row-position",

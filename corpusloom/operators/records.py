@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.jsontext import fan_out_lines, inline_lines, string_field, with_parsed
-from corpusloom.functions.text import is_blank, py_strip, qa_concat
+from corpusloom.functions.text import py_strip, qa_concat
 
 QA_FIELDS = ("question", "response")
 
@@ -23,7 +23,7 @@ def filter_content(df: DataFrame, col: str = "content") -> DataFrame:
     """Rows with a non-blank text. A column that is not a string never qualifies."""
     if dict(df.dtypes)[col] != "string":
         return df.where(F.lit(False))
-    return df.where(F.col(col).isNotNull() & ~is_blank(F.col(col)))
+    return df.where(F.coalesce(py_strip(F.col(col)), F.lit("")) != "")
 
 
 def content_of_lines(scan: DataFrame, key: str = "content") -> DataFrame:
@@ -115,7 +115,9 @@ def rewrite_lines(df: DataFrame, col: str = "raw", fan_out: bool = False) -> Dat
     A line is unusable when it is malformed, or when its value does not allow the key test (a bare
     number).
     """
-    return df.withColumn("lines", (fan_out_lines if fan_out else inline_lines)(F.col(col)))
+    # Marked so that later filters stay above it and the rewriting runs once per line.
+    rule = (fan_out_lines if fan_out else inline_lines).asNondeterministic()
+    return df.withColumn("lines", rule(F.col(col)))
 
 
 def qa_inline_lines(df: DataFrame, col: str = "raw") -> DataFrame:

@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 # An input whose bytes per core fall under this is worth one shuffle to even out its tasks.
 _BYTES_PER_CORE = 2 * 128 * 1024 * 1024
+# A range of sorted rows; the shuffle setting alone would leave huge ones on a large table. The
+# estimate of a plan with joins can be far too high, hence the limit.
+_BYTES_PER_RANGE = 256 * 1024 * 1024
+_MOST_RANGES = 20_000
 
 _local_dirs: dict[str, str] = {}
 
@@ -67,6 +71,12 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
+def range_tasks(df: DataFrame) -> int:
+    """How many tasks a range partitioning of the rows needs, at least the session's setting."""
+    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(wanted, min(estimated_bytes(df) // _BYTES_PER_RANGE, _MOST_RANGES))
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Even out a scan that is too small to fill the cores.
 

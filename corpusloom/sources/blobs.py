@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.blobs import decode_as, decode_lossy, gunzip
 from corpusloom.operators.joins import left_join_unique
+from corpusloom.session import estimated_bytes
 
+# A megabyte of blob ids is some twenty thousand fetches.
+_MANIFEST_BYTES_PER_TASK = 1024 * 1024
 HYDRATED_SCHEMA = "blob_id string, content string, attempts int, error string"
 
 
@@ -58,8 +61,9 @@ def hydrate_blobs(
     """Fetch, gunzip and decode every id; a failed id keeps its row with null content and an error.
 
     Threads overlap the waits inside a task, at most ``inflight`` ids at a time. Ids are spread
-    round-robin, so no id or source can crowd one task. A retried task fetches again; the fetcher
-    must be safe to repeat.
+    round-robin over ``partitions`` tasks, by default about one per megabyte of manifest, so no id
+    or source can crowd one task and a lost task repeats little. A retried task fetches again; the
+    fetcher must be safe to repeat.
     """
 
     def fetch_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -74,9 +78,10 @@ def hydrate_blobs(
                     yield pd.DataFrame(rows, columns=["blob_id", "content", "attempts", "error"])
 
     ids = manifest.select("blob_id")
-    if partitions is not None:
-        ids = ids.repartition(partitions)
-    return ids.mapInPandas(fetch_batches, HYDRATED_SCHEMA)
+    if partitions is None:
+        cores = manifest.sparkSession.sparkContext.defaultParallelism
+        partitions = max(cores, estimated_bytes(ids) // _MANIFEST_BYTES_PER_TASK)
+    return ids.repartition(partitions).mapInPandas(fetch_batches, HYDRATED_SCHEMA)
 
 
 def scan_blob_store(spark, path) -> DataFrame:
