@@ -104,7 +104,10 @@ def load_tokenizer(spark: SparkSession, path: str) -> BpeModel:
     if vocab.count() > MAX_VOCAB:
         raise ValueError(f"vocabulary over {MAX_VOCAB} tokens")
     tokens = [r.token for r in vocab.orderBy("id").collect()]
-    rows = spark.read.parquet(f"{path}/merges").orderBy("rank").collect()
+    merge_rows = spark.read.parquet(f"{path}/merges")
+    if merge_rows.count() > MAX_VOCAB:
+        raise ValueError(f"over {MAX_VOCAB} merges")
+    rows = merge_rows.orderBy("rank").collect()
     merges = tuple((r.left_id, r.right_id, r.id) for r in rows)
     options = spark.read.parquet(f"{path}/options").first()
     return BpeModel(tuple(tokens), merges, tuple(options.special), options.words, options.add_prefix_space)

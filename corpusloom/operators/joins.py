@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.session import in_stable_order
+
 # A key with more rows than this on the many side is split over several tasks.
 HOT_ROWS = 1_000_000
 
@@ -16,8 +18,9 @@ def left_join_unique(left: DataFrame, right: DataFrame, key: str, hot_rows: int
     right row is repeated for each slice, so no task sees more than about ``hot_rows`` rows of a key.
     The list of hot keys has at most ``rows / hot_rows`` entries. All rows are kept.
     """
+    stable = in_stable_order(left)
     hot = (
-        left.where(F.col(key).isNotNull())
+        stable.where(F.col(key).isNotNull())
         .groupBy(key)
         .count()
         .where(F.col("count") > hot_rows)
@@ -26,7 +29,7 @@ def left_join_unique(left: DataFrame, right: DataFrame, key: str, hot_rows: int
     one = F.lit(1)
     # ``hot`` is small by its threshold, so it may be broadcast. Null keys match nothing; they only
     # need to be spread.
-    numbered = left.withColumn("_row", F.monotonically_increasing_id())
+    numbered = stable.withColumn("_row", F.monotonically_increasing_id())
     sliced = numbered.join(F.broadcast(hot), key, "left").withColumn(
         "_slice",
         F.when(F.col(key).isNull(), F.pmod("_row", F.lit(1 << 20)))

@@ -14,14 +14,27 @@ def _newest_first(order: Sequence[str]) -> list[Column]:
     return [F.col(o).desc() for o in order]
 
 
+# Up to this rank Spark trims every group to its newest rows in each task before the shuffle
+# (``spark.sql.optimizer.windowGroupLimitThreshold``).
+_TRIMMED_BY_SPARK = 1000
+_SLICES = 256
+
+
+def _newest(df: DataFrame, by: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(*_newest_first(order)))
+    return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+
+
 def retain_last_n(df: DataFrame, by: Sequence[str], order: Sequence[str], n: int = 5) -> DataFrame:
     """The ``n`` newest rows of each group.
 
-    The rank limit is applied in every task before the shuffle, so a large group sends at most ``n``
-    rows per task.
+    A large group is trimmed before it meets in one task: by Spark for a small ``n``, else in slices
+    first, which keep the ``n`` newest each.
     """
-    rank = F.row_number().over(Window.partitionBy(*by).orderBy(*_newest_first(order)))
-    return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+    if n <= _TRIMMED_BY_SPARK:
+        return _newest(df, by, order, n)
+    sliced = df.withColumn("_slice", F.pmod(F.xxhash64(*order), F.lit(_SLICES)))
+    return _newest(_newest(sliced, [*by, "_slice"], order, n).drop("_slice"), by, order, n)
 
 
 def latest_per_key(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -4,7 +4,15 @@ from __future__ import annotations
 
 from corpusloom.functions.text import BYTELEVEL_REPAIRS, WHITESPACE
 from corpusloom.operators.bpe import SPECIAL_TOKENS
-from corpusloom.plans.queries import BROKEN_SOURCE, PAD_ID, PAD_LEFT, PAD_RIGHT, VOCAB_SIZE
+from corpusloom.operators.pieces import CONTROL_SYMBOLS, MAX_PIECE, USER_SYMBOLS
+from corpusloom.plans.queries import (
+    BROKEN_SOURCE,
+    PAD_ID,
+    PAD_LEFT,
+    PAD_RIGHT,
+    PIECE_VOCAB_SIZE,
+    VOCAB_SIZE,
+)
 
 ORACLES: dict[str, str] = {}
 
@@ -31,7 +39,7 @@ SELECT CASE WHEN {_BROKEN} THEN NULL ELSE doc_id END AS doc_id,
 FROM documents"""
 ORACLES["scan_jsonl_typed"] = f"SELECT doc_id, text AS content FROM documents WHERE NOT {_BROKEN}"
 ORACLES["scan_manifest"] = "SELECT md5(CAST(doc_id AS VARCHAR)) AS blob_id FROM documents"
-ORACLES["list_inputs"] = "SELECT source, CAST(1 AS BIGINT) AS n_files FROM documents GROUP BY source"
+ORACLES["list_inputs"] = "SELECT DISTINCT source FROM documents"
 ORACLES["path_predicate"] = """
 SELECT page_id, url FROM pages WHERE starts_with(url, 'https://') AND ends_with(url, '.html')
 ORDER BY url, page_id"""
@@ -382,6 +390,59 @@ ORACLES["decode_tokens"] = f"""{_ENCODED}{_SPELLED},
 token_of AS (SELECT map_from_entries(list((id, t[ch]))) AS m FROM symbols, spelled)
 SELECT doc_id, array_to_string(list_transform(input_ids[1:512], lambda i: m[i]), ' ') AS content FROM encoded, token_of"""
 
+# The piece vocabulary: marked words, covered characters, runs of one script (the documents are in
+# Latin script), then a recursion with symbols in brackets of two control characters. One row of the
+# recursion keeps the pieces made so far, since a text is made only once.
+_FIXED = [*CONTROL_SYMBOLS, *USER_SYMBOLS]
+_PIECE_CHARS = rf"""
+words AS (
+  SELECT chr(9601) || w AS w, count(*) AS n
+  FROM (SELECT unnest(string_split_regex({_single_line('text')}, '\s+')) AS w FROM documents) WHERE w <> '' GROUP BY w),
+counted AS (SELECT ch, sum(n) AS n FROM (SELECT unnest(string_split(w, '')) AS ch, n FROM words) GROUP BY ch),
+ranked AS (
+  SELECT ch, n, row_number() OVER (ORDER BY n DESC, ch) - 1 AS rank,
+         coalesce(sum(n) OVER (ORDER BY n DESC, ch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+           / (SELECT sum(n) FROM counted) AS share
+  FROM counted),
+chars AS (SELECT ch, n, rank FROM ranked WHERE CAST(share AS FLOAT) < CAST(0.9995 AS FLOAT))"""
+ORACLES["piece_characters"] = f"""
+WITH {_PIECE_CHARS} SELECT ch AS symbol, CAST(n AS BIGINT) AS n, rank FROM chars"""
+ORACLES["piece_vocab"] = rf"""
+WITH RECURSIVE {_PIECE_CHARS},
+runs AS (
+  SELECT unnest(regexp_extract_all(w, '[0-9]|' || chr(9601) || '?(?:\p{{Latin}}+|[^\p{{Latin}}0-9' || chr(9601) || ']+)|'
+                                      || chr(9601))) AS run, n FROM words),
+cut AS (
+  SELECT unnest(string_split(array_to_string(list_transform(string_split(run, ''),
+           lambda c: CASE WHEN list_contains(known, c) THEN c ELSE chr(1) END), ''), chr(1))) AS part, n
+  FROM runs, (SELECT list(ch) AS known FROM chars)),
+merging AS (
+  SELECT 0 AS step, 0 AS kind, chr(2) || array_to_string(string_split(part, ''), chr(3) || chr(2)) || chr(3) AS s,
+         sum(n) AS n FROM cut WHERE length(part) > 1 GROUP BY part
+  UNION ALL SELECT 0, 1, chr(4), 0
+  UNION ALL
+  SELECT merging.step + 1, kind,
+         CASE WHEN kind = 1 THEN s || best.l || best.r || chr(4)
+              ELSE replace(s, chr(2) || l || chr(3) || chr(2) || r || chr(3), chr(2) || l || r || chr(3)) END, merging.n
+  FROM merging, (
+    SELECT l, r FROM (
+      SELECT symbols[i] AS l, symbols[i + 1] AS r, n FROM (
+        SELECT symbols, n, unnest(range(1, len(symbols))) AS i FROM (
+          SELECT string_split(substr(s, 2, CAST(length(s) - 2 AS BIGINT)), chr(3) || chr(2)) AS symbols, n
+          FROM merging WHERE kind = 0))),
+      (SELECT s AS made FROM merging WHERE kind = 1)
+    WHERE length(l || r) <= {MAX_PIECE} AND NOT contains(made, chr(4) || l || r || chr(4))
+    GROUP BY l, r ORDER BY sum(n) DESC, length(l || r), l || r, l LIMIT 1) best
+  WHERE merging.step < {PIECE_VOCAB_SIZE} - {len(_FIXED) + 256} - (SELECT count(*) FROM chars)),
+made AS (
+  SELECT string_split(substr(s, 2, CAST(length(s) - 2 AS BIGINT)), chr(4)) AS pieces FROM merging WHERE kind = 1
+  ORDER BY step DESC LIMIT 1)
+SELECT piece, CAST(id AS BIGINT) AS id FROM (VALUES {", ".join(f"({i}, '{t}')" for i, t in enumerate(_FIXED))}) t(id, piece)
+UNION ALL SELECT printf('<0x%02X>', b), b + {len(_FIXED)} FROM range(256) t(b)
+UNION ALL SELECT pieces[i], i + {len(_FIXED) + 255}
+FROM (SELECT pieces, unnest(range(1, len(pieces) + 1)) AS i FROM made)
+UNION ALL SELECT ch, rank + {len(_FIXED) + 256} + (SELECT len(pieces) FROM made) FROM chars"""
+
 # --- streaming
 
 _KEPT = f"NOT {_BROKEN} AND trim(text, {_WS}) <> ''"

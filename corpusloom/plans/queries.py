@@ -19,12 +19,13 @@ from corpusloom.functions import text as ftext
 from corpusloom.functions.clock import format_stamp, parse_stamp
 from corpusloom.functions.jsontext import string_field, to_json_line, with_parsed
 from corpusloom.functions.words import pretokenize_bytes, pretokenize_ws, to_byte_text
-from corpusloom.operators import bpe, mapping, positions, profile, records, runlog, tokens
+from corpusloom.operators import bpe, mapping, pieces, positions, profile, records, runlog, tokens
 from corpusloom.session import scratch_path, spread
 from corpusloom.sources import blobs, catalog, files, sinks
 from corpusloom.streaming.intake import incremental_corpus, incremental_dead_letters
 
 VOCAB_SIZE = 300
+PIECE_VOCAB_SIZE = 480
 PAD_ID = 1
 # Whitespace that plain trimming leaves: no-break space, em space, file and unit separator, wide space.
 PAD_LEFT = " \t" + chr(0xA0) + chr(0x2003)
@@ -126,13 +127,10 @@ def scan_manifest(spark, sf_dir):
 @query
 def list_inputs(spark, sf_dir):
     path = scratch_path(spark, "listing")
-    table(spark, sf_dir, "documents").select("doc_id", "source").repartition("source").write.partitionBy(
-        "source"
-    ).parquet(path)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    docs.write.partitionBy("source").parquet(path)
     found = files.list_inputs(spark, f"{path}/*", "part-", ".parquet")
-    return found.groupBy(F.regexp_extract("path", "source=([^/]+)", 1).alias("source")).agg(
-        F.count("*").alias("n_files")
-    )
+    return found.select(F.regexp_extract("path", "source=([^/]+)", 1).alias("source")).distinct()
 
 
 @query
@@ -186,10 +184,14 @@ def hydrate_blobs(spark, sf_dir):
 
 def _blob_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """All documents as the manifest; the labelled ones, once per content, as the store."""
-    docs = documents(spark, sf_dir, "doc_id", "text").withColumn("blob_id", F.md5(text_bytes(F.col("text"))))
-    labelled = docs.join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
-    store = labelled.dropDuplicates(["blob_id"]).select("blob_id", _gzipped(text_bytes(F.col("text"))).alias("data"))
-    return docs.select("doc_id", "blob_id"), store
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.md5(text_bytes(F.col("text"))).alias("blob_id")
+    )
+    labels = table(spark, sf_dir, "labels").select("doc_id")
+    store = docs.join(labels, "doc_id", "left_semi").dropDuplicates(["blob_id"])
+    return docs.select("doc_id", "blob_id"), store.select(
+        "blob_id", _gzipped(text_bytes(F.col("text"))).alias("data")
+    )
 
 
 @query
@@ -699,6 +701,22 @@ def bpe_vocab_bytes(spark, sf_dir):
     return trained(spark, sf_dir, "bytes").vocab_table(spark).select("token", F.col("id").cast("bigint").alias("id"))
 
 
+def _text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents(spark, sf_dir, "text").select(ftext.single_line(F.col("text")).alias("content"))
+
+
+@query
+def piece_characters(spark, sf_dir):
+    chars = pieces.covered_characters(pieces.marked_words(_text_lines(spark, sf_dir), "content"))
+    return chars.select("symbol", "n", F.col("rank").cast("bigint").alias("rank"))
+
+
+@query
+def piece_vocab(spark, sf_dir):
+    model = pieces.train_pieces(_text_lines(spark, sf_dir), "content", PIECE_VOCAB_SIZE)
+    return model.table(spark).select("piece", F.col("id").cast("bigint").alias("id"))
+
+
 def _encoded(spark: SparkSession, sf_dir: str, max_length: int | None) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text")
     return tokens.encode(docs, "text", trained(spark, sf_dir), max_length).select("doc_id", "input_ids")

@@ -13,6 +13,8 @@ _BYTES_PER_CORE = 2 * 128 * 1024 * 1024
 # estimate of a plan with joins can be far too high, hence the limit.
 _BYTES_PER_RANGE = 256 * 1024 * 1024
 _MOST_RANGES = 20_000
+# Spark's estimate for rows it knows nothing about is the largest long.
+_UNKNOWN_BYTES = 1 << 60
 
 _local_dirs: dict[str, str] = {}
 
@@ -66,15 +68,27 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of a plan (file sizes for a plain scan)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+def in_stable_order(df: DataFrame) -> DataFrame:
+    """The rows in an order that repeats when a task is run again.
+
+    Running numbers decide where a row goes; after a shuffle the row order may change when a lost
+    task is repeated, and a row could then be lost or doubled. A frame that shuffles is therefore
+    written first. One that only scans and maps is returned as it is.
+    """
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return written(df, "stable-order") if "Exchange" in plan else df
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of a plan (file sizes for a plain scan), None when unknown."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return None if size >= _UNKNOWN_BYTES else size
 
 
 def range_tasks(df: DataFrame) -> int:
     """How many tasks a range partitioning of the rows needs, at least the session's setting."""
-    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(wanted, min(estimated_bytes(df) // _BYTES_PER_RANGE, _MOST_RANGES))
+    setting = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(setting, min((estimated_bytes(df) or 0) // _BYTES_PER_RANGE, _MOST_RANGES))
 
 
 def spread(scan: DataFrame) -> DataFrame:
@@ -85,6 +99,7 @@ def spread(scan: DataFrame) -> DataFrame:
     shuffle.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    if estimated_bytes(scan) >= cores * _BYTES_PER_CORE:
+    size = estimated_bytes(scan)
+    if size is None or size >= cores * _BYTES_PER_CORE:
         return scan
     return scan.repartition(cores)

@@ -80,7 +80,7 @@ def hydrate_blobs(
     ids = manifest.select("blob_id")
     if partitions is None:
         cores = manifest.sparkSession.sparkContext.defaultParallelism
-        partitions = max(cores, estimated_bytes(ids) // _MANIFEST_BYTES_PER_TASK)
+        partitions = max(cores, (estimated_bytes(ids) or 0) // _MANIFEST_BYTES_PER_TASK)
     return ids.repartition(partitions).mapInPandas(fetch_batches, HYDRATED_SCHEMA)
 
 

@@ -38,6 +38,12 @@ def test_run_log(spark, tmp_path):
     assert sampled == [("r1", 500, 0.0), ("r1", 1000, 0.5), ("r1", 1500, 0.4), ("r2", 500, 0.9)]
 
 
+def test_many_kept_rows(spark):
+    frame = spark.range(6000).select((F.col("id") % 2).alias("run"), F.col("id").alias("ts"))
+    got = runlog.retain_last_n(frame, ["run"], ["ts"], 1500).collect()
+    assert sorted(r.ts for r in got) == list(range(3000, 6000))
+
+
 def test_resume(spark):
     states = spark.createDataFrame(STATES, SCHEMA)
     names = [("r1", "checkpoint-1600"), ("r1", "checkpoint-90"), ("r1", "checkpoint-abc"), ("r2", "checkpoint-500"), ("r4", "checkpoint-3"), ("r3", "runs")]
@@ -59,6 +65,12 @@ def test_rank_limit_runs_before_the_shuffle(spark, tmp_path):
     assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
 
 
+def test_listing_is_stable(spark):
+    frame = spark.createDataFrame([(2, "b"), (1, "z"), (2, "a"), (1, "y")], "k int, v string").coalesce(1)
+    got = [(r.k, r.v) for r in profile.sorted_listing(frame, "k").collect()]
+    assert got == [(1, "z"), (1, "y"), (2, "b"), (2, "a")]
+
+
 def test_term_rows_and_counters(spark):
     docs = spark.createDataFrame([(1, "Selam nasılsın iyimisin"), (2, "Selam kötüyüm selam Selam"), (3, "...")], "id int, t string")
     got = {r.word: (r.n_rows, r.n) for r in profile.term_rows(docs, "t", 2).collect()}
