@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import heapq
 from collections import defaultdict
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.words import pretokenize_bytes, pretokenize_ws
+from corpusloom.operators.merging import MergeTable, merge_words
 from corpusloom.operators.profile import word_counts
 from corpusloom.session import scratch_path, spread, written
 
@@ -206,43 +207,35 @@ def hot_pieces(words: DataFrame, hot: Sequence[tuple]) -> DataFrame:
     return words.mapInArrow(cut, words.schema).groupBy("symbols").agg(F.sum("n").alias("n"))
 
 
-def merge_symbols(symbols: list, ranks: Mapping[tuple, tuple]) -> list:
-    """Apply merges to one word, lowest rank first, left to right.
-
-    ``ranks`` gives rank and merged symbol of each pair.
-    """
-    while len(symbols) > 1:
-        present = [ranks[p] for p in zip(symbols, symbols[1:]) if p in ranks]
-        if not present:
-            break
-        best = min(present)
-        out, i = [], 0
-        while i < len(symbols):
-            if i + 1 < len(symbols) and ranks.get((symbols[i], symbols[i + 1])) == best:
-                out.append(best[1])
-                i += 2
-            else:
-                out.append(symbols[i])
-                i += 1
-        symbols = out
-    return symbols
+def join_pair(symbols: list, pair: tuple, merged) -> list:
+    """One merge in one word, left to right."""
+    out, i = [], 0
+    while i < len(symbols):
+        if i + 1 < len(symbols) and (symbols[i], symbols[i + 1]) == pair:
+            out.append(merged)
+            i += 2
+        else:
+            out.append(symbols[i])
+            i += 1
+    return out
 
 
 def apply_merges(words: DataFrame, merges: Sequence[tuple]) -> DataFrame:
     """Words after the given merges ``(left, right, merged)``; fully merged words leave the table."""
-    ranks = {(a, b): (r, c) for r, (a, b, c) in enumerate(merges)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             flat, ends = _flat(batch)
-            joints = np.flatnonzero(_hot_joints(flat, ends, list(ranks)))
-            touched = np.zeros(len(batch), dtype=bool)
-            touched[np.searchsorted(ends, joints, side="right") - 1] = True
-            yield batch.filter(pa.array(~touched))
-            changed = batch.filter(pa.array(touched))
-            merged = [merge_symbols(s, ranks) for s in changed.column("symbols").to_pylist()]
-            symbols = pa.array(merged, pa.list_(flat.type))
-            yield pa.RecordBatch.from_arrays([symbols, changed.column("n")], ["symbols", "n"])
+            coded = flat.dictionary_encode()
+            symbols = list(dict.fromkeys([*coded.dictionary.to_pylist(), *(s for m in merges for s in m)]))
+            code = {symbol: c for c, symbol in enumerate(symbols)}
+            table = MergeTable([(code[a], code[b], code[c]) for a, b, c in merges])
+            codes = coded.indices.to_numpy(zero_copy_only=False)
+            merged, lengths = merge_words(codes, np.diff(ends), table)
+            offsets = pa.array(np.concatenate(([0], np.cumsum(lengths))), pa.int32())
+            made = pa.array(symbols, flat.type).take(pa.array(merged))
+            lists = pa.ListArray.from_arrays(offsets, made)
+            yield pa.RecordBatch.from_arrays([lists, batch.column("n")], ["symbols", "n"])
 
     return words.mapInArrow(run, words.schema).where(F.size("symbols") > 1)
 
@@ -344,11 +337,10 @@ def settle(digest, floor: tuple | None, rule: MergeRule) -> tuple[list[tuple], b
         merges.append((*pair, new))
         if last:
             return merges, rule.full()
-        ranks = {pair: (0, new)}
         raised = set()
         for i in where.pop(pair):
             old = words[i]
-            words[i] = merge_symbols(old, ranks)
+            words[i] = join_pair(old, pair, new)
             for p in rule.pairs(old):
                 counts[p] -= weight[i]
             for p in rule.pairs(words[i]):

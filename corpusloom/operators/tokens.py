@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator, Sequence
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -13,13 +12,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from corpusloom.operators.bpe import BpeModel, Merge, merge_symbols
+from corpusloom.operators.bpe import BpeModel, Merge
+from corpusloom.operators.merging import MergeTable, merge_words
 from corpusloom.operators.positions import batch_of_n
 
 MAX_LENGTH = 8192
 LABEL_IGNORED = -100
-# Words whose ids a Python worker remembers between batches.
-_CACHE_WORDS = 500_000
 
 
 def split_special(col: Column, special: Sequence[str], pretokenize) -> Column:
@@ -45,25 +43,33 @@ def split_special(col: Column, special: Sequence[str], pretokenize) -> Column:
 
 
 class _WordEncoder:
-    """Ids of single words, remembered up to a fixed number of words."""
+    """Ids of the words of a batch, by array operations."""
 
     def __init__(self, tokens: Sequence[str], merges: Sequence[Merge], special: Sequence[str]):
-        self.ids = {t: i for i, t in enumerate(tokens)}
-        self.special = set(special)
-        self.ranks = {(a, b): (r, c) for r, (a, b, c) in enumerate(merges)}
-        self.known: dict[str, list[int]] = {}
-
-    def __call__(self, word: str) -> list[int]:
-        found = self.known.get(word)
-        if found is None:
-            if word in self.special:
-                found = [self.ids[word]]
-            else:
-                # A character outside the vocabulary is dropped.
-                found = merge_symbols([self.ids[c] for c in word if c in self.ids], self.ranks)
-            if len(self.known) < _CACHE_WORDS:
-                self.known[word] = found
-        return found
+        self.special = {t: i for i, t in enumerate(tokens) if t in set(special)}
+        self.table = MergeTable(merges)
+        # The id of each character by code point; -1 for one outside the vocabulary.
+        self.of_char = np.full(0x110000, -1, dtype=np.int32)
+        for i, t in enumerate(tokens):
+            if len(t) == 1:
+                self.of_char[ord(t)] = i
+
+    def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words one after the other, and how many each word has.
+
+        A character outside the vocabulary is dropped; a special token is one id.
+        """
+        plain = ["" if w in self.special else w for w in words]
+        points = np.frombuffer("".join(plain).encode("utf-32-le"), dtype=np.uint32)
+        ids = self.of_char[points]
+        owner = np.repeat(np.arange(len(words)), np.fromiter(map(len, plain), np.int64, len(plain)))
+        flat, size = merge_words(ids[ids >= 0], np.bincount(owner[ids >= 0], minlength=len(words)), self.table)
+        whole = [i for i, w in enumerate(words) if w in self.special]
+        if whole:
+            starts = np.concatenate(([0], np.cumsum(size)))
+            flat = np.insert(flat, starts[whole], [self.special[words[i]] for i in whole])
+            size[whole] = 1
+        return flat, size
 
 
 def _encode_lists(words: pa.ListArray, encoder: _WordEncoder) -> pa.ListArray:
@@ -71,10 +77,8 @@ def _encode_lists(words: pa.ListArray, encoder: _WordEncoder) -> pa.ListArray:
     missing = words.is_null().to_numpy(zero_copy_only=False)
     counts = np.nan_to_num(words.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
     distinct = words.flatten().dictionary_encode()
-    parts = [encoder(w) for w in distinct.dictionary.to_pylist()]
-    size = np.array([len(p) for p in parts], dtype=np.int64)
+    pool, size = encoder(distinct.dictionary.to_pylist())
     start = np.concatenate(([0], np.cumsum(size)))
-    pool = np.fromiter(chain.from_iterable(parts), dtype=np.int32, count=int(start[-1]))
     which = distinct.indices.to_numpy(zero_copy_only=False)
     out_size = size[which]
     out_ends = np.concatenate(([0], np.cumsum(out_size)))
@@ -82,7 +86,7 @@ def _encode_lists(words: pa.ListArray, encoder: _WordEncoder) -> pa.ListArray:
     row_ends = out_ends[np.concatenate(([0], np.cumsum(counts)))]
     offsets = pa.array(row_ends, pa.int32())
     return pa.ListArray.from_arrays(
-        offsets, pa.array(pool[places], pa.int32()), mask=pa.array(missing) if missing.any() else None
+        offsets, pa.array(pool[places].astype(np.int32), pa.int32()), mask=pa.array(missing) if missing.any() else None
     )
 
 

@@ -48,13 +48,6 @@ def test_errors_and_limits(spark, rows):
     assert len(tokens.encode(long, "text", model).first().input_ids) == 8192
 
 
-def test_cache_limit_changes_nothing(rows, monkeypatch):
-    monkeypatch.setattr(tokens, "_CACHE_WORDS", 2)
-    tok = library(TRAINING, 70, 1)
-    got = tokens.encode(rows(TEXTS), "text", model_of(tok), None).orderBy("i").collect()
-    assert [r.input_ids for r in got] == [tok.encode(t).ids for t in TEXTS]
-
-
 def test_pad_and_batch(spark):
     frame = spark.createDataFrame([(0, [5, 6, 7]), (1, [8]), (2, []), (3, [9, 1]), (4, [4])], "i int, input_ids array<int>")
     padded = frame.select(tokens.pad_to(F.col("input_ids"), 2).alias("p"), "i").orderBy("i").collect()
