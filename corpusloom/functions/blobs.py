@@ -42,6 +42,27 @@ def _decode_as(data: pd.Series, charset: pd.Series) -> pd.Series:
     return pd.Series([_decoded(d, c, "strict") for d, c in zip(data, charset)], dtype="object")
 
 
+@F.pandas_udf(StringType())
+def _unpacked_text(data: pd.Series) -> pd.Series:
+    return data.map(lambda d: _decoded(_unpacked(d), "utf-8", "ignore"))
+
+
+@F.pandas_udf(StringType())
+def _unpacked_text_as(data: pd.Series, charset: pd.Series) -> pd.Series:
+    texts = [_decoded(_unpacked(d), c, "strict") for d, c in zip(data, charset)]
+    return pd.Series(texts, dtype="object")
+
+
+def unpack_text(col: Column, charset: Column | None = None) -> Column:
+    """Decompress and decode in one step: lossy UTF-8, or strictly in a per-row encoding.
+
+    Marked so that filters on the text stay above it and each blob is unpacked once.
+    """
+    if charset is None:
+        return _unpacked_text.asNondeterministic()(col)
+    return _unpacked_text_as.asNondeterministic()(col, charset)
+
+
 def gunzip(col: Column) -> Column:
     """Decompress gzip bytes; null when they are not gzip."""
     return _gunzip(col)

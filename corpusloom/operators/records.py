@@ -26,9 +26,10 @@ def filter_content(df: DataFrame, col: str = "content") -> DataFrame:
     return df.where(F.coalesce(py_strip(F.col(col)), F.lit("")) != "")
 
 
-def content_of_lines(scan: DataFrame, key: str = "content") -> DataFrame:
-    """The non-blank string contents of a JSON-line scan."""
-    return filter_content(scan.select(string_field(F.col("parsed"), key).alias("content")))
+def content_of_lines(scan: DataFrame, key: str = "content", keep_blank: bool = False) -> DataFrame:
+    """The string contents of a JSON-line scan, without blank ones unless ``keep_blank``."""
+    texts = scan.select(string_field(F.col("parsed"), key).alias("content"))
+    return texts.where(F.col("content").isNotNull()) if keep_blank else filter_content(texts)
 
 
 def drop_empty_blob(df: DataFrame, col: str = "content") -> DataFrame:

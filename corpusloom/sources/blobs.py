@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.blobs import decode_as, decode_lossy, gunzip
+from corpusloom.functions.blobs import unpack_text
 from corpusloom.operators.joins import left_join_unique
 from corpusloom.session import estimated_bytes
 
@@ -101,18 +101,13 @@ def scan_blob_store(spark, path) -> DataFrame:
 def join_blob_store(manifest: DataFrame, store: DataFrame, charset: str | None = None) -> DataFrame:
     """Each manifest row with its content; null content and an error when missing or unreadable.
 
-    ``store`` holds ``blob_id, data`` (gzip) with one row per id. Blobs are decoded before the join,
-    once each, however often the manifest names them. ``charset`` is the manifest column with the
-    per-row encoding; decoding then has to follow the join.
+    ``store`` holds ``blob_id, data`` (gzip) with one row per id. Blobs travel compressed through the
+    join and only those that the manifest names are unpacked. ``charset`` is the manifest column with
+    a per-row encoding.
     """
-    plain = store.select("blob_id", gunzip(F.col("data")).alias("_plain"), F.lit(True).alias("_found"))
-    if charset is None:
-        plain = plain.select("blob_id", decode_lossy(F.col("_plain")).alias("_text"), "_found")
-        joined = left_join_unique(manifest, plain, "blob_id")
-        content = F.col("_text")
-    else:
-        joined = left_join_unique(manifest, plain, "blob_id")
-        content = decode_as(F.col("_plain"), F.col(charset))
-    rows = joined.withColumn("content", content)
+    packed = store.select("blob_id", F.col("data").alias("_data"), F.lit(True).alias("_found"))
+    joined = left_join_unique(manifest, packed, "blob_id")
+    text = unpack_text(F.col("_data"), F.col(charset) if charset else None)
+    rows = joined.withColumn("content", text)
     error = F.when(F.col("_found").isNull(), "missing").when(F.col("content").isNull(), "unreadable")
     return rows.withColumn("error", error).select(*manifest.columns, "content", "error")

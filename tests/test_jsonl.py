@@ -91,6 +91,12 @@ def test_content_of_lines(spark):
     assert got == sorted(want)
 
 
+def test_content_with_blanks(spark):
+    lines = ['{"content":" "}', '{"content":"x"}', '{"content":null}', "{bad"]
+    kept = records.content_of_lines(with_parsed(lines_frame(spark, lines)), keep_blank=True)
+    assert sorted(r.content for r in kept.collect()) == [" ", "x"]
+
+
 def test_counts_and_keys(spark):
     scan = with_parsed(lines_frame(spark))
     valid = [parsed_or_error(s)[0] for s in LINES if parsed_or_error(s)[1]]
