@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.jsontext import update_json
-from corpusloom.session import in_stable_order, range_tasks, written
+from corpusloom.session import in_stable_order, ranged, written
 from corpusloom.sources.files import FILE_ORDER, file_order_columns
 
 _IN_PARTITION = (1 << 33) - 1
@@ -38,10 +38,9 @@ def row_position(df: DataFrame, order, name: str = "row_pos") -> DataFrame:
     hold any share of the rows and still spread over many tasks.
     """
     keys = [*_columns(order), F.col("_input")]
-    stable = in_stable_order(df)
+    numbered = in_stable_order(df).withColumn("_input", F.monotonically_increasing_id())
     placed = written(
-        stable.withColumn("_input", F.monotonically_increasing_id())
-        .repartitionByRange(range_tasks(stable), *keys)
+        ranged(numbered, *keys)
         .sortWithinPartitions(*keys)
         .drop("_input")
         .withColumn("_part", F.spark_partition_id())

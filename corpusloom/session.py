@@ -85,10 +85,14 @@ def estimated_bytes(df: DataFrame) -> int | None:
     return None if size >= _UNKNOWN_BYTES else size
 
 
-def range_tasks(df: DataFrame) -> int:
-    """How many tasks a range partitioning of the rows needs, at least the session's setting."""
+def ranged(df: DataFrame, *keys) -> DataFrame:
+    """Range-partition the rows, with more tasks than the session's setting when they need them.
+
+    Without a number Spark may still join small neighbouring ranges.
+    """
     setting = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(setting, min((estimated_bytes(df) or 0) // _BYTES_PER_RANGE, _MOST_RANGES))
+    needed = min((estimated_bytes(df) or 0) // _BYTES_PER_RANGE, _MOST_RANGES)
+    return df.repartitionByRange(needed, *keys) if needed > setting else df.repartitionByRange(*keys)
 
 
 def spread(scan: DataFrame) -> DataFrame:
