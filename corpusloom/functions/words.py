@@ -48,10 +48,14 @@ def from_byte_text(col: Column) -> Column:
     return F.encode(F.translate(zeroed, _SHOWN[1:], _HIDDEN[1:]), "ISO-8859-1")
 
 
-def pretokenize_bytes(col: Column, add_prefix_space: bool = True) -> Column:
-    """Byte-level words; a leading space counts as part of the word after it."""
+def split_bytes(col: Column, add_prefix_space: bool = True) -> Column:
+    """The words of the byte-level split as plain text; a leading space counts as part of a word."""
     text = col
     if add_prefix_space:
         text = F.when((col == "") | col.startswith(" "), col).otherwise(F.concat(F.lit(" "), col))
-    words = F.regexp_extract_all(text, F.lit(BYTES_PATTERN), F.lit(0))
-    return F.transform(words, to_byte_text)
+    return F.regexp_extract_all(text, F.lit(BYTES_PATTERN), F.lit(0))
+
+
+def pretokenize_bytes(col: Column, add_prefix_space: bool = True) -> Column:
+    """Byte-level words, one printable character per byte."""
+    return F.transform(split_bytes(col, add_prefix_space), to_byte_text)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.words import pretokenize_bytes, pretokenize_ws
+from corpusloom.functions.words import pretokenize_ws, split_bytes, to_byte_text
 from corpusloom.operators.merging import MergeTable, merge_words
 from corpusloom.operators.profile import word_counts
 from corpusloom.session import scratch_path, spread, written
@@ -63,8 +63,8 @@ class BpeModel:
     words: str = "ws"
     add_prefix_space: bool = True
 
-    def pretokenizer(self) -> Callable[[Column], Column]:
-        return pretokenizer(self.words, self.add_prefix_space)
+    def splitter(self) -> Callable[[Column], Column]:
+        return splitter(self.words, self.add_prefix_space)
 
     def vocab_table(self, spark: SparkSession) -> DataFrame:
         special = set(self.special)
@@ -82,11 +82,12 @@ class BpeModel:
         )
 
 
-def pretokenizer(words: str, add_prefix_space: bool = True) -> Callable[[Column], Column]:
+def splitter(words: str, add_prefix_space: bool = True) -> Callable[[Column], Column]:
+    """The word split of a model; byte-level words are still plain text here."""
     if words == "ws":
         return pretokenize_ws
     if words == "bytes":
-        return lambda col: pretokenize_bytes(col, add_prefix_space)
+        return lambda col: split_bytes(col, add_prefix_space)
     raise ValueError(f"unknown word rule {words!r}")
 
 
@@ -473,7 +474,10 @@ def bpe_train(
 
     ``words='ws'`` splits on word boundaries, ``words='bytes'`` is the byte-level variant.
     """
-    counts = word_counts(spread(df.select(col)), col, pretokenize=pretokenizer(words, add_prefix_space))
+    counts = word_counts(spread(df.select(col)), col, pretokenize=splitter(words, add_prefix_space))
+    if words == "bytes":
+        # Spelled as bytes once per distinct word.
+        counts = counts.withColumn("word", to_byte_text(F.col("word")))
     stored = written(counts, "bpe-counts")
     tokens, merges = learn_merges(stored, vocab_size, min_frequency, merges_per_round, special)
     return BpeModel(tokens, merges, tuple(special), words, add_prefix_space)

@@ -8,10 +8,12 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType
 
+from corpusloom.functions.words import byte_alphabet
 from corpusloom.operators.bpe import BpeModel, Merge
 from corpusloom.operators.merging import MergeTable, merge_words
 from corpusloom.operators.positions import batch_of_n
@@ -20,50 +22,57 @@ MAX_LENGTH = 8192
 LABEL_IGNORED = -100
 
 
-def split_special(col: Column, special: Sequence[str], pretokenize) -> Column:
+def split_special(col: Column, special: Sequence[str], split) -> Column:
     """Words of a text in which special tokens stand on their own.
 
     The common text holds no special token and takes the plain split.
     """
     if not special:
-        return pretokenize(col)
+        return split(col)
     longest_first = sorted(special, key=len, reverse=True)
     token = "|".join(re.escape(t) for t in longest_first)
     pieces = F.regexp_extract_all(col, F.lit(f"(?s){token}|(?:(?!{token}).)+"), F.lit(0))
     words = F.flatten(
         F.transform(
             pieces,
-            lambda p: F.when(p.isin(list(special)), F.array(p)).otherwise(pretokenize(p)),
+            lambda p: F.when(p.isin(list(special)), F.array(p)).otherwise(split(p)),
         )
     )
     found = F.lit(False)
     for t in special:
         found = found | F.contains(col, F.lit(t))
-    return F.when(found, words).otherwise(pretokenize(col))
+    return F.when(found, words).otherwise(split(col))
 
 
 class _WordEncoder:
     """Ids of the words of a batch, by array operations."""
 
-    def __init__(self, tokens: Sequence[str], merges: Sequence[Merge], special: Sequence[str]):
-        self.special = {t: i for i, t in enumerate(tokens) if t in set(special)}
+    def __init__(self, tokens: Sequence[str], merges: Sequence[Merge], special: Sequence[str], words: str):
+        ids = {t: i for i, t in enumerate(tokens)}
+        self.special = {t: ids[t] for t in special}
         self.table = MergeTable(merges)
-        # The id of each character by code point; -1 for one outside the vocabulary.
-        self.of_char = np.full(0x110000, -1, dtype=np.int32)
-        for i, t in enumerate(tokens):
-            if len(t) == 1:
-                self.of_char[ord(t)] = i
+        # The starting id of each code point, or of each byte; -1 for one outside the vocabulary.
+        if words == "bytes":
+            self.encoding, self.unit = "utf-8", np.uint8
+            self.first = np.array([ids.get(c, -1) for c in byte_alphabet()], dtype=np.int32)
+        else:
+            self.encoding, self.unit = "utf-32-le", np.uint32
+            self.first = np.full(0x110000, -1, dtype=np.int32)
+            for i, t in enumerate(tokens):
+                if len(t) == 1:
+                    self.first[ord(t)] = i
 
     def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words one after the other, and how many each word has.
 
-        A character outside the vocabulary is dropped; a special token is one id.
+        What is outside the vocabulary is dropped; a special token is one id.
         """
-        plain = ["" if w in self.special else w for w in words]
-        points = np.frombuffer("".join(plain).encode("utf-32-le"), dtype=np.uint32)
-        ids = self.of_char[points]
-        owner = np.repeat(np.arange(len(words)), np.fromiter(map(len, plain), np.int64, len(plain)))
-        flat, size = merge_words(ids[ids >= 0], np.bincount(owner[ids >= 0], minlength=len(words)), self.table)
+        spelled = [b"" if w in self.special else w.encode(self.encoding) for w in words]
+        ids = self.first[np.frombuffer(b"".join(spelled), dtype=self.unit)]
+        units = np.fromiter(map(len, spelled), np.int64, len(spelled)) // self.unit().itemsize
+        owner = np.repeat(np.arange(len(words)), units)
+        known = ids >= 0
+        flat, size = merge_words(ids[known], np.bincount(owner[known], minlength=len(words)), self.table)
         whole = [i for i, w in enumerate(words) if w in self.special]
         if whole:
             starts = np.concatenate(([0], np.cumsum(size)))
@@ -100,32 +109,37 @@ def encode(
 ) -> DataFrame:
     """Add the token ids of a text column: a narrow job with no shuffle.
 
-    Words are split on the JVM; Python sees Arrow lists and encodes each distinct word of a batch
-    once. The model is bounded by its vocabulary size and shipped as a broadcast. A row without a
-    text has no ids: ``on_error='skip'`` drops it, ``'keep'`` leaves null ids and an ``error``.
+    A row without a text has no ids: ``on_error='skip'`` drops it, ``'keep'`` leaves null ids and an
+    ``error``.
     """
-    spark = df.sparkSession
-    shipped = spark.sparkContext.broadcast((model.tokens, model.merges, model.special))
-    words = split_special(F.col(col), model.special, model.pretokenizer())
-    prepared = df.withColumn("_words", words)
-    fields = [f for f in df.schema.fields if f.name != out]
-    schema = StructType([*fields, StructField(out, ArrayType(IntegerType()), True)])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _WordEncoder(*shipped.value)
-        for batch in batches:
-            ids = _encode_lists(batch.column("_words"), encoder)
-            kept = [batch.column(f.name) for f in fields]
-            yield pa.RecordBatch.from_arrays([*kept, ids], [*[f.name for f in fields], out])
-
-    encoded = prepared.mapInArrow(run, schema)
-    if max_length is not None:
-        encoded = encoded.withColumn(out, truncate(F.col(out), max_length))
+    texts = df.where(F.col(col).isNotNull()) if on_error == "skip" else df
+    words = split_special(F.col(col), model.special, model.splitter())
+    encoded = texts.withColumn(out, encode_words(df.sparkSession, words, model, max_length))
     if on_error == "skip":
-        return encoded.where(F.col(out).isNotNull())
+        return encoded
     return encoded.withColumn("error", F.when(F.col(out).isNull(), "no text"))
 
 
+def encode_words(spark: SparkSession, words: Column, model: BpeModel, max_length: int | None) -> Column:
+    """Ids of a column of word lists.
+
+    Words are split on the JVM; Python sees only the word lists, as Arrow arrays, and encodes each
+    distinct word of a batch once. The model is bounded by its vocabulary size and shipped as a
+    broadcast.
+    """
+    shipped = spark.sparkContext.broadcast((model.tokens, model.merges, model.special, model.words))
+
+    @F.arrow_udf(ArrayType(IntegerType()))
+    def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder = _WordEncoder(*shipped.value)
+        for lists in batches:
+            ids = _encode_lists(lists, encoder)
+            yield ids if max_length is None else pc.list_slice(ids, 0, max_length)
+
+    # Marked so that later filters stay above it and no row is encoded twice.
+    return ids_of.asNondeterministic()(words)
+
+
 def truncate(col: Column, n: int = MAX_LENGTH) -> Column:
     """The first ``n`` ids."""
     return F.slice(col, 1, n)
