@@ -10,6 +10,9 @@ DEFAULT_ZONE = "Europe/Istanbul"
 # before it the abbreviations were EET (two hours) and EEST (three hours).
 _ISTANBUL_FIXED_SINCE = "2016-09-06T21:00:00Z"
 
+# A full date, alone or followed by a time; shorter forms are not times of a listing.
+_DATED = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}(?:[T ].+)?\z"
+
 
 def parse_stamp(col: Column) -> Column:
     """``20240131_235959`` to a timestamp, null when malformed."""
@@ -33,7 +36,7 @@ def local_time(col: Column, zone: str = DEFAULT_ZONE) -> Column:
 
     Text without an offset is read in the session time zone.
     """
-    instant = F.try_to_timestamp(col)
+    instant = F.when(col.rlike(_DATED), F.try_to_timestamp(col))
     local = F.from_utc_timestamp(F.to_utc_timestamp(instant, F.current_timezone()), zone)
     utc = F.to_utc_timestamp(instant, F.current_timezone())
     minutes = ((F.unix_micros(local) - F.unix_micros(utc)) / 60_000_000).cast("int")

@@ -10,6 +10,7 @@ from corpusloom.plans.queries import (
     PAD_ID,
     PAD_LEFT,
     PAD_RIGHT,
+    PADDED_LENGTH,
     PIECE_VOCAB_SIZE,
     VOCAB_SIZE,
 )
@@ -89,7 +90,7 @@ FROM events"""
 _CUT = f"""
 SELECT left(line, CAST(length(line) - 1 AS BIGINT)) AS raw
 FROM (SELECT '{{"doc_id":' || doc_id || ',"content":' || to_json(text) || '}}' AS line FROM documents WHERE {_BROKEN})"""
-ORACLES["dead_letters"] = f"SELECT CAST(length(raw) AS BIGINT) AS n_chars, right(raw, 20) AS tail FROM ({_CUT})"
+ORACLES["dead_letters"] = _CUT
 
 # --- projections, filters, predicates
 
@@ -357,9 +358,9 @@ encoded AS (
 _WORD_ROWS = f"SELECT doc_id, regexp_extract_all(text, '{_WORDS}') AS words FROM documents"
 _ENCODED = _encoding(_WORD_ROWS, _ALL_WORDS)
 _SUMMED = "CAST(len(ids) AS BIGINT) AS n_ids, md5(array_to_string(ids, ' ')) AS ids"
-ORACLES["encode_truncate"] = f"{_ENCODED} SELECT doc_id, {_SUMMED} FROM (SELECT doc_id, input_ids[1:512] AS ids FROM encoded)"
+ORACLES["encode_truncate"] = f"{_ENCODED} SELECT doc_id, {_SUMMED} FROM (SELECT doc_id, input_ids[1:8192] AS ids FROM encoded)"
 ORACLES["stream_tokens"] = f"""{_ENCODED}
-SELECT {_SUMMED} FROM (SELECT input_ids[1:512] AS ids FROM encoded JOIN documents USING (doc_id)
+SELECT {_SUMMED} FROM (SELECT input_ids[1:8192] AS ids FROM encoded JOIN documents USING (doc_id)
                        WHERE NOT {_BROKEN} AND trim(text, {_WS}) <> '')"""
 ORACLES["encode_bytes"] = f"""
 {_encoding(_BYTE_LEVEL, _BYTE_ROWS)} SELECT doc_id, {_SUMMED} FROM (SELECT doc_id, input_ids AS ids FROM encoded)"""
@@ -374,9 +375,9 @@ def _padded(ids: str, width: str) -> str:
 
 
 ORACLES["pad_to"] = f"""{_ENCODED}
-SELECT doc_id, md5(array_to_string({_padded("input_ids[1:256]", "256")}, ' ')) AS ids FROM encoded"""
+SELECT doc_id, md5(array_to_string({_padded(f"input_ids[1:{PADDED_LENGTH}]", str(PADDED_LENGTH))}, ' ')) AS ids FROM encoded"""
 ORACLES["causal_batch"] = f"""{_ENCODED},
-cut AS (SELECT doc_id, input_ids[1:512] AS ids FROM encoded),
+cut AS (SELECT doc_id, input_ids[1:8192] AS ids FROM encoded),
 numbered AS (SELECT doc_id, ids, (row_number() OVER (ORDER BY doc_id) - 1) // 4 AS batch FROM cut),
 sized AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch) AS width FROM numbered),
 padded AS (SELECT *, {_padded("ids", "width")} AS full_ids FROM sized)
@@ -388,7 +389,7 @@ SELECT doc_id, batch, md5(array_to_string(full_ids, ' ')) AS ids,
 FROM padded"""
 ORACLES["decode_tokens"] = f"""{_ENCODED}{_SPELLED},
 token_of AS (SELECT map_from_entries(list((id, t[ch]))) AS m FROM symbols, spelled)
-SELECT doc_id, array_to_string(list_transform(input_ids[1:512], lambda i: m[i]), ' ') AS content FROM encoded, token_of"""
+SELECT doc_id, array_to_string(list_transform(input_ids, lambda i: m[i]), ' ') AS content FROM encoded, token_of"""
 
 # The piece vocabulary: marked words, covered characters, runs of one script (the documents are in
 # Latin script), then a recursion with symbols in brackets of two control characters. One row of the
@@ -448,7 +449,7 @@ UNION ALL SELECT ch, rank + {len(_FIXED) + 256} + (SELECT len(pieces) FROM made)
 _KEPT = f"NOT {_BROKEN} AND trim(text, {_WS}) <> ''"
 ORACLES["stream_corpus"] = f"""
 SELECT text AS content FROM documents WHERE {_KEPT} UNION ALL SELECT text FROM documents WHERE {_KEPT}"""
-ORACLES["stream_dead_letters"] = f"SELECT CAST(length(raw) AS BIGINT) AS n_chars FROM ({_CUT})"
+ORACLES["stream_dead_letters"] = _CUT
 
 # --- user functions
 

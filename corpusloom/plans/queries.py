@@ -27,6 +27,7 @@ from corpusloom.streaming.intake import incremental_corpus, incremental_dead_let
 VOCAB_SIZE = 300
 PIECE_VOCAB_SIZE = 480
 PAD_ID = 1
+PADDED_LENGTH = 2048
 # Whitespace that plain trimming leaves: no-break space, em space, file and unit separator, wide space.
 PAD_LEFT = " \t" + chr(0xA0) + chr(0x2003)
 PAD_RIGHT = chr(0x1C) + chr(0x1F) + chr(0x3000) + " \r\n"
@@ -120,7 +121,8 @@ def scan_jsonl_typed(spark, sf_dir):
 def scan_manifest(spark, sf_dir):
     path = scratch_path(spark, "manifest")
     docs = table(spark, sf_dir, "documents")
-    docs.select(F.md5(F.col("doc_id").cast("string")).alias("blob_id"), F.col("lang").alias("src_encoding")).write.parquet(path)
+    blob_id = F.md5(F.col("doc_id").cast("string")).alias("blob_id")
+    docs.select(blob_id, F.col("lang").alias("src_encoding")).write.parquet(path)
     return files.scan_manifest(spark, path)
 
 
@@ -178,7 +180,10 @@ def hydrate_blobs(spark, sf_dir):
         manifest, _page_server(), max_retries=4, partitions=spark.sparkContext.defaultParallelism, sleep=lambda s: None
     )
     return rows.select(
-        "blob_id", ftext.py_strip(F.col("content")).alias("content"), F.col("attempts").cast("bigint").alias("attempts"), "error"
+        "blob_id",
+        ftext.py_strip(F.col("content")).alias("content"),
+        F.col("attempts").cast("bigint").alias("attempts"),
+        "error",
     )
 
 
@@ -293,7 +298,7 @@ def append_run_state(spark, sf_dir):
 def dead_letters(spark, sf_dir):
     scan = with_parsed(_document_lines(spark, sf_dir))
     _, bad = sinks.split_dead_letter(scan)
-    return bad.select(F.length("raw").cast("bigint").alias("n_chars"), F.right("raw", F.lit(20)).alias("tail"))
+    return bad.select("raw")
 
 
 # --- projections, filters, predicates
@@ -407,7 +412,9 @@ def default_value(spark, sf_dir):
 @query
 def positional_join(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", F.col("n_chars").alias("quality"))
-    labels = table(spark, sf_dir, "labels").select(F.col("quality").cast("bigint").alias("quality"), "toxic", F.col("doc_id").alias("label_id"))
+    labels = table(spark, sf_dir, "labels").select(
+        F.col("quality").cast("bigint").alias("quality"), "toxic", F.col("doc_id").alias("label_id")
+    )
     return positions.positional_join(docs, labels, "doc_id", "label_id")
 
 
@@ -428,7 +435,8 @@ def compare_resume(spark, sf_dir):
     states = _states(spark, sf_dir).where(F.col("model_path").isin("view", "click", "signup"))
     names = table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
     checkpoints = names.select(
-        F.concat(F.lit("run-"), F.col("user_id")).alias("run_id"), F.concat(F.lit("checkpoint-"), F.col("event_id")).alias("name")
+        F.concat(F.lit("run-"), F.col("user_id")).alias("run_id"),
+        F.concat(F.lit("checkpoint-"), F.col("event_id")).alias("name"),
     )
     return runlog.compare_resume(states, checkpoints)
 
@@ -506,7 +514,9 @@ def _stored_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def pair_counts(spark, sf_dir):
     pairs = bpe.pair_counts(bpe.with_symbols(_stored_words(spark, sf_dir)))
-    return pairs.select(F.col("left").cast("bigint").alias("left_code"), F.col("right").cast("bigint").alias("right_code"), "n")
+    return pairs.select(
+        F.col("left").cast("bigint").alias("left_code"), F.col("right").cast("bigint").alias("right_code"), "n"
+    )
 
 
 @query
@@ -724,7 +734,7 @@ def _encoded(spark: SparkSession, sf_dir: str, max_length: int | None) -> DataFr
 
 @query
 def encode_truncate(spark, sf_dir):
-    rows = _encoded(spark, sf_dir, 512)
+    rows = _encoded(spark, sf_dir, tokens.MAX_LENGTH)
     return rows.select("doc_id", F.size("input_ids").cast("bigint").alias("n_ids"), digest(F.col("input_ids")).alias("ids"))
 
 
@@ -746,13 +756,13 @@ def encode_tolerant(spark, sf_dir):
 @query
 def pad_to(spark, sf_dir):
     rows = _encoded(spark, sf_dir, None)
-    padded = tokens.pad_to(F.col("input_ids"), 256, PAD_ID)
+    padded = tokens.pad_to(F.col("input_ids"), PADDED_LENGTH, PAD_ID)
     return rows.select("doc_id", digest(padded).alias("ids"))
 
 
 @query
 def causal_batch(spark, sf_dir):
-    rows = tokens.causal_batch(_encoded(spark, sf_dir, 512), "doc_id", 4, PAD_ID)
+    rows = tokens.causal_batch(_encoded(spark, sf_dir, tokens.MAX_LENGTH), "doc_id", 4, PAD_ID)
     return rows.select(
         "doc_id",
         "batch",
@@ -765,7 +775,7 @@ def causal_batch(spark, sf_dir):
 @query
 def decode_tokens(spark, sf_dir):
     model = trained(spark, sf_dir)
-    rows = _encoded(spark, sf_dir, 512)
+    rows = _encoded(spark, sf_dir, None)
     framed = rows.withColumn("input_ids", F.concat(F.array(F.lit(0)), "input_ids", F.array(F.lit(2))))
     return tokens.decode(framed, "input_ids", model).select("doc_id", "content")
 
@@ -789,7 +799,7 @@ def stream_tokens(spark, sf_dir):
     folder, out, state = (scratch_path(spark, x) for x in ("intake", "encoded", "intake-state"))
     sinks.write_lines(_document_lines(spark, sf_dir), folder)
     incremental_corpus(
-        spark, folder, out, state, trained(spark, sf_dir), max_bytes_per_trigger=64 * 1024 * 1024, max_length=512
+        spark, folder, out, state, trained(spark, sf_dir), max_bytes_per_trigger=64 * 1024 * 1024
     ).awaitTermination()
     rows = files.scan_tokens(spark, out)
     return rows.select(F.size("input_ids").cast("bigint").alias("n_ids"), digest(F.col("input_ids")).alias("ids"))
@@ -801,7 +811,7 @@ def stream_dead_letters(spark, sf_dir):
     sinks.write_lines(_document_lines(spark, sf_dir), folder)
     incremental_dead_letters(spark, folder, out, state).awaitTermination()
     rows = spark.read.schema("file string, raw string").json(out)
-    return rows.select(F.length("raw").cast("bigint").alias("n_chars"))
+    return rows.select("raw")
 
 
 # --- user functions

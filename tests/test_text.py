@@ -63,10 +63,10 @@ def test_names_flags_defaults(spark):
 
 
 def test_local_time(rows):
-    texts = ["2024-01-01T00:00:11Z", "2016-01-01T00:00:00Z", "2015-07-01T12:00:00.123Z", "not a time", "", None,
+    texts = ["2024-01-01T00:00:11Z", "2016-01-01T00:00:00Z", "2015-07-01T12:00:00.123Z", "not a time", "", None, "2024",
              "2016-09-06T21:00:00Z", "2024-05-05T10:00:00+02:00"]
     assert applied(rows(texts), local_time(F.col("text"))) == [
-        "2024-01-01 03:00:11 +03", "2016-01-01 02:00:00 EET", "2015-07-01 15:00:00 EEST", "not a time", "", "",
+        "2024-01-01 03:00:11 +03", "2016-01-01 02:00:00 EET", "2015-07-01 15:00:00 EEST", "not a time", "", "", "2024",
         "2016-09-07 00:00:00 +03", "2024-05-05 11:00:00 +03",
     ]
     assert applied(rows(texts[:1]), local_time(F.col("text"), "Asia/Kolkata")) == ["2024-01-01 05:30:11 +0530"]
