@@ -40,7 +40,7 @@ from corpusloom.session import scratch_path, spread, written
 
 # Special tokens in id order.
 SPECIAL_TOKENS = ("<s>", "<pad>", "</s>", "<unk>", "<mask>")
-DIGEST_ROWS = 20_000
+DIGEST_ROWS = 100_000
 DIGEST_PIECE = 256
 # Pairs looked at in the first round; later rounds widen while the digest stays small.
 _FIRST_WIDTH = 64
