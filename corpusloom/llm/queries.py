@@ -5,7 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from corpusloom.llm import mixing
+from corpusloom.llm.bpe_codec import round_trip
+from corpusloom.llm.exact_dedup import exact_groups
+from corpusloom.llm.mixing import mixed
 from corpusloom.llm.ngram_join import ngram_jaccard
 
 
@@ -13,12 +18,44 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def public_ranks() -> tuple[str, str]:
+    """The rank file and the pattern of the public byte-level vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = round_trip(table(spark, sf_dir, "documents"), *public_ranks())
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard(table(spark, sf_dir, "documents"), width=4, num=85, den=100)
 
 
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_groups(table(spark, sf_dir, "documents"))
+
+
+def op4_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(table(spark, sf_dir, "documents"), numbered=True).select("doc_id", "source", "text", "copy", "shuffle_key")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_byte_bpe": op1_byte_bpe,
     "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op3_exact_dedup": op3_exact_dedup,
+    "op4_poisson_mixing": op4_poisson_mixing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_exact_dedup": """
+        SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+          doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
+        FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
+    """,
+    "op4_poisson_mixing": mixing.ORACLE,
+}
