@@ -189,8 +189,15 @@ class Encoder:
         return b"".join([known(w) or other(w) for w in self.words.findall(text)])
 
 
-# Built once per Python worker.
-_encoder, _decoder = lru_cache(maxsize=2)(Encoder), lru_cache(maxsize=2)(Decoder)
+@lru_cache(maxsize=2)
+def _encoder(path: str, pattern: str) -> Encoder:
+    """Built once per Python worker, like the decoder."""
+    return Encoder(path, pattern)
+
+
+@lru_cache(maxsize=2)
+def _decoder(path: str) -> Decoder:
+    return Decoder(path)
 
 
 def encoded(text: Column, path: str, pattern: str) -> Column:
