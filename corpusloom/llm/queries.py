@@ -12,6 +12,8 @@ from corpusloom.llm.bpe_codec import round_trip
 from corpusloom.llm.exact_dedup import exact_groups
 from corpusloom.llm.mixing import mixed
 from corpusloom.llm.ngram_join import ngram_jaccard
+from corpusloom.llm.warc import read_warc, write_warc
+from corpusloom.session import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,11 +46,18 @@ def op4_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents"), numbered=True).select("doc_id", "source", "text", "copy", "shuffle_key")
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), path)
+    return read_warc(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_poisson_mixing": op4_poisson_mixing,
+    "op10_warc": op10_warc,
 }
 
 ORACLES: dict[str, str] = {
@@ -58,4 +67,12 @@ ORACLES: dict[str, str] = {
         FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
     """,
     "op4_poisson_mixing": mixing.ORACLE,
+    "op10_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS bytes FROM pages),
+        f AS (SELECT page_id, html, bytes, min(page_id) OVER (PARTITION BY html) AS first FROM p)
+        SELECT page_id, bytes AS payload_bytes, sha256(html) AS payload_digest,
+          CASE WHEN bytes >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+          CASE WHEN bytes >= 100 AND page_id > first THEN first END AS refers_to
+        FROM f
+    """,
 }
