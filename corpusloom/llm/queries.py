@@ -12,6 +12,7 @@ from corpusloom.llm.bpe_codec import round_trip
 from corpusloom.llm.exact_dedup import exact_groups
 from corpusloom.llm.mixing import mixed
 from corpusloom.llm.ngram_join import ngram_jaccard
+from corpusloom.llm.pii import pii_summary
 from corpusloom.llm.warc import read_warc, write_warc
 from corpusloom.session import scratch_path
 
@@ -46,6 +47,10 @@ def op4_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents"), numbered=True).select("doc_id", "source", "text", "copy", "shuffle_key")
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_summary(table(spark, sf_dir, "documents"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     write_warc(table(spark, sf_dir, "pages"), path)
@@ -57,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_poisson_mixing": op4_poisson_mixing,
+    "op6_pii": op6_pii,
     "op10_warc": op10_warc,
 }
 
