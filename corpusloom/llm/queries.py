@@ -13,6 +13,8 @@ from corpusloom.llm.exact_dedup import exact_groups
 from corpusloom.llm.mixing import mixed
 from corpusloom.llm.ngram_join import ngram_jaccard
 from corpusloom.llm.pii import pii_summary
+from corpusloom.llm.folds import held_out
+from corpusloom.llm.toxicity import toxicity
 from corpusloom.llm.warc import read_warc, write_warc
 from corpusloom.session import scratch_path
 
@@ -51,6 +53,14 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_summary(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    return toxicity(docs, labels).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("toxicity_score").alias("score"),
+        (F.col("toxicity_score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     write_warc(table(spark, sf_dir, "pages"), path)
@@ -63,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_poisson_mixing": op4_poisson_mixing,
     "op6_pii": op6_pii,
+    "op8_toxicity": op8_toxicity,
     "op10_warc": op10_warc,
 }
 
