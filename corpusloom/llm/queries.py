@@ -14,6 +14,8 @@ from corpusloom.llm.mixing import mixed
 from corpusloom.llm.ngram_join import ngram_jaccard
 from corpusloom.llm.pii import pii_summary
 from corpusloom.llm.folds import held_out
+from corpusloom.llm.hnsw import nearest
+from corpusloom.llm.langid import languages
 from corpusloom.llm.toxicity import toxicity
 from corpusloom.llm.warc import read_warc, write_warc
 from corpusloom.session import scratch_path
@@ -49,6 +51,11 @@ def op4_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents"), numbered=True).select("doc_id", "source", "text", "copy", "shuffle_key")
 
 
+def op5_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_summary(table(spark, sf_dir, "documents"))
 
@@ -61,6 +68,12 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
+    )
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     write_warc(table(spark, sf_dir, "pages"), path)
@@ -72,8 +85,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_poisson_mixing": op4_poisson_mixing,
+    "op5_hnsw": op5_hnsw,
     "op6_pii": op6_pii,
     "op8_toxicity": op8_toxicity,
+    "op9_langid": op9_langid,
     "op10_warc": op10_warc,
 }
 
