@@ -16,6 +16,7 @@ from corpusloom.llm.pii import pii_summary
 from corpusloom.llm.folds import held_out
 from corpusloom.llm.hnsw import nearest
 from corpusloom.llm.langid import languages
+from corpusloom.llm.lm_score import cross_entropy_difference
 from corpusloom.llm.toxicity import toxicity
 from corpusloom.llm.warc import read_warc, write_warc
 from corpusloom.session import scratch_path
@@ -60,6 +61,11 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_summary(table(spark, sf_dir, "documents"))
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return cross_entropy_difference(table(spark, sf_dir, "documents"), target)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
     return toxicity(docs, labels).select(
@@ -87,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_poisson_mixing": op4_poisson_mixing,
     "op5_hnsw": op5_hnsw,
     "op6_pii": op6_pii,
+    "op7_lm_score": op7_lm_score,
     "op8_toxicity": op8_toxicity,
     "op9_langid": op9_langid,
     "op10_warc": op10_warc,

@@ -74,6 +74,7 @@ class Shingler:
         return np.unique(_mixed(total).view(np.int64))
 
     def _long(self, data: np.ndarray) -> np.ndarray:
+        """The words of a text longer than a piece, piece by piece."""
         parts = []
         while len(data):
             end = len(data)
@@ -84,10 +85,14 @@ class Shingler:
                 end = int(gaps[-1]) + 1 if len(gaps) else end
             parts.append(self._words(data[:end], np.zeros(1, dtype=np.int64))[0])
             data = data[end:]
-        return self._set(np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint64))
+        return np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint64)
 
     def sets(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The sorted set of each text; a null text has none."""
+        return map(self._set, self.words(texts))
+
+    def words(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The hashes of the words of each text, in order."""
         if not len(texts):
             return
         texts = texts.fill_null("").cast(pa.large_binary())
@@ -107,5 +112,5 @@ class Shingler:
             # Empty texts share their start with the next one; their words are none.
             begins = np.searchsorted(of, np.arange(j - i), "left")
             for b, e in zip(begins, ends):
-                yield self._set(words[b:e])
+                yield words[b:e]
             i = j
