@@ -202,17 +202,17 @@ def _chosen(shared: DataFrame, num: int, den: int) -> DataFrame:
 def _short_lists(rows: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs that meet often enough, from the posting lists short enough to be joined."""
     short = rows.where(F.col("df") <= SHORT_LIST)
-    a = short.select("token", *[F.col(c).alias(f"a_{c}") for c in ("doc_id", "n", "l", "component", "long")])
-    b = short.select("token", *[F.col(c).alias(f"b_{c}") for c in ("doc_id", "n", "l", "component", "long")])
+    a = short.select("token", *[F.col(c).alias(f"a_{c}") for c in ("doc_id", "n", "l", "component")])
+    b = short.select("token", *[F.col(c).alias(f"b_{c}") for c in ("doc_id", "n", "l", "component")])
     met = (
         a.join(b, "token")
         .where("a_doc_id < b_doc_id and a_component <> b_component")
         .where(den * F.least("a_n", "b_n") >= num * F.greatest("a_n", "b_n"))
         .groupBy("a_doc_id", "b_doc_id")
-        .agg(F.count("*").alias("met"), F.min(F.least("a_l", "b_l")).alias("asked"), F.max(F.least("a_long", "b_long")).alias("more"))
+        .agg(F.count("*").alias("met"), F.min(F.least("a_l", "b_l")).alias("asked"))
     )
-    # What both have in long lists may be shared too.
-    return met.where("met + more >= asked").select(F.col("a_doc_id").alias("a"), F.col("b_doc_id").alias("b"))
+    # A pair that also meets in a long list is found there.
+    return met.where("met >= asked").select(F.col("a_doc_id").alias("a"), F.col("b_doc_id").alias("b"))
 
 
 def _long_lists(rows: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -258,10 +258,12 @@ def ngram_jaccard(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", w
     sets = written(_sets(docs, text, doc_id, width, num, den, last), "sets")
     equal = sets.where("n > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("same_as"))
     equal = written(equal, "equal-sets")
-    one_each = written(sets.join(equal.select(F.col("same_as").alias("doc_id")), "doc_id", "left_semi"), "distinct-sets")
+    # Copies are fewer than documents, and all that is joined of them is their ids.
+    copies = sets.select("doc_id", "digest").join(equal, "digest").where("doc_id <> same_as").select("doc_id")
+    one_each = sets.where("n > 0 and doc_id is not null").join(copies, "doc_id", "left_anti")
 
     postings = one_each.select("doc_id", "n", F.posexplode("prefix").alias("rank", "token"))
-    lists = postings.groupBy("token").agg(F.count("*").alias("df"), F.min("doc_id").alias("pivot")).where("df > 1")
+    lists = postings.groupBy("token").agg(F.count("*").alias("df"), F.min(F.struct("doc_id", "n")).alias("pivot")).where("df > 1")
     shared = written(postings.join(lists, "token"), "shared-postings")
     base = F.col("n") - F.ceil(F.col("n") * num / F.lit(den))
     cut = written(
@@ -269,18 +271,17 @@ def ngram_jaccard(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", w
     )
 
     known = [docs, text, doc_id, width, num, den]
-    stars = cut.where("doc_id <> pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
-    first = written(_verified(stars, one_each, *known), "star-links")
+    alike = den * F.least("n", "pivot.n") >= num * F.greatest("n", "pivot.n")
+    stars = cut.where("doc_id <> pivot.doc_id").where(alike).select(F.col("pivot.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct()
+    first = written(_verified(stars, sets, *known), "star-links")
     joined = connected_components(first)
-    in_long = cut.groupBy("doc_id").agg(F.count(F.when(F.col("df") > SHORT_LIST, 1)).alias("long"))
     rows = written(
-        cut.drop("pivot").join(in_long, "doc_id")
-        .join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        cut.drop("pivot").join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left")
         .withColumn("component", F.coalesce("component", "doc_id")),
         "labelled-postings",
     )
-    pairs = _short_lists(rows, num, den).union(_long_lists(rows, one_each, num, den)).distinct()
-    links = first.union(_verified(written(pairs, "pairs"), one_each, *known))
+    pairs = _short_lists(rows, num, den).union(_long_lists(rows, sets, num, den)).distinct()
+    links = first.union(_verified(written(pairs, "pairs"), sets, *known))
     components = connected_components(links)
     named = equal.join(components, equal["same_as"] == components["node"], "left").select(
         "digest", F.coalesce("component", "same_as").alias("component")
