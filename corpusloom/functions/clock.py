@@ -37,12 +37,15 @@ def local_time(col: Column, zone: str = DEFAULT_ZONE) -> Column:
     Text without an offset is read in the session time zone.
     """
     instant = F.when(col.rlike(_DATED), F.try_to_timestamp(col))
-    local = F.from_utc_timestamp(F.to_utc_timestamp(instant, F.current_timezone()), zone)
-    utc = F.to_utc_timestamp(instant, F.current_timezone())
-    minutes = ((F.unix_micros(local) - F.unix_micros(utc)) / 60_000_000).cast("int")
+    # Wall clocks without a zone: nothing here is rendered in the session's zone.
+    seconds = (F.unix_micros(instant) / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
+    utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+    local = F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
+    apart = local - utc
+    minutes = (F.extract(F.lit("HOUR"), apart) * 60 + F.extract(F.lit("MINUTE"), apart)).cast("int")
     label = _offset_label(minutes)
     if zone == DEFAULT_ZONE:
         old = F.when(minutes == 120, "EET").otherwise("EEST")
         label = F.when(instant < F.lit(_ISTANBUL_FIXED_SINCE).cast("timestamp"), old).otherwise(label)
-    shown = F.concat_ws(" ", F.date_format(local, "yyyy-MM-dd HH:mm:ss"), label)
+    shown = F.concat_ws(" ", F.substring(local.cast("string"), 1, 19), label)
     return F.when(col.isNull() | (col == ""), "").when(instant.isNull(), col).otherwise(shown)

@@ -474,6 +474,8 @@ def bpe_train(
 
     ``words='ws'`` splits on word boundaries, ``words='bytes'`` is the byte-level variant.
     """
+    if vocab_size > MAX_VOCAB:
+        raise ValueError(f"vocabulary over {MAX_VOCAB} tokens")
     counts = word_counts(spread(df.select(col)), col, pretokenize=splitter(words, add_prefix_space))
     if words == "bytes":
         # Spelled as bytes once per distinct word.

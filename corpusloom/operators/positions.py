@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.jsontext import update_json
 from corpusloom.session import in_stable_order, ranged, written
-from corpusloom.sources.files import FILE_ORDER, file_order_columns
+from corpusloom.sources.files import FILE_ORDER, file_order_columns, scan_csv
 
 _IN_PARTITION = (1 << 33) - 1
 # Up to this many (file, block) pairs the offset table is broadcast; beyond it Spark picks the join.
@@ -107,14 +107,15 @@ def positional_join(left: DataFrame, right: DataFrame, left_order, right_order)
     return _overlay(row_position(left, left_order), row_position(right, right_order))
 
 
-def positional_join_files(spark: SparkSession, jsonl, csv, csv_schema: str | None = None) -> DataFrame:
+def positional_join_files(
+    spark: SparkSession, jsonl, csv, csv_schema: str | None = None, line_breaks: bool = True
+) -> DataFrame:
     """JSON lines updated by the CSV row of the same position, as ``row_pos, raw``.
 
-    Both sides keep file order. A blank CSV cell becomes null.
+    Both sides keep file order. A blank CSV cell becomes null. ``line_breaks`` is that of ``scan_csv``.
     """
     lines = spark.read.text(jsonl).select(F.col("value").alias("raw"), *file_order_columns())
-    reader = spark.read.option("header", True)
-    table = reader.schema(csv_schema).csv(csv) if csv_schema else reader.option("inferSchema", True).csv(csv)
+    table = scan_csv(spark, csv, csv_schema, line_breaks)
     patch = F.to_json(F.struct(*table.columns), {"ignoreNullFields": "false"})
     rows = table.select(patch.alias("patch"), *file_order_columns())
     joined = file_position(lines).join(file_position(rows), "row_pos", "left")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.jsontext import object_keys
 from corpusloom.functions.text import is_blank
 from corpusloom.functions.words import pretokenize_ws
-from corpusloom.session import in_stable_order
+from corpusloom.session import in_stable_order, ranged
 
 
 def count_json(scan: DataFrame) -> DataFrame:
@@ -102,7 +102,7 @@ def term_rows(df: DataFrame, col: str, min_frequency: int = 1) -> DataFrame:
 def sorted_listing(df: DataFrame, *cols: str | Column) -> DataFrame:
     """A stable sort. The running number also spreads a value that most rows share."""
     numbered = in_stable_order(df).withColumn("_input", F.monotonically_increasing_id())
-    return numbered.orderBy(*cols, "_input").drop("_input")
+    return ranged(numbered, *cols, "_input").sortWithinPartitions(*cols, "_input").drop("_input")
 
 
 def page(df: DataFrame, size: int = 100, order: Sequence[str | Column] = ()) -> DataFrame:

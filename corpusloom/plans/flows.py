@@ -11,7 +11,7 @@ from corpusloom.functions.text import single_line
 from corpusloom.operators.bpe import BpeModel, bpe_train, load_tokenizer, save_tokenizer
 from corpusloom.operators.records import content_of_lines, drop_empty_blob, rewrite_lines
 from corpusloom.operators.tokens import MAX_LENGTH, encode
-from corpusloom.session import spread, written
+from corpusloom.session import written
 from corpusloom.sources.blobs import hydrate_blobs, join_blob_store, scan_blob_store
 from corpusloom.sources.files import scan_jsonl, scan_lines, scan_manifest
 from corpusloom.sources.sinks import output_exists, split_dead_letter, write_jsonl, write_lines, write_text
@@ -78,8 +78,8 @@ def corpus_to_tokens(
 def repair_records(
     spark: SparkSession, path: str, out: str, dead_letters: str | None = None, fan_out: bool = True
 ) -> None:
-    """Question/answer lines to content lines; unusable lines go to their own output."""
-    lines = rewrite_lines(spread(scan_lines(spark, path)), "raw", fan_out)
+    """Question/answer lines to content lines in their order; unusable lines go to their own output."""
+    lines = rewrite_lines(scan_lines(spark, path), "raw", fan_out)
     if dead_letters is not None:
         lines = written(lines, "rewritten")
         write_lines(lines.where(F.col("lines").isNull()), dead_letters, mode="overwrite")

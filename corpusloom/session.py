@@ -12,7 +12,7 @@ _BYTES_PER_CORE = 2 * 128 * 1024 * 1024
 # A range of sorted rows; the shuffle setting alone would leave huge ones on a large table. The
 # estimate of a plan with joins can be far too high, hence the limit.
 _BYTES_PER_RANGE = 256 * 1024 * 1024
-_MOST_RANGES = 20_000
+_MOST_RANGES = 400_000
 # Spark's estimate for rows it knows nothing about is the largest long.
 _UNKNOWN_BYTES = 1 << 60
 

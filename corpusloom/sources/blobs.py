@@ -7,7 +7,7 @@ import random
 import time
 import urllib.request
 from collections.abc import Callable, Iterator
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -70,12 +70,18 @@ def hydrate_blobs(
         def one(blob_id):
             return _fetch_one(blob_id, fetcher, max_retries, errors, sleep)
 
+        columns = ["blob_id", "content", "attempts", "error"]
         with ThreadPoolExecutor(max_workers=threads) as pool:
-            for batch in batches:
-                ids = batch["blob_id"].tolist()
-                for start in range(0, len(ids), inflight):
-                    rows = list(pool.map(one, ids[start : start + inflight]))
-                    yield pd.DataFrame(rows, columns=["blob_id", "content", "attempts", "error"])
+            waiting: set = set()
+            for blob_id in (i for batch in batches for i in batch["blob_id"].tolist()):
+                # A finished id makes room for the next one; a slow id holds up nothing else.
+                if len(waiting) >= inflight:
+                    done, waiting = wait(waiting, return_when=FIRST_COMPLETED)
+                    yield pd.DataFrame([f.result() for f in done], columns=columns)
+                waiting.add(pool.submit(one, blob_id))
+            while waiting:
+                done, waiting = wait(waiting, return_when=FIRST_COMPLETED)
+                yield pd.DataFrame([f.result() for f in done], columns=columns)
 
     ids = manifest.select("blob_id")
     if partitions is None:
@@ -101,11 +107,11 @@ def scan_blob_store(spark, path) -> DataFrame:
 def join_blob_store(manifest: DataFrame, store: DataFrame, charset: str | None = None) -> DataFrame:
     """Each manifest row with its content; null content and an error when missing or unreadable.
 
-    ``store`` holds ``blob_id, data`` (gzip) with one row per id. Blobs travel compressed through the
+    ``store`` holds ``blob_id, data`` (gzip); of an id stored twice the smaller blob counts. Blobs travel compressed through the
     join and only those that the manifest names are unpacked. ``charset`` is the manifest column with
     a per-row encoding.
     """
-    packed = store.select("blob_id", F.col("data").alias("_data"), F.lit(True).alias("_found"))
+    packed = store.groupBy("blob_id").agg(F.min("data").alias("_data"), F.lit(True).alias("_found"))
     joined = left_join_unique(manifest, packed, "blob_id")
     text = unpack_text(F.col("_data"), F.col(charset) if charset else None)
     rows = joined.withColumn("content", text)

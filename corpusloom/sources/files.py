@@ -79,9 +79,13 @@ def count_inputs(spark: SparkSession, root: str, prefix: str = "", suffix: str =
     return files.agg(F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"))
 
 
-def scan_csv(spark: SparkSession, path, schema: str | None = None) -> DataFrame:
-    """CSV with a header. Without a schema the types are inferred, which costs one extra pass."""
-    reader = spark.read.option("header", True)
+def scan_csv(spark: SparkSession, path, schema: str | None = None, line_breaks: bool = True) -> DataFrame:
+    """CSV with a header, a quote in a cell written twice, and line breaks inside quoted cells.
+
+    Without a schema the types are inferred, which costs one extra pass. A file whose cells may hold
+    line breaks is read by one task; ``line_breaks=False`` splits files that are known to have none.
+    """
+    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", line_breaks)
     return reader.schema(schema).csv(path) if schema else reader.option("inferSchema", True).csv(path)
 
 
