@@ -16,14 +16,15 @@ One Spark round settles many merges at once, exactly:
    later pairs, so it ends the round.
 4. The merges are applied to the word table, which is written to the shared folder.
 
-The digest is only brought to the driver within a fixed size (``DIGEST_ROWS`` pieces of at most
-``DIGEST_PIECE`` symbols). When it is larger, ``K`` is lowered; at ``K = 1`` no digest is needed,
-since the best pair is the next merge.
+The digest is only brought to the driver within a fixed size (``DIGEST_ROWS`` pieces with
+``DIGEST_SYMBOLS`` symbols in all, so a few very long runs do no harm). When it is larger, ``K`` is
+lowered; at ``K = 1`` no digest is needed, since the best pair is the next merge.
 """
 
 from __future__ import annotations
 
 import heapq
+import json
 from collections import defaultdict
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
@@ -41,7 +42,7 @@ from corpusloom.session import scratch_path, spread, written
 # Special tokens in id order.
 SPECIAL_TOKENS = ("<s>", "<pad>", "</s>", "<unk>", "<mask>")
 DIGEST_ROWS = 100_000
-DIGEST_PIECE = 256
+DIGEST_SYMBOLS = 4_000_000
 # Pairs looked at in the first round; later rounds widen while the digest stays small.
 _FIRST_WIDTH = 64
 # Working ids: a character is its code point, merges follow, special tokens come before. The order
@@ -101,6 +102,32 @@ def save_tokenizer(model: BpeModel, spark: SparkSession, path: str, mode: str =
     ).write.mode(mode).parquet(f"{path}/options")
 
 
+def tokenizer_json(model: BpeModel) -> str:
+    """The model in the file format of the ``tokenizers`` library, for tools that read one file."""
+    special = [t for t in model.tokens if t in set(model.special)]
+    ids = {t: i for i, t in enumerate(model.tokens)}
+    flags = {"single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": True}
+    if model.words == "ws":
+        split, decoder = {"type": "Whitespace"}, None
+    else:
+        split = {"type": "ByteLevel", "add_prefix_space": model.add_prefix_space, "trim_offsets": True, "use_regex": True}
+        decoder = split
+    bpe = {
+        "type": "BPE", "dropout": None, "unk_token": "<unk>" if "<unk>" in ids else None, "continuing_subword_prefix": None,
+        "end_of_word_suffix": None, "fuse_unk": False, "byte_fallback": False, "ignore_merges": False, "vocab": ids,
+        "merges": [[model.tokens[a], model.tokens[b]] for a, b, _ in model.merges],
+    }
+    return json.dumps({
+        "version": "1.0", "truncation": None, "padding": None, "added_tokens": [{"id": ids[t], "content": t, **flags} for t in special],
+        "normalizer": None, "pre_tokenizer": split, "post_processor": None, "decoder": decoder, "model": bpe,
+    }, ensure_ascii=False)
+
+
+def save_tokenizer_json(model: BpeModel, spark: SparkSession, path: str, mode: str = "errorifexists") -> None:
+    """One text file with that format, in the folder ``path``."""
+    spark.createDataFrame([(tokenizer_json(model),)], "value string").coalesce(1).write.mode(mode).text(path)
+
+
 def load_tokenizer(spark: SparkSession, path: str) -> BpeModel:
     vocab = spark.read.parquet(f"{path}/vocab")
     if vocab.count() > MAX_VOCAB:
@@ -383,17 +410,16 @@ class WordTable:
         self._write(apply_merges(self.words, merges))
 
 
-def _digest(words: DataFrame, hot: list[tuple]):
-    """The digest as a list, or None when it is over its fixed size."""
-    rows = (
-        hot_pieces(words, hot)
-        .select(F.slice("symbols", 1, DIGEST_PIECE + 1).alias("symbols"), "n")
-        .limit(DIGEST_ROWS + 1)
-        .collect()
-    )
-    if len(rows) > DIGEST_ROWS or any(len(r.symbols) > DIGEST_PIECE for r in rows):
+def _digest(state: WordTable, hot: list[tuple]):
+    """The digest as a list, or None when it is over its fixed size, which is measured first."""
+    path = f"{state.base}/digest"
+    pieces = hot_pieces(state.words, hot)
+    pieces.write.mode("overwrite").parquet(path)
+    pieces = state.spark.read.schema(pieces.schema).parquet(path)
+    size = pieces.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.size("symbols")), F.lit(0)).alias("symbols")).first()
+    if size.rows > DIGEST_ROWS or size.symbols > DIGEST_SYMBOLS:
         return None
-    return [(r.symbols, r.n) for r in rows]
+    return [(r.symbols, r.n) for r in pieces.collect()]
 
 
 def merge_rounds(
@@ -414,7 +440,7 @@ def merge_rounds(
         if width > 1:
             best = best_pairs(state.words, width + 1, False)
             pairs = [(r.left, r.right) for r in best]
-            digest = _digest(state.words, pairs[:width]) if best else []
+            digest = _digest(state, pairs[:width]) if best else []
             if digest is None:
                 width = max(width // 4, 1)
                 continue

@@ -90,12 +90,36 @@ def test_small_digest_changes_nothing(rows, monkeypatch, limit):
     assert learned(rows, texts, 24, 1) == vocabulary(library(texts, 24, 1))
 
 
-def test_long_words_stay_out_of_the_digest(rows, monkeypatch):
-    monkeypatch.setattr(bpe, "DIGEST_PIECE", 3)
+def test_a_digest_with_too_many_symbols_changes_nothing(rows, monkeypatch):
+    monkeypatch.setattr(bpe, "DIGEST_SYMBOLS", 3)
     texts = ["abababababab abab aaaaaaa"]
     assert learned(rows, texts, 30, 1) == vocabulary(library(texts, 30, 1))
 
 
+def test_a_long_run_takes_no_more_rounds(rows, monkeypatch):
+    rounds = []
+    settle = bpe.settle
+    monkeypatch.setattr(bpe, "settle", lambda *a: rounds.append(1) or settle(*a))
+    texts = random_texts(5, 60, "abcdefgh")
+    plain = learned(rows, texts, 80, 1)
+    before = len(rounds)
+    long = [*texts, "=" * 3000]
+    assert learned(rows, long, 80, 1) == vocabulary(library(long, 80, 1)) != plain
+    assert len(rounds) - before <= 2 * before
+
+
+@pytest.mark.parametrize("words", ["ws", "bytes"])
+def test_the_tokenizer_file_loads(spark, rows, tmp_path, words):
+    texts = [*CASES["mixed"], "xab xab xbc abcx"]
+    model = bpe.bpe_train(rows(texts), "text", 90, 1, words=words)
+    bpe.save_tokenizer_json(model, spark, str(tmp_path / "t"))
+    (file,) = (tmp_path / "t").glob("part-*")
+    got, want = Tokenizer.from_file(str(file)), library(texts, 90, 1, words)
+    assert got.get_vocab() == want.get_vocab()
+    for t in texts:
+        assert got.encode(t).ids == want.encode(t).ids
+
+
 def test_special_token_equal_to_a_merge(rows):
     special = ("<s>", "ab", "q")
     texts = ["ab ab abc abc q qq abab"]
