@@ -54,7 +54,6 @@ def _features(word: str) -> list[int]:
     w = word.strip(_EDGES).lower()
     if not _LETTER.search(w):
         return []
-    w = w[:64]
     names = [f"w{w}"]
     names += [f"p{w[:n]}" for n in (1, 2, 3) if len(w) >= n] + [f"s{w[-n:]}" for n in (1, 2, 3, 4) if len(w) >= n]
     edged = f"^{w}$"
