@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +19,7 @@ _MOST_RANGES = 400_000
 _UNKNOWN_BYTES = 1 << 60
 
 _local_dirs: dict[str, str] = {}
+_scopes: list[str] = []
 
 
 def build_session(master: str, name: str = "corpusloom", **conf: str) -> SparkSession:
@@ -56,8 +59,24 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_dir(spark)}/corpusloom/{label}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder, in the innermost open scope."""
+    return "/".join([shared_dir(spark), "corpusloom", *_scopes[-1:], f"{label}-{uuid.uuid4().hex}"])
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes the intermediates written inside it when it closes.
+
+    A frame made inside reads those files lazily: write or collect it before the scope ends.
+    """
+    scope = "/".join([*_scopes[-1:], f"scope-{uuid.uuid4().hex}"])
+    _scopes.append(scope)
+    try:
+        yield
+    finally:
+        _scopes.remove(scope)
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/corpusloom/{scope}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

@@ -51,3 +51,17 @@ def test_only_shuffled_rows_are_written(spark, tmp_path):
     shuffled = scan.groupBy((F.col("id") % 7).alias("k")).count()
     assert session.in_stable_order(shuffled) is not shuffled
     assert session.in_stable_order(shuffled).count() == 7
+
+
+def test_a_closed_scope_leaves_no_files(spark):
+    import os
+
+    base = session.shared_dir(spark).removeprefix("file:")
+    with session.scratch_scope(spark):
+        kept = session.written(spark.range(10).toDF("x"), "outer")
+        with session.scratch_scope(spark):
+            assert session.written(spark.range(5).toDF("x"), "inner").count() == 5
+        assert kept.count() == 10
+        (scope,) = [d for d in os.listdir(f"{base}/corpusloom") if d.startswith("scope-")]
+        assert len(os.listdir(f"{base}/corpusloom/{scope}")) == 1
+    assert not [d for d in os.listdir(f"{base}/corpusloom") if d.startswith("scope-")]
