@@ -69,8 +69,10 @@ def gunzip(col: Column) -> Column:
 
 
 def decode_lossy(col: Column) -> Column:
-    """UTF-8 text with undecodable bytes dropped."""
-    return _decode_lossy(col)
+    """UTF-8 text with undecodable bytes dropped; only values that hold some go through Python."""
+    text = col.cast("string")
+    valid = F.coalesce(F.is_valid_utf8(text), F.lit(True))
+    return F.when(valid, text).otherwise(_decode_lossy(F.when(~valid, col)))
 
 
 def decode_as(col: Column, charset: Column) -> Column:

@@ -79,7 +79,8 @@ def with_parsed(df: DataFrame, col: str = "raw", nan: bool = True) -> DataFrame:
                 F.try_parse_json("_repaired")
             ),
         )
-        .withColumn("is_valid", F.col("_whole") | F.col("_repaired").isNotNull())
+        # A line over the size limit of a variant has no parsed value and counts as a failure.
+        .withColumn("is_valid", F.col("_whole") | (F.col("_repaired").isNotNull() & F.col("parsed").isNotNull()))
         .drop("_wrapped", "_whole", "_repaired")
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import single_line
@@ -36,8 +36,8 @@ def manifest_to_corpus(
     dead_letters: str | None = None,
     mode: str = "errorifexists",
     **fetch_options,
-) -> None:
-    """Manifests to one corpus, from a fetcher or from a blob store.
+) -> dict[str, int]:
+    """Manifests to one corpus, from a fetcher or from a blob store; returns ``rows`` and ``failed``.
 
     The hydrated rows are written once when failures are kept too, so that no blob is fetched twice.
     """
@@ -46,10 +46,13 @@ def manifest_to_corpus(
         rows = hydrate_blobs(ids, fetcher, **fetch_options)
     else:
         rows = join_blob_store(ids, scan_blob_store(spark, store))
+    seen = Observation()
+    rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.count("error").alias("failed"))
     if dead_letters is not None:
         rows = written(rows, "hydrated")
         split_dead_letter(rows, "error")[1].select("blob_id", "error").write.mode(mode).parquet(dead_letters)
     _write_corpus(rows, out, as_text, mode)
+    return seen.get
 
 
 def corpus_to_tokens(
@@ -77,10 +80,16 @@ def corpus_to_tokens(
 
 def repair_records(
     spark: SparkSession, path: str, out: str, dead_letters: str | None = None, fan_out: bool = True
-) -> None:
-    """Question/answer lines to content lines in their order; unusable lines go to their own output."""
+) -> dict[str, int]:
+    """Question/answer lines to content lines in their order; returns ``rows`` and ``failed``.
+
+    Unusable lines go to their own output if there is one.
+    """
     lines = rewrite_lines(scan_lines(spark, path), "raw", fan_out)
+    seen = Observation()
+    lines = lines.observe(seen, F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("lines").isNull(), 1)).alias("failed"))
     if dead_letters is not None:
         lines = written(lines, "rewritten")
         write_lines(lines.where(F.col("lines").isNull()), dead_letters, mode="overwrite")
     write_lines(lines.select(F.explode("lines").alias("raw")), out, mode="overwrite")
+    return seen.get

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.clock import local_time
 from corpusloom.operators import bpe, mapping, positions, profile
-from corpusloom.plans.flows import repair_records
+from corpusloom.plans.flows import manifest_to_corpus, repair_records
 from corpusloom.sources import blobs, files
 
 CELLS = ["line one\nline two", 'say "hi", ok', "plain", None, "a,b", '""']
@@ -54,7 +54,8 @@ def test_local_time_does_not_depend_on_the_session_zone(spark):
 def test_repaired_records_keep_line_order(spark, tmp_path):
     lines = [f'{{"question": "q{i}", "response": "r"}}' for i in range(3000)]
     (tmp_path / "qa.jsonl").write_text("\n".join(lines) + "\n")
-    repair_records(spark, str(tmp_path / "qa.jsonl"), str(tmp_path / "out"), fan_out=False)
+    counted = repair_records(spark, str(tmp_path / "qa.jsonl"), str(tmp_path / "out"), fan_out=False)
+    assert counted == {"rows": 3000, "failed": 0}
     got = [line for p in sorted((tmp_path / "out").glob("part-*")) for line in p.read_text().splitlines()]
     assert len(got) == 3000
     assert got == sorted(got, key=lambda line: int("".join(c for c in line if c.isdigit())))
@@ -101,3 +102,29 @@ def test_sorted_listing_is_sorted_and_stable(spark):
 def test_training_refuses_a_vocabulary_that_cannot_be_loaded(spark):
     with pytest.raises(ValueError, match="vocabulary over"):
         bpe.bpe_train(spark.createDataFrame([("a",)], "content string"), "content", bpe.MAX_VOCAB + 1)
+
+
+def test_flows_count_their_failures(spark, tmp_path):
+    import gzip
+
+    spark.createDataFrame([("a",), ("b",), ("c",)], "blob_id string").write.parquet(str(tmp_path / "m"))
+
+    def fetch(blob_id):
+        if blob_id == "b":
+            raise OSError("gone")
+        return gzip.compress(blob_id.encode())
+
+    quiet = manifest_to_corpus(spark, str(tmp_path / "m"), str(tmp_path / "o1"), fetch, max_retries=1)
+    loud = manifest_to_corpus(spark, str(tmp_path / "m"), str(tmp_path / "o2"), fetch, dead_letters=str(tmp_path / "d"), max_retries=1)
+    assert quiet == loud == {"rows": 3, "failed": 1}
+    (tmp_path / "qa.jsonl").write_text('{"question": "q", "response": "r"}\n{bad\n5\n')
+    for dead in (None, str(tmp_path / "dead")):
+        assert repair_records(spark, str(tmp_path / "qa.jsonl"), str(tmp_path / "out"), dead) == {"rows": 3, "failed": 2}
+
+
+def test_lossy_decoding_on_both_paths(spark):
+    from corpusloom.functions.blobs import decode_lossy
+
+    values = [b"plain", "çğş😀".encode(), b"a\xffb", b"", None, b"\xe2\x82"]
+    rows = spark.createDataFrame([(v,) for v in values], "d binary").select(decode_lossy(F.col("d")).alias("t")).collect()
+    assert [r.t for r in rows] == [None if v is None else v.decode("utf-8", "ignore") for v in values]
