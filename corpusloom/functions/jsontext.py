@@ -15,7 +15,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import ArrayType, StringType, StructType
 
 _MARK = "corpusloom.end.of.line"
 
@@ -92,6 +92,27 @@ def string_field(parsed: Column, key: str) -> Column:
     return F.when(kind == "STRING", F.try_variant_get(parsed, path, "string"))
 
 
+# Kinds of JSON values that a column type takes; a value of another kind is null, never cast.
+_KINDS = {
+    "string": "STRING", "boolean": "BOOLEAN", "tinyint": "BIGINT", "smallint": "BIGINT", "int": "BIGINT", "bigint": "BIGINT",
+    "float": "(BIGINT|DOUBLE|FLOAT|DECIMAL.*)", "double": "(BIGINT|DOUBLE|FLOAT|DECIMAL.*)", "decimal": "(BIGINT|DECIMAL.*)",
+}
+
+
+def typed_record(parsed: Column, schema: StructType) -> Column:
+    """The fields of a JSON object as a struct; null for any other value."""
+    fields = []
+    for f in schema.fields:
+        path, name = f"$['{f.name}']", f.dataType.simpleString()
+        value = F.try_variant_get(parsed, path, name)
+        kind = _KINDS.get(name.split("(")[0])
+        if kind is not None:
+            kinds = F.schema_of_variant(F.try_variant_get(parsed, path, "variant"))
+            value = F.when(kinds.rlike(f"^{kind}$"), value)
+        fields.append(value.alias(f.name))
+    return F.when(F.startswith(F.schema_of_variant(parsed), F.lit("OBJECT")), F.struct(*fields))
+
+
 def object_keys(parsed: Column) -> Column:
     """Top-level keys of a JSON object, null for any other value."""
     return F.json_object_keys(F.to_json(parsed))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from corpusloom.functions.jsontext import with_parsed
+from corpusloom.functions.jsontext import typed_record, with_parsed
 from corpusloom.functions.text import match_path
 
 TOKEN_SCHEMA = "input_ids array<int>"
@@ -38,12 +39,13 @@ FILE_ORDER = ["src_file", "src_block", "src_line"]
 def scan_jsonl(spark: SparkSession, path, schema: str | None = None, nan: bool = True) -> DataFrame:
     """JSON lines as ``raw, parsed, is_valid``; bad lines are kept and flagged.
 
-    ``parsed`` is a variant, or a struct when ``schema`` is given.
+    ``parsed`` is a variant, or a struct when ``schema`` is given: null unless the line is an
+    object, and a field is null unless its value is of the column's kind.
     """
     rows = with_parsed(scan_lines(spark, path), "raw", nan)
     if schema is None:
         return rows
-    return rows.withColumn("parsed", F.from_json(F.to_json("parsed"), schema))
+    return rows.withColumn("parsed", typed_record(F.col("parsed"), StructType.fromDDL(schema)))
 
 
 def scan_jsonl_strict(spark: SparkSession, path, schema: str | None = None) -> DataFrame:

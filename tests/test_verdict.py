@@ -128,3 +128,12 @@ def test_lossy_decoding_on_both_paths(spark):
     values = [b"plain", "çğş😀".encode(), b"a\xffb", b"", None, b"\xe2\x82"]
     rows = spark.createDataFrame([(v,) for v in values], "d binary").select(decode_lossy(F.col("d")).alias("t")).collect()
     assert [r.t for r in rows] == [None if v is None else v.decode("utf-8", "ignore") for v in values]
+
+
+def test_typed_lines_check_the_kind(spark, tmp_path):
+    lines = ['{"s": "x", "n": 5, "d": 1.5, "a": ["y"]}', '{"s": 5, "n": "5", "d": 2}', '{"s": [1], "n": 1.5}', "5", "[1]", '"s"', "null", "{}"]
+    (tmp_path / "t.jsonl").write_text("\n".join(lines) + "\n")
+    rows = files.scan_jsonl(spark, str(tmp_path / "t.jsonl"), "s string, n bigint, d double, a array<string>").collect()
+    assert all(r.is_valid for r in rows)
+    got = [None if r.parsed is None else tuple(r.parsed) for r in rows]
+    assert got == [("x", 5, 1.5, ["y"]), (None, None, 2.0, None), (None,) * 4, None, None, None, None, (None,) * 4]
