@@ -46,6 +46,7 @@ SELECT page_id, url FROM pages WHERE starts_with(url, 'https://') AND ends_with(
 ORDER BY url, page_id"""
 ORACLES["scan_csv"] = """
 SELECT doc_id, CAST(quality AS BIGINT) AS quality, CAST(toxic AS BIGINT) AS toxic FROM labels"""
+ORACLES["scan_csv_text"] = "SELECT doc_id, text FROM documents"
 ORACLES["scan_tokens"] = f"""
 SELECT CAST(len(ids) AS BIGINT) AS n_ids, md5(array_to_string(ids, ' ')) AS ids
 FROM (SELECT list_transform(regexp_extract_all(text, '{_WORDS}'), lambda w: length(w)) AS ids FROM documents)"""

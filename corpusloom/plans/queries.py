@@ -141,6 +141,15 @@ def path_predicate(spark, sf_dir):
     return pages.where(ftext.match_path(F.col("url"), "https://", ".html")).orderBy("url", "page_id")
 
 
+@query
+def scan_csv_text(spark, sf_dir):
+    """Whole texts, most of them with line breaks, written as CSV cells and read back."""
+    path = scratch_path(spark, "csv-text")
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return files.scan_csv(spark, path, "doc_id bigint, text string")
+
+
 @query
 def scan_csv(spark, sf_dir):
     path = scratch_path(spark, "csv")
