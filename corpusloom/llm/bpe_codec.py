@@ -28,10 +28,10 @@ from pyspark.sql import functions as F
 # Pieces are cut where white space follows other text; these are the white space of the pattern.
 _WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 # Distinct words kept with their ids, in each of two generations, and the longest ones kept.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 CACHED_LENGTH = 48
 # Border checks kept.
-CACHED_PAIRS = 1 << 20
+CACHED_PAIRS = 1 << 18
 
 
 def _ranks(path: str) -> dict[bytes, int]:
@@ -79,7 +79,7 @@ class Encoder:
         self.shorter = [self._prefix(t) for t in self.token]
         self.halves: list[tuple[int, int]] = [(i, i) for i in range(len(self.token))]
         self.merged: dict[tuple[int, int], int] = {}
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}
         # A token's halves are what its bytes become just before the last merge, all of lower rank.
         for i, t in enumerate(self.token):
             if len(t) > 1:
@@ -114,10 +114,6 @@ class Encoder:
 
     def _fit(self, a: int, b: int) -> bool:
         """Whether merging by rank leaves a border between tokens ``a`` and ``b``."""
-        key = (a, b)
-        known = self.fits.get(key)
-        if known is not None:
-            return known
         # Undo merges from the latest: a merge across the border that comes before the younger of the two
         # sides was made would have taken place.
         limit, fit = 1 << 62, True
@@ -136,7 +132,7 @@ class Encoder:
                 break
         if len(self.fits) >= CACHED_PAIRS:
             self.fits.clear()
-        self.fits[key] = fit
+        self.fits[a << 32 | b] = fit
         return fit
 
     def _search(self, t: str) -> list[int]:
@@ -150,7 +146,7 @@ class Encoder:
         at, before, token = 0, -1, longest[0]
         while True:
             end = at + length[token]
-            if not dead[end] and (before < 0 or fits((before, token)) or fit(before, token)):
+            if not dead[end] and (before < 0 or fits(before << 32 | token) or fit(before, token)):
                 out.append(token)
                 if end == n:
                     return out
@@ -230,6 +226,17 @@ def n_tokens(ids: Column) -> Column:
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns, ``ids``, ``n_tokens`` and ``decoded`` bytes of every row."""
-    coded = docs.select(*[F.col(f"`{c}`") for c in keep], encoded(F.col(f"`{text}`"), path, pattern).alias("ids"))
-    return coded.withColumn("n_tokens", n_tokens(F.col("ids"))).withColumn("decoded", decoded(F.col("ids"), path))
+    """``keep`` columns, ``ids``, ``n_tokens`` and ``decoded`` bytes of every row.
+
+    Both directions run in one worker, which then holds the tables once.
+    """
+
+    @F.arrow_udf("struct<ids:binary,decoded:binary>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder, decoder = _encoder(path, pattern), _decoder(path)
+        for texts in batches:
+            ids = [encoder.encode(t.as_py() or "") for t in texts]
+            yield pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(map(decoder.decode, ids), pa.binary())], ["ids", "decoded"])
+
+    coded = docs.select(*[F.col(f"`{c}`") for c in keep], both.asNondeterministic()(F.col(f"`{text}`")).alias("coded"))
+    return coded.select(*keep, F.col("coded.ids").alias("ids"), n_tokens(F.col("coded.ids")).alias("n_tokens"), F.col("coded.decoded").alias("decoded"))
