@@ -37,7 +37,7 @@ BROADCAST_DIGESTS = 100_000
 
 _SEGMENT = (
     "file string, range_start long, start long, size long, next long, exit long, page_id long, type string, "
-    "header long, length long, refers_to long, stated_length long, stated_digest string, whole boolean, digest string"
+    "header long, length long, refers_to long, stated_length long, stated_digest string, whole boolean, digest string, body binary"
 )
 
 _PIECE = "file string, range_start long, start long, size long, body binary"
@@ -117,9 +117,9 @@ def _parsed(segment: bytes) -> dict | None:
 
 
 def _cutter(bodies: bool):
-    """Reads this task's byte ranges cut by cut: the successor of those that look like records, or their bytes.
+    """Reads this task's byte ranges cut by cut: the successor of those that look like records, or all their bytes.
 
-    Offsets count from the first byte of the range's first cut.
+    Of a cut that is not a whole record the bytes are kept either way. Offsets count from the first byte of the range's first cut.
     """
     fields = [f.split(" ") for f in (_PIECE if bodies else _SEGMENT).split(", ")]
     kinds = {"string": pa.string(), "long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary()}
@@ -160,7 +160,7 @@ def _cutter(bodies: bool):
                     row["next"] = start + len(MAGIC) + ends + len(END)
                     if value[ends:] == END.encode():
                         row["whole"], row["digest"] = True, hashlib.sha256(value[found["header"] : ends]).hexdigest()
-                if bodies and not headless:
+                if not row["whole"] and not headless:
                     row["body"] = value
                 rows.append(row)
                 headless = False
@@ -236,13 +236,16 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     the end of its file cuts off is not returned.
     """
     segments = written(_scanned(spark, path, False), "warc-segments")
-    records = written(segments.join(_true_starts(segments), ["file", "start"]).drop("range_start", "exit"), "warc-records")
+    records = written(segments.where("next is not null").drop("body").join(_true_starts(segments), ["file", "start"]).drop("range_start", "exit"), "warc-records")
     whole = records.where("whole")
     broken = records.where("not whole")
     if not broken.isEmpty():
         # A payload that holds the magic was cut there: its pieces lie between its record and the next.
         own = broken.select("file", F.col("start").alias("own"), F.col("next"), "header", "length")
-        pieces = _scanned(spark, path, True).where("body is not null").select("file", "start", "body")
+        inside = own.join(segments.where("whole").select("file", "start"), "file").where("start > own and start < next")
+        # Only a payload that holds a whole record needs bytes that the first scan has not kept.
+        pieces = segments if inside.isEmpty() else _scanned(spark, path, True)
+        pieces = pieces.where("body is not null").select("file", "start", "body")
         parts = (
             own.join(pieces, "file").where("start >= own and start < next").groupBy("file", "own", "header", "length")
             .agg(F.sort_array(F.collect_list(F.struct("start", "body"))).alias("pieces"))
