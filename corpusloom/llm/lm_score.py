@@ -1,12 +1,16 @@
 """Language-model scoring by cross-entropy difference.
 
-Two bigram models, one of a target and one of the background, share one vocabulary: words are hashed to
-``2 ** WORD_BITS`` entries and pairs of words to ``2 ** PAIR_BITS``, so both models have a fixed size at any
-size of the corpus, and counting, which covers every row, sums in tasks first. The models are matched: the
-counts of the background are scaled to the target's number of words, and both are smoothed alike. A
+Two bigram models, one of a target and one of the background, are counted over every row. Words and pairs
+of words are told apart by 64-bit hashes of the whole word, so the written tables of counts grow with the corpus. The
+models are matched: the counts of the background are scaled to the target's number of words, and both are
+smoothed alike over one vocabulary, that of all words seen and of ``2 ** WORD_BITS`` words at least. A
 document's score is the mean over its words of target loss minus background loss, in nats: the lower, the
 closer to the target.
 
+Pairs that make up ``1 / FREQUENT`` of all, of which there are at most ``FREQUENT``, are scored while texts are
+read; the other pairs of a document are joined with the table and summed per row. Equally, frequent words
+are broadcast and the others joined.
+
 Words are lower-cased A-Z between ASCII white space; the first word of a text follows a start mark. A
 null or empty text has no words and null losses. Rows are scored as often as they come in; a null
 ``doc_id`` is background. Without any target row all scores compare equal models and are 0.
@@ -22,8 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.shingles import Shingler
+from corpusloom.session import in_stable_order, written
 
+# The smoothed vocabulary has at least so many words. PAIR_BITS only serves ``cells``.
 WORD_BITS, PAIR_BITS = 16, 18
+# A word or pair with this share of all counts is broadcast, so at most twice as many words and as many pairs are.
+FREQUENT = 100_000
+# Words of texts that are counted at once, and rows of a batch sent back.
+_COUNTED_WORDS, _BATCH_ROWS = 1 << 21, 1 << 16
 # Weight of the word model in the pair model, and of the uniform model in the word model.
 PAIR_PRIOR, WORD_PRIOR = 20.0, 1.0
 # Target ids that are broadcast, at most; beyond, documents are joined with them by a shuffle.
@@ -33,38 +43,25 @@ _PAIR = np.uint64(0x9E3779B97F4A7C15)
 _START = np.uint64(0x94D049BB133111EB)
 
 
-def cells(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The cells of a text's words, of the word before each, and of the pairs."""
-    before = np.concatenate([[_START], words[:-1]]).astype(np.uint64) if len(words) else words
-    mask = np.uint64((1 << WORD_BITS) - 1)
-    pair = ((before * _PAIR) ^ words) * _PAIR
-    return words & mask, before & mask, pair >> np.uint64(64 - PAIR_BITS)
+# Cells of fixed tables: on few words, where hardly any two share one, they count what the models count.
+_RANGES = ((0, 1 << WORD_BITS), (1 << WORD_BITS, 2 << WORD_BITS), (2 << WORD_BITS, (2 << WORD_BITS) + (1 << PAIR_BITS)))
+_CELLS = _RANGES[-1][1]
 
 
-class Models:
-    """Losses under both models from the dense counts of words, of words as contexts, and of pairs."""
+def _before(words: np.ndarray) -> np.ndarray:
+    """The word before each word of a text."""
+    return np.concatenate([[_START], words[:-1]]).astype(np.uint64) if len(words) else words
 
-    def __init__(self, counts: np.ndarray):
-        words, contexts, pairs = (counts[:, a:b].astype(np.float64) for a, b in _RANGES)
-        totals = words.sum(axis=1)
-        matched = np.ones(2)
-        if totals.all():
-            matched[1] = totals[0] / totals[1]
-        elif not totals[0]:
-            words, contexts, pairs = (np.stack([x[1], x[1]]) for x in (words, contexts, pairs))
-        self.words, self.contexts, self.pairs = (x * matched[:, None] for x in (words, contexts, pairs))
-        self.totals = self.words.sum(axis=1)
 
-    def losses(self, word: np.ndarray, before: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        out = []
-        for m in (0, 1):
-            single = (self.words[m][word] + WORD_PRIOR) / (self.totals[m] + WORD_PRIOR * (1 << WORD_BITS))
-            out.append(-np.log((self.pairs[m][pair] + PAIR_PRIOR * single) / (self.contexts[m][before] + PAIR_PRIOR)))
-        return out[0], out[1]
+def _pairs(before: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return ((before * _PAIR) ^ words) * _PAIR
 
 
-_RANGES = ((0, 1 << WORD_BITS), (1 << WORD_BITS, 2 << WORD_BITS), (2 << WORD_BITS, (2 << WORD_BITS) + (1 << PAIR_BITS)))
-_CELLS = _RANGES[-1][1]
+def cells(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The cells of a text's words, of the word before each, and of the pairs."""
+    before = _before(words)
+    mask = np.uint64((1 << WORD_BITS) - 1)
+    return words & mask, before & mask, _pairs(before, words) >> np.uint64(64 - PAIR_BITS)
 
 
 def _marked(docs: DataFrame, target: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -76,46 +73,122 @@ def _marked(docs: DataFrame, target: DataFrame, text: str, doc_id: str) -> DataF
     return rows.join(ids, "id", "left").select("text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
 
 
-def counted(docs: DataFrame, target: DataFrame, text: str = "text", doc_id: str = "doc_id") -> np.ndarray:
-    """Dense counts of the target and of all rows, over words, contexts and pairs."""
+def _sliced(columns: list[pa.Array], names: list[str]) -> Iterator[pa.RecordBatch]:
+    whole = pa.RecordBatch.from_arrays(columns, names)
+    for i in range(0, whole.num_rows, _BATCH_ROWS):
+        yield whole.slice(i, _BATCH_ROWS)
+
+
+def counted(docs: DataFrame, target: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """``before, word, target, background``: the counts of every pair of words, of the target and of all rows."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, sums = Shingler(1), np.zeros((2, _CELLS), dtype=np.int64)
+        shingler, held, n = Shingler(1), [], 0
+
+        def summed() -> Iterator[pa.RecordBatch]:
+            words, before = np.concatenate([w for w, _ in held]), np.concatenate([_before(w) for w, _ in held])
+            mine = np.repeat([m for _, m in held], [len(w) for w, _ in held])
+            _, first, which = np.unique(_pairs(before, words), return_index=True, return_inverse=True)
+            sums = np.bincount(which, mine, len(first)).astype(np.int64), np.bincount(which, minlength=len(first))
+            yield from _sliced([pa.array(x) for x in (before[first].view(np.int64), words[first].view(np.int64), *sums)], ["before", "word", "target", "background"])
+
         for batch in batches:
             for words, mine in zip(shingler.words(batch.column(0)), batch.column(1).to_pylist()):
-                for (low, _), at in zip(_RANGES, cells(words)):
-                    at = at.astype(np.int64) + low
-                    np.add.at(sums[1], at, 1)
-                    if mine:
-                        np.add.at(sums[0], at, 1)
-        used = np.flatnonzero(sums[1])
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(sums[0][used]), pa.array(sums[1][used])], ["cell", "target", "background"])
-
-    rows = _marked(docs, target, text, doc_id).mapInArrow(count, "cell int, target long, background long")
-    summed = rows.groupBy("cell").agg(F.sum("target").alias("target"), F.sum("background").alias("background")).toPandas()
-    out = np.zeros((2, _CELLS), dtype=np.int64)
-    for i, name in enumerate(("target", "background")):
-        out[i][summed["cell"].to_numpy(np.int64)] = summed[name].to_numpy(np.int64)
-    return out
+                if len(words):
+                    held.append((words, mine))
+                    n += len(words)
+                if n >= _COUNTED_WORDS:
+                    yield from summed()
+                    held, n = [], 0
+        if held:
+            yield from summed()
+
+    rows = _marked(docs, target, text, doc_id).mapInArrow(count, "before long, word long, target long, background long")
+    return rows.groupBy("before", "word").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
+
+
+def _with_counts(pairs: DataFrame, key: str, words: DataFrame, least: float) -> DataFrame:
+    """The pairs with the ``counts`` of one of their words: frequent words broadcast, the rest by a shuffle."""
+    counts = words.select(F.col("id").alias("other"), F.struct("target", "background").alias("counts"), F.col("background").alias("n"))
+    frequent = F.broadcast(counts.where(F.col("n") >= least).select(F.col("other").alias(key), F.col("counts").alias("frequent")))
+    # Pairs of frequent words are spread by their own hash, which finds nothing more.
+    spread = pairs.join(frequent, key, "left").withColumn("other", F.when(F.col("frequent").isNull(), F.col(key)).otherwise(F.xxhash64("before", "word")))
+    rest = counts.where(F.col("n") < least).drop("n")
+    return spread.join(rest, "other", "left").withColumn(f"of_{key}", F.coalesce("frequent", "counts")).drop("other", "frequent", "counts")
+
+
+def _losses(pairs: DataFrame, words: DataFrame, contexts: DataFrame, totals: tuple[int, int], vocabulary: int) -> DataFrame:
+    """``before, word, target_loss, background_loss`` of the pairs under both models."""
+    least = totals[1] / FREQUENT
+    pairs = _with_counts(_with_counts(pairs, "word", words, least), "before", contexts, least)
+    # Without a target both models are the background's.
+    models = [("target", 1.0) if totals[0] else ("background", 1.0), ("background", totals[0] / totals[1] if totals[0] else 1.0)]
+    matched = totals[0] or totals[1]
+    out = []
+    for (counts, scale), name in zip(models, ("target_loss", "background_loss")):
+        single = (F.col(f"of_word.{counts}") * scale + WORD_PRIOR) / (matched + WORD_PRIOR * vocabulary)
+        pair = (F.col(counts) * scale + PAIR_PRIOR * single) / (F.col(f"of_before.{counts}") * scale + PAIR_PRIOR)
+        out.append((-F.log(pair)).alias(name))
+    return pairs.select("before", "word", *out)
 
 
 def cross_entropy_difference(docs: DataFrame, target: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``doc_id, n_words, target_loss, background_loss, score`` of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(counted(docs, target, text, doc_id))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, models = Shingler(1), Models(shared.value)
+    pairs = written(counted(docs, target, text, doc_id), "lm-pairs")
+    sums = [F.sum(n).alias(n) for n in ("target", "background")]
+    words = written(pairs.groupBy(F.col("word").alias("id")).agg(*sums), "lm-words")
+    contexts = written(pairs.groupBy(F.col("before").alias("id")).agg(*sums), "lm-contexts")
+    total = words.agg(*sums, F.count("*").alias("n")).first()
+    totals = (total["target"] or 0, max(total["background"] or 0, 1))
+    vocabulary = max(total["n"], 1 << WORD_BITS)
+    often = F.col("background") >= totals[1] / FREQUENT
+    # At most FREQUENT rows.
+    top = _losses(pairs.where(often), words, contexts, totals, vocabulary).toPandas()
+    keys = _pairs(top["before"].to_numpy(np.int64).view(np.uint64), top["word"].to_numpy(np.int64).view(np.uint64))
+    order = np.argsort(keys)
+    shared = docs.sparkSession.sparkContext.broadcast((keys[order], top[["target_loss", "background_loss"]].to_numpy(np.float64)[order]))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler, (keys, losses) = Shingler(1), shared.value
+        names = ["row", "before", "word", "n", "head"]
+        kind = pa.struct([("doc_id", pa.int64()), ("n_words", pa.int64()), ("target_loss", pa.float64()), ("background_loss", pa.float64())])
         for batch in batches:
-            n, a, b = [], [], []
-            for words in shingler.words(batch.column(1)):
-                x, y = models.losses(*cells(words))
-                n.append(len(words))
-                a.append(float(x.mean()) if len(words) else None)
-                b.append(float(y.mean()) if len(words) else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.float64()), pa.array(b, pa.float64())], ["doc_id", "n_words", "target_loss", "background_loss"]
-            )
-
-    rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    scored = rows.mapInArrow(score, "doc_id long, n_words long, target_loss double, background_loss double")
-    return scored.withColumn("score", F.col("target_loss") - F.col("background_loss"))
+            heads, rest, n = [], [], 0
+
+            def sent() -> Iterator[pa.RecordBatch]:
+                yield from _sliced(
+                    [pa.array([h[0] for h in heads], pa.int64()), *(pa.nulls(len(heads), t) for t in (pa.int64(), pa.int64(), pa.int32())), pa.array([h[1] for h in heads], kind)], names
+                )
+                if rest:
+                    columns = [np.concatenate(c) for c in zip(*rest)]
+                    yield from _sliced([*(pa.array(c) for c in columns), pa.nulls(len(columns[0]), kind)], names)
+
+            for row, i, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), shingler.words(batch.column(2))):
+                before = _before(words)
+                distinct, first, times = np.unique(_pairs(before, words), return_index=True, return_counts=True)
+                known = np.zeros(len(distinct), dtype=bool)
+                a = b = 0.0
+                if len(keys):
+                    at = np.minimum(np.searchsorted(keys, distinct), len(keys) - 1)
+                    known = keys[at] == distinct
+                    a, b = (float(x) for x in times[known] @ losses[at[known]])
+                heads.append((row, {"doc_id": i, "n_words": len(words), "target_loss": a, "background_loss": b}))
+                first = first[~known]
+                rest.append((np.full(len(first), row, np.int64), before[first].view(np.int64), words[first].view(np.int64), times[~known].astype(np.int32)))
+                n += len(first)
+                if n >= _COUNTED_WORDS:
+                    yield from sent()
+                    heads, rest, n = [], [], 0
+            yield from sent()
+
+    rows = in_stable_order(docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")))
+    rows = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    parts = rows.mapInArrow(read, "row long, before long, word long, n int, head struct<doc_id:long,n_words:long,target_loss:double,background_loss:double>")
+    # A row's head has no pair; its key spreads heads over all tasks.
+    parts = parts.select("row", F.when(F.col("head").isNull(), F.xxhash64("before", "word")).otherwise(F.xxhash64("row")).alias("pair"), "n", "head")
+    table = _losses(pairs.where(~often), words, contexts, totals, vocabulary).select(F.xxhash64("before", "word").alias("pair"), "target_loss", "background_loss")
+    loss = {n: F.sum(F.coalesce(F.col(f"head.{n}"), F.col("n") * F.col(n))).alias(n) for n in ("target_loss", "background_loss")}
+    summed = parts.join(table, "pair", "left").groupBy("row").agg(F.max("head.doc_id").alias("doc_id"), F.max("head.n_words").alias("n_words"), *loss.values())
+    # Null where there are no words.
+    mean = [F.when(F.col("n_words") > 0, F.col(n) / F.col("n_words")).alias(n) for n in loss]
+    return summed.select("doc_id", "n_words", *mean).withColumn("score", F.col("target_loss") - F.col("background_loss"))

@@ -1,6 +1,7 @@
 import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -157,3 +158,32 @@ def test_nearest_neighbour_edges(spark):
     got = sorted((r.query_id, r.rank, r.vec_id, round(r.score, 9)) for r in nearest(vectors, F.col("vec_id") == 0).collect())
     assert got == [(0, 1, 1, 1.0), (0, 2, 2, 1.0), (0, 3, 11, 1.0), (0, 4, 8, 0.0), (0, 5, 9, -1.0)]
     assert nearest(vectors.limit(0), F.col("vec_id") == 0).count() == 0
+
+
+def test_cross_entropy_difference_counts_real_words_and_pairs(spark):
+    # More words and pairs than any fixed table of cells would tell apart; every pair is rare.
+    rng = random.Random(2)
+    rows = [(i, " ".join(f"w{rng.randrange(150_000)}" for _ in range(4_000))) for i in range(100)]
+    target = set(range(0, 100, 3))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    words, contexts, pairs = Counter(), Counter(), Counter()
+    for i, t in rows:
+        each = t.split()
+        for m in (0, 1) if i in target else (1,):
+            words.update((m, w) for w in each)
+            contexts.update((m, w) for w in ["", *each[:-1]])
+            pairs.update((m, a, w) for a, w in zip(["", *each], each))
+    total = [sum(n for (m, _), n in words.items() if m == k) for k in (0, 1)]
+    scale, vocabulary = [1.0, total[0] / total[1]], len({w for _, w in words})
+    assert vocabulary > 1 << lm_score.WORD_BITS
+    got = {r.doc_id: r for r in lm_score.cross_entropy_difference(docs, spark.createDataFrame([(i,) for i in target], "doc_id long")).collect()}
+    assert len(got) == 100
+    for i, t in rows[:7]:
+        each, loss = t.split(), []
+        for m in (0, 1):
+            sum_ = 0.0
+            for a, w in zip(["", *each], each):
+                single = (words[m, w] * scale[m] + lm_score.WORD_PRIOR) / (total[0] + lm_score.WORD_PRIOR * vocabulary)
+                sum_ -= math.log((pairs[m, a, w] * scale[m] + lm_score.PAIR_PRIOR * single) / (contexts[m, a] * scale[m] + lm_score.PAIR_PRIOR))
+            loss.append(sum_ / len(each))
+        assert (got[i].n_words, got[i].target_loss, got[i].background_loss) == (4_000, pytest.approx(loss[0]), pytest.approx(loss[1]))
