@@ -6,9 +6,10 @@ prefix or separators, addresses next to odd characters. Boosted trees, trained o
 the context of candidates, score them; a kind's threshold is calibrated on candidates that training
 did not see, and a candidate over it is added where it overlaps no base span and no better one.
 
-There are no labels for personal data, so the trees learn from the base patterns: a candidate is
-positive if it lies on a base span of its kind, and the trees never see the feature that decides
-this, only the form and the words around it.
+There are no labels for personal data. Positive are candidates that lie on a base span of their kind and pass
+its check. Negative are candidates off those that cannot be added: they fail the check (Luhn, octets, number of
+digits, standing alone, a domain) or lie on a base span of another kind. What may be added, a candidate that passes and
+touches no base span, is never an example. The trees see no sign or separator, which tell base patterns from the rest.
 
 A null text counts as empty. Offsets are code points, ends exclusive. Rows that repeat are returned
 as often as they came in. Other columns are ignored. Texts are read whole at any length: every
@@ -51,7 +52,7 @@ GENERATORS = {
     ),
     "ip": (r"(?<![0-9])[0-9]{1,3}+(?:\x20?[.,:_]\x20?[0-9]{1,3}+){3}(?![0-9])", lambda t: F.rlike(t, F.lit(r"[0-9]\x20?[.,:_]\x20?[0-9]"))),
     "card": (r"(?<![0-9])[0-9](?:[\x20./_-]{0,2}+[0-9]){11,22}+", lambda t: F.rlike(t, F.lit(r"[0-9][\x20./_-]{0,2}[0-9][\x20./_-]{0,2}[0-9][\x20./_-]{0,2}[0-9]"))),
-    "phone": (r"(?<![0-9])(?:\+|00)?[0-9]{0,3}[\x20.-]{0,2}+\(?[0-9]{3}\)?[\x20.-]{0,2}[0-9]{3}[\x20.-]{0,2}[0-9]{4}(?![0-9])", lambda t: F.rlike(t, F.lit(r"[0-9]{3}[\x20.-]{0,2}[0-9]{4}"))),
+    "phone": (r"(?<![0-9])(?=[+(0-9])(?:\+|00)?[0-9]{0,3}[\x20.-]{0,2}+\(?[0-9]{3}\)?[\x20.-]{0,2}[0-9]{3}[\x20.-]{0,2}[0-9]{4}(?![0-9])", lambda t: F.rlike(t, F.lit(r"[0-9]{3}[\x20.-]{0,2}[0-9]{4}"))),
 }
 # Candidates that the trees learn from and are calibrated on, at most.
 MOST_EXAMPLES = 20_000
@@ -59,6 +60,8 @@ MOST_EXAMPLES = 20_000
 PRECISION = 0.95
 LEAST_EXAMPLES = 40
 _CONTEXT = 24
+# The dot of a domain in any notation.
+_DOT = r"(?:\.| ?[(\[]dot[)\]] ?| dot )"
 
 
 def _hits(text: Column, pattern: str, needed: Column) -> Column:
@@ -100,36 +103,49 @@ def _passes(kind: Column, match: Column) -> Column:
     )
 
 
+def _valid(kind: Column, match: Column, before: Column, after: Column) -> Column:
+    """Whether a candidate in any notation passes the check of its kind."""
+    digits = _digits(match)
+    n = F.char_length(digits)
+    parts = F.regexp_extract_all(match, F.lit("[0-9]+"), F.lit(0))
+    alone = ~F.rlike(before, F.lit(r"[\p{L}\p{N}]$")) & ~F.rlike(after, F.lit(r"^[\p{L}\p{N}]"))
+    return (
+        F.when(kind == "ip", F.forall(parts, lambda p: F.coalesce(p.try_cast("int"), F.lit(256)) <= 255) & alone)
+        .when(kind == "card", n.between(13, 19) & luhn(digits) & alone).when(kind == "phone", n.between(9, 15) & alone)
+        .otherwise(F.rlike(match, F.lit(rf"(?i){_DOT}[a-z]{{2,24}}$")))
+    )
+
+
 def _features(c: DataFrame) -> tuple[DataFrame, list[str]]:
-    """Form and context of a candidate as numbers."""
-    match, before, after = F.col("match"), F.col("before"), F.col("after")
-    count = lambda what: F.char_length(F.regexp_replace(match, f"[^{what}]", "")).cast("double")
+    """Content and context of a candidate as numbers, the same in every notation."""
+    match, before, after, kind = F.col("match"), F.col("before"), F.col("after"), F.col("kind")
     number = lambda condition: condition.cast("double")
+    digits = _digits(match)
     made = {
-        "length": F.char_length(match).cast("double"),
-        "n_digits": count("0-9"), "n_letters": count("A-Za-z"), "n_dots": count("."), "n_spaces": count(r"\x20"),
-        "n_signs": count(r"()\[\]_/:,%+-"), "n_at": count("@"),
-        "runs": F.size(F.regexp_extract_all(match, F.lit("[0-9]+"), F.lit(0))).cast("double"),
-        "longest_run": F.coalesce(F.array_max(F.transform(F.regexp_extract_all(match, F.lit("[0-9]+"), F.lit(0)), lambda r: F.char_length(r))), F.lit(0)).cast("double"),
-        "first_digit": F.coalesce(F.substring(_digits(match), 1, 1).try_cast("double"), F.lit(-1.0)),
-        "plus": number(F.startswith(match, F.lit("+"))),
-        "ending": F.char_length(F.regexp_extract(match, "[A-Za-z]*$", 0)).cast("double"),
+        # Of phones the first digit would tell the prefix.
+        "first_digit": F.when(kind == "card", F.substring(digits, 1, 1).try_cast("double")).otherwise(-1.0),
+        "distinct_digits": F.when(kind == "card", F.size(F.array_distinct(F.split(digits, ""))).cast("double")).otherwise(-1.0),
+        "domain_parts": F.when(kind == "email", F.size(F.regexp_extract_all(match, F.lit(rf"(?i){_DOT}"), F.lit(0))).cast("double")).otherwise(-1.0),
+        "ending": F.when(kind == "email", F.char_length(F.regexp_extract(match, "[A-Za-z]*$", 0)).cast("double")).otherwise(-1.0),
         "after_word": number(F.rlike(before, F.lit(r"(?i)(mail|contact|call|phone|tel|card|visa|address|server|host|ip|reach|write)\W{0,3}$"))),
         "glued_before": number(F.rlike(before, F.lit(r"[\p{L}\p{N}]$"))), "glued_after": number(F.rlike(after, F.lit(r"^[\p{L}\p{N}]"))),
         "quoted": number(F.rlike(before, F.lit("[\"'=]$"))), "space_before": number(F.rlike(before, F.lit(r"(^|\s)$"))),
         "space_after": number(F.rlike(after, F.lit(r"^(\s|$)"))), "digit_near": number(F.rlike(F.concat(before, F.lit("|"), after), F.lit("[0-9]"))),
     }
     for k in KINDS:
-        made[f"is_{k}"] = number(F.col("kind") == k)
+        made[f"is_{k}"] = number(kind == k)
     return c.withColumns(made), list(made)
 
 
 def _scored(candidates: DataFrame) -> tuple[DataFrame, dict[str, float]] | None:
     """Candidates with the trees' score, and the threshold of each kind; None with too few examples."""
     featured, names = _features(candidates)
-    data = VectorAssembler(inputCols=names, outputCol="features").transform(featured).withColumn("label", F.col("on_base").cast("double"))
+    data = VectorAssembler(inputCols=names, outputCol="features").transform(featured)
+    # Null for what may be added.
+    label = F.when(F.col("on_base"), F.when(F.col("valid"), 1.0)).when(~(F.col("free") & F.col("valid")), 0.0)
+    data = data.withColumn("label", label)
     order = F.xxhash64("match", "before", "after")
-    examples = written(data.select("row", "kind", "start", "label", *names, order.alias("order")).orderBy("order", "row", "start").limit(MOST_EXAMPLES), "pii-examples")
+    examples = written(data.where("label is not null").select("row", "kind", "start", "label", *names, order.alias("order")).orderBy("order", "row", "start").limit(MOST_EXAMPLES), "pii-examples")
     examples = VectorAssembler(inputCols=names, outputCol="features").transform(examples)
     unseen = F.pmod(F.col("order"), F.lit(10)) >= 7
     seen = {r["label"]: r["count"] for r in examples.where(~unseen).groupBy("label").count().collect()}
@@ -178,7 +194,8 @@ def find_pii(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tup
     placed = written(placed, "pii-spans")
     base = placed.where("base").select("row", "kind", "start", "end", "base", "match")
     marked = _touching(_touching(placed, "free", "row"), "on_base", "row", "kind").withColumn("free", ~F.col("free"))
-    candidates = marked.where("not base").drop("base")
+    valid = _valid(F.col("kind"), F.col("match"), F.col("before"), F.col("after"))
+    candidates = marked.where("not base").drop("base").withColumn("valid", valid)
     scored = _scored(written(candidates, "pii-candidates"))
     if scored is None:
         return rows.select("row", "doc_id"), base
@@ -186,7 +203,7 @@ def find_pii(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tup
     enough = F.lit(False)
     for kind, least in thresholds.items():
         enough = enough | ((F.col("kind") == kind) & (F.col("score") >= least))
-    chosen = candidates.where(F.col("free") & enough).select("row", "kind", "start", "end", "match", "score")
+    chosen = candidates.where(F.col("free") & F.col("valid") & enough).select("row", "kind", "start", "end", "match", "score")
     # Of candidates that overlap in a chain the best scored, then the longest, then the first stays.
     before = Window.partitionBy("row").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     so_far = Window.partitionBy("row").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, 0)

@@ -60,3 +60,37 @@ def test_runs_that_match_nothing_take_linear_time(spark):
 
 def test_empty_table(spark):
     assert pii_summary(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def with_luhn(start):
+    return next(start + str(d) for d in range(10) if luhn(start + str(d)))
+
+
+def planted_rows(n):
+    """Base spans, numbers and phrases that are none, and personal data in other notations."""
+    rng = random.Random(5)
+    number = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
+    rows, hidden, ordinary = [], {}, {}
+    for i in range(n):
+        card = with_luhn("4" + number(14))
+        wrong = card[:-1] + str((int(card[-1]) + 1) % 10)
+        area, line = number(3), number(4)
+        rows += [
+            (f"mail jo.{number(2)}@mail{i % 9}.example.com soon", None), (f"card {card} paid", None), (f"call +1 ({area}) 555-{line} now", None),
+            (f"look at {'abcdefgh'[i % 8] * 4} (at) noon", None), (f"part {wrong} shipped", None), (f'token = "ab{number(10)}cd" end', None),
+        ]
+        if i % 10 == 0:
+            rows += [("mail jane (at) site (dot) com soon", "hidden"), (f"call {area} 555 {line} now", "hidden"), (f"card {card[:4]}.{card[4:8]}.{card[8:12]}.{card[12:]} paid", "hidden")]
+            rows += [(f"part {wrong[:4]}.{wrong[4:8]}.{wrong[8:12]}.{wrong[12:]} shipped", "ordinary"), ("we met (at) noon there", "ordinary"), (f'token = "{"ef"}{number(10)}ab" end', "ordinary")]
+    for i, (_, what) in enumerate(rows):
+        if what:
+            (hidden if what == "hidden" else ordinary)[i] = rows[i][0]
+    return [(i, t) for i, (t, _) in enumerate(rows)], hidden, ordinary
+
+
+def test_obfuscated_spans_are_found_and_ordinary_numbers_left(spark):
+    rows, hidden, ordinary = planted_rows(200)
+    got = {r.doc_id: r.spans for r in pii_summary(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert sum(not got[i] for i in hidden) == 0, [hidden[i] for i in hidden if not got[i]][:5]
+    # A number that passes for a base span by chance stays one.
+    assert [(ordinary[i], got[i]) for i in ordinary if got[i] and not base(ordinary[i])] == []
