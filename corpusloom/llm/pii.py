@@ -54,11 +54,19 @@ GENERATORS = {
     "card": (r"(?<![0-9])[0-9](?:[\x20./_-]{0,2}+[0-9]){11,22}+", lambda t: F.rlike(t, F.lit(r"[0-9][\x20./_-]{0,2}[0-9][\x20./_-]{0,2}[0-9][\x20./_-]{0,2}[0-9]"))),
     "phone": (r"(?<![0-9])(?=[+(0-9])(?:\+|00)?[0-9]{0,3}[\x20.-]{0,2}+\(?[0-9]{3}\)?[\x20.-]{0,2}[0-9]{3}[\x20.-]{0,2}[0-9]{4}(?![0-9])", lambda t: F.rlike(t, F.lit(r"[0-9]{3}[\x20.-]{0,2}[0-9]{4}"))),
 }
-# Candidates that the trees learn from and are calibrated on, at most.
+# Candidates that the trees learn from, at most; each kind and label has an equal part. Calibration covers all.
 MOST_EXAMPLES = 20_000
-# A kind's threshold is the lowest score over which at least this share of unseen candidates is positive.
+# A kind's threshold is the lowest score over which at least this share is right, were there as many negatives as positives.
 PRECISION = 0.95
+# A kind with fewer examples to learn from, or a quarter of them to calibrate with, of either label is added
+# only after a word that names it.
 LEAST_EXAMPLES = 40
+# Negatives that pass the check by chance for each that fails it.
+BY_CHANCE = {"card": 1 / 9}
+NAMED_BY = {
+    "email": "mail|contact|address|reach|write", "ip": "ip|address|server|host", "card": "card|visa|mastercard",
+    "phone": "phone|tel|call|mobile|contact|reach",
+}
 _CONTEXT = 24
 # The dot of a domain in any notation.
 _DOT = r"(?:\.| ?[(\[]dot[)\]] ?| dot )"
@@ -137,32 +145,61 @@ def _features(c: DataFrame) -> tuple[DataFrame, list[str]]:
     return c.withColumns(made), list(made)
 
 
-def _scored(candidates: DataFrame) -> tuple[DataFrame, dict[str, float]] | None:
-    """Candidates with the trees' score, and the threshold of each kind; None with too few examples."""
+def _examples(data: DataFrame, names: list[str]) -> DataFrame:
+    """Examples of each kind and label, bounded and as evenly weighted, one of each text and context."""
+    keys = data.where(~F.col("unseen") & F.col("label").isNotNull()).select("kind", "label", "order").distinct()
+    place = F.row_number().over(Window.partitionBy("kind", "label").orderBy("order"))
+    keys = keys.withColumn("place", place).where(F.col("place") <= MOST_EXAMPLES // (2 * len(KINDS))).drop("place")
+    sample = data.join(F.broadcast(keys), ["kind", "label", "order"]).groupBy("kind", "label", "order").agg(*[F.min(n).alias(n) for n in names])
+    sample = written(sample, "pii-examples")
+    parts = sample.groupBy("kind").agg(F.count(F.when(F.col("label") == 0, 1)).alias("bad"), F.count(F.when(F.col("label") == 1, 1)).alias("good"))
+    parts = parts.where(F.least("bad", "good") >= LEAST_EXAMPLES)
+    return sample.join(F.broadcast(parts), "kind").withColumn("weight", 1000 / F.when(F.col("label") == 1, F.col("good")).otherwise(F.col("bad")))
+
+
+def _threshold(steps: list[tuple[int, float, int]], chance: float) -> float | None:
+    """The threshold from the positives and all examples of each step of the score; None with too few, over 1 if no score is enough."""
+    all_good = sum(g for _, g, _ in steps)
+    all_bad = sum(n for _, _, n in steps) - all_good
+    if min(all_good, all_bad) < LEAST_EXAMPLES // 4:
+        return None
+    good = bad = 0
+    least = 2.0
+    for step, g, n in sorted(steps, reverse=True):
+        good, bad = good + g, bad + n - g
+        right, wrong = good / all_good, chance * bad / all_bad
+        if right and right >= PRECISION * (right + wrong):
+            least = step / 100
+    return least
+
+
+def _scored(candidates: DataFrame) -> tuple[DataFrame, Column]:
+    """Candidates with the trees' score, and whether it is enough for their kind."""
     featured, names = _features(candidates)
-    data = VectorAssembler(inputCols=names, outputCol="features").transform(featured)
     # Null for what may be added.
     label = F.when(F.col("on_base"), F.when(F.col("valid"), 1.0)).when(~(F.col("free") & F.col("valid")), 0.0)
-    data = data.withColumn("label", label)
     order = F.xxhash64("match", "before", "after")
-    examples = written(data.where("label is not null").select("row", "kind", "start", "label", *names, order.alias("order")).orderBy("order", "row", "start").limit(MOST_EXAMPLES), "pii-examples")
-    examples = VectorAssembler(inputCols=names, outputCol="features").transform(examples)
-    unseen = F.pmod(F.col("order"), F.lit(10)) >= 7
-    seen = {r["label"]: r["count"] for r in examples.where(~unseen).groupBy("label").count().collect()}
-    if min(seen.get(0.0, 0), seen.get(1.0, 0)) < LEAST_EXAMPLES:
-        return None
-    model = GBTClassifier(maxIter=12, maxDepth=3, stepSize=0.3, seed=1).fit(examples.where(~unseen))
-    score = vector_to_array("probability")[1]
-    steps = F.floor(score * 100)
-    held = model.transform(examples.where(unseen)).groupBy("kind", steps.alias("step")).agg(F.sum("label").alias("good"), F.count("*").alias("n")).collect()
-    thresholds = {}
+    data = featured.withColumns({"label": label, "order": order, "unseen": F.pmod(order, F.lit(10)) >= 7})
+    assembler = VectorAssembler(inputCols=names, outputCol="features")
+    examples = assembler.transform(_examples(data, names))
+    learned = [r["kind"] for r in examples.select("kind").distinct().collect()]
+    thresholds: dict[str, float] = {}
+    if learned:
+        model = GBTClassifier(maxIter=12, maxDepth=3, stepSize=0.3, seed=1, weightCol="weight").fit(examples)
+        data = model.transform(assembler.transform(data)).withColumn("score", vector_to_array("probability")[1])
+        held = data.where(F.col("unseen") & F.col("label").isNotNull()).groupBy("kind", F.floor(F.col("score") * 100).alias("step"))
+        steps = held.agg(F.sum("label").alias("good"), F.count("*").alias("n")).collect()
+        for kind in learned:
+            least = _threshold([(r["step"], r["good"], r["n"]) for r in steps if r["kind"] == kind], BY_CHANCE.get(kind, 1.0))
+            if least is not None:
+                thresholds[kind] = least
+    else:
+        data = data.withColumn("score", F.lit(0.0))
+    enough = F.lit(False)
     for kind in KINDS:
-        good = n = 0
-        for r in sorted((r for r in held if r["kind"] == kind), key=lambda r: -r["step"]):
-            good, n = good + r["good"], n + r["n"]
-            if good >= PRECISION * n and n >= LEAST_EXAMPLES // 4:
-                thresholds[kind] = r["step"] / 100
-    return model.transform(data).withColumn("score", score), thresholds
+        named = F.rlike(F.col("before"), F.lit(rf"(?i)(?:{NAMED_BY[kind]})\W{{0,3}}$"))
+        enough = enough | ((F.col("kind") == kind) & (F.col("score") >= thresholds[kind] if kind in thresholds else named))
+    return data, enough
 
 
 def _touching(spans: DataFrame, name: str, *keys: str) -> DataFrame:
@@ -196,13 +233,7 @@ def find_pii(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tup
     marked = _touching(_touching(placed, "free", "row"), "on_base", "row", "kind").withColumn("free", ~F.col("free"))
     valid = _valid(F.col("kind"), F.col("match"), F.col("before"), F.col("after"))
     candidates = marked.where("not base").drop("base").withColumn("valid", valid)
-    scored = _scored(written(candidates, "pii-candidates"))
-    if scored is None:
-        return rows.select("row", "doc_id"), base
-    candidates, thresholds = scored
-    enough = F.lit(False)
-    for kind, least in thresholds.items():
-        enough = enough | ((F.col("kind") == kind) & (F.col("score") >= least))
+    candidates, enough = _scored(written(candidates, "pii-candidates"))
     chosen = candidates.where(F.col("free") & F.col("valid") & enough).select("row", "kind", "start", "end", "match", "score")
     # Of candidates that overlap in a chain the best scored, then the longest, then the first stays.
     before = Window.partitionBy("row").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)

@@ -94,3 +94,20 @@ def test_obfuscated_spans_are_found_and_ordinary_numbers_left(spark):
     assert sum(not got[i] for i in hidden) == 0, [hidden[i] for i in hidden if not got[i]][:5]
     # A number that passes for a base span by chance stays one.
     assert [(ordinary[i], got[i]) for i in ordinary if got[i] and not base(ordinary[i])] == []
+
+
+def test_thresholds_cover_rare_kinds_and_copies(spark):
+    # A huge group of copies and a common kind leave the rare kinds their own examples and thresholds.
+    rows, hidden, ordinary = planted_rows(200)
+    rng = random.Random(6)
+    more = [f"part 55{rng.randrange(10**12):012d}99 shipped" for _ in range(4_000)] + ["part 4111111111111112 shipped"] * 40_000
+    docs = spark.createDataFrame(rows + [(10_000 + i, t) for i, t in enumerate(more)], "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.spans for r in pii_summary(docs).where("doc_id < 10000").collect()}
+    assert [hidden[i] for i in hidden if not got[i]] == []
+    assert [(ordinary[i], got[i]) for i in ordinary if got[i] and not base(ordinary[i])] == []
+
+
+def test_small_tables_add_what_a_word_names(spark):
+    rows = [(1, "mail jane (at) site (dot) com soon"), (2, "we saw jane (at) site (dot) com there"), (3, "phone 640 555 0953 now"), (4, "code 640 555 0953 now")]
+    got = {r.doc_id: r.spans for r in pii_summary(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: "email:5:29", 2: "", 3: "phone:6:18", 4: ""}
