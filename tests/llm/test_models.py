@@ -187,3 +187,26 @@ def test_cross_entropy_difference_counts_real_words_and_pairs(spark):
                 sum_ -= math.log((pairs[m, a, w] * scale[m] + lm_score.PAIR_PRIOR * single) / (contexts[m, a] * scale[m] + lm_score.PAIR_PRIOR))
             loss.append(sum_ / len(each))
         assert (got[i].n_words, got[i].target_loss, got[i].background_loss) == (4_000, pytest.approx(loss[0]), pytest.approx(loss[1]))
+
+
+def test_spaced_letters_are_split_into_words(spark):
+    text = "the stupid worthless idiot moron scum i hate what a you are this trash with and so here clown hate a a a i i"
+    pairs, words = {}, {}
+    for w in text.split():
+        words[w] = words.get(w, 0) + 5
+        for a, b in zip("\x00" + w, w + "\x00"):
+            pairs[a + b] = pairs.get(a + b, 0) + 5
+    reader = toxicity.Reader(toxicity.CharModel(pairs, words))
+    for written, meant in [
+        ("what a s c u m", {"a", "scum"}), ("I h a t e you", {"i", "hate"}), ("you s t u p ! d", {"stupid"}), ("are $ c u m here", {"scum"}),
+        ("s t u p i d s c u m", {"stupid", "scum"}), ("this s c u m.", {"scum"}), ("1 d 1 0 t", {"idiot"}),
+    ]:
+        assert meant <= reader.signs(written), (written, reader.signs(written))
+    long = toxicity.Reader(toxicity.CharModel(pairs, words)).spaced.read("scum" * 20_000)
+    assert long == ["scum"] * 20_000
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    docs = spark.createDataFrame(
+        [(i, "what a scum day i hate rain" if i % 2 else "what a nice day i hate rain") for i in range(60)] + [(70, "what a $ c u m"), (71, "what a n i c e day")], "doc_id long, text string"
+    )
+    got = {r.doc_id: r.toxicity_score for r in toxicity.toxicity(docs, labels).collect()}
+    assert got[71] < 0.5 < got[70]
