@@ -92,18 +92,16 @@ def write_warc(pages: DataFrame, path: str, **columns: str) -> None:
     as_records(pages, **columns).write.option("lineSep", END).option("maxRecordsPerFile", FILE_RECORDS).text(path)
 
 
-_FIELD = re.compile(rb"(?im)^(WARC-Type|WARC-Record-ID|WARC-Refers-To|WARC-Payload-Digest|WARC-Payload-Length|Content-Length):[ \t]*(.*?)[ \t]*\r$")
+_FIELD = re.compile(rb"(?im)^(WARC-Type|WARC-Record-ID|WARC-Refers-To|WARC-Payload-Digest|WARC-Payload-Length|Content-Length):([^\n]*)\r$")
 _PAGE = re.compile(rb"<urn:page:(-?[0-9]+)>")
-# A header ends within so many bytes, or it is none.
-_HEADER_BYTES = 1 << 16
 
 
 def _parsed(segment: bytes) -> dict | None:
     """The fields of what follows a magic line; None if it is no record header."""
-    end = segment.find(b"\r\n\r\n", 0, _HEADER_BYTES)
+    end = segment.find(b"\r\n\r\n")
     if end < 0:
         return None
-    fields = {k.lower(): v for k, v in _FIELD.findall(segment[: end + 2])}
+    fields = {k.lower(): v.strip(b" \t") for k, v in _FIELD.findall(segment[: end + 2])}
     length, kind = fields.get(b"content-length", b""), fields.get(b"warc-type")
     if kind is None or not length.isdigit() or len(length) > 18:
         return None

@@ -54,3 +54,18 @@ def test_no_pages(spark):
     path = scratch_path(spark, "warc-test")
     write_warc(spark.createDataFrame([], "page_id long, html string"), path)
     assert read_warc(spark, path).count() == 0
+
+
+@pytest.mark.parametrize("piece", [50_000, 1 << 24])
+def test_long_urls_keep_their_page_and_the_rest_of_the_file(spark, piece):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", piece)
+    spark.conf.set("spark.sql.files.openCostInBytes", 0)
+    try:
+        rows = [(1, "first", "u"), (2, "a" * 150, "http://h/" + "q" * 400_000), (3, "b" * 300_000, "k" * 70_000), (4, "a" * 150, "é \t" * 100_000), (5, None, "u")]
+        path = scratch_path(spark, "warc-test")
+        write_warc(spark.createDataFrame(rows, "page_id long, html string, url string").coalesce(1), path)
+        assert sorted((tuple(r) for r in read_warc(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()), key=str) == expected(rows)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
