@@ -48,11 +48,15 @@ GENERATORS = {
     "email": (
         r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?:@| ?[(\[](?:at|AT)[)\]] ?| at )[A-Za-z0-9-]{1,63}+"
         r"(?:(?:\.| ?[(\[](?:dot|DOT)[)\]] ?| dot )[A-Za-z0-9-]{1,63}+){0,8}+",
-        lambda t: F.contains(t, F.lit("@")) | F.rlike(t, F.lit(r"(?i)[(\[]at[)\]]| dot ")),
+        lambda t: F.contains(t, F.lit("@")) | F.rlike(t, F.lit(r"[(\[](?:at|AT)[)\]]| at ")),
     ),
     "ip": (r"(?<![0-9])[0-9]{1,3}+(?:\x20?[.,:_]\x20?[0-9]{1,3}+){3}(?![0-9])", lambda t: F.rlike(t, F.lit(r"[0-9]\x20?[.,:_]\x20?[0-9]"))),
     "card": (r"(?<![0-9])[0-9](?:[\x20./_-]{0,2}+[0-9]){11,22}+", lambda t: F.rlike(t, F.lit(r"[0-9][\x20./_-]{0,2}[0-9][\x20./_-]{0,2}[0-9][\x20./_-]{0,2}[0-9]"))),
-    "phone": (r"(?<![0-9])(?=[+(0-9])(?:\+|00)?[0-9]{0,3}[\x20.-]{0,2}+\(?[0-9]{3}\)?[\x20.-]{0,2}[0-9]{3}[\x20.-]{0,2}[0-9]{4}(?![0-9])", lambda t: F.rlike(t, F.lit(r"[0-9]{3}[\x20.-]{0,2}[0-9]{4}"))),
+    "phone": (
+        r"(?<![0-9])(?=[+(0-9])(?:(?:\+|00)?[0-9]{0,3}[\x20.-]{0,2}+\(?[0-9]{3}\)?[\x20.-]{0,2}[0-9]{3}[\x20.-]{0,2}[0-9]{4}(?![0-9])"
+        r"|\+?\(?[0-9](?:[\x20().-]{0,2}+[0-9]){6,17}+(?![0-9]))",
+        lambda t: F.rlike(t, F.lit(r"[0-9](?:[\x20().-]{0,2}[0-9]){6}")),
+    ),
 }
 # Candidates that the trees learn from, at most; each kind and label has an equal part. Calibration covers all.
 MOST_EXAMPLES = 20_000
@@ -68,6 +72,8 @@ NAMED_BY = {
     "phone": "phone|tel|call|mobile|contact|reach",
 }
 _CONTEXT = 24
+# Digits that are a date and no phone.
+_DATE = r"(?<![0-9])(?:19|20)[0-9]{2}[./-][01][0-9][./-][0-3][0-9]"
 # The dot of a domain in any notation.
 _DOT = r"(?:\.| ?[(\[]dot[)\]] ?| dot )"
 
@@ -119,11 +125,19 @@ def _valid(kind: Column, match: Column, before: Column, after: Column) -> Column
     alone = ~F.rlike(before, F.lit(r"[\p{L}\p{N}]$")) & ~F.rlike(after, F.lit(r"^[\p{L}\p{N}]"))
     return (
         F.when(kind == "ip", F.forall(parts, lambda p: F.coalesce(p.try_cast("int"), F.lit(256)) <= 255) & alone)
-        .when(kind == "card", n.between(13, 19) & luhn(digits) & alone).when(kind == "phone", n.between(9, 15) & alone)
+        .when(kind == "card", n.between(13, 19) & luhn(digits) & alone).when(kind == "phone", n.between(9, 15) & alone & ~F.rlike(match, F.lit(_DATE)))
         .otherwise(F.rlike(match, F.lit(rf"(?i){_DOT}[a-z]{{2,24}}$")))
     )
 
 
+def _named(kind: Column) -> Column:
+    """Whether the word before a candidate names its kind."""
+    out = F.lit(False)
+    for k, words in NAMED_BY.items():
+        out = F.when(kind == k, F.rlike(F.col("before"), F.lit(rf"(?i)(?:{words})\W{{0,3}}$"))).otherwise(out)
+    return out
+
+
 def _features(c: DataFrame) -> tuple[DataFrame, list[str]]:
     """Content and context of a candidate as numbers, the same in every notation."""
     match, before, after, kind = F.col("match"), F.col("before"), F.col("after"), F.col("kind")
@@ -135,7 +149,7 @@ def _features(c: DataFrame) -> tuple[DataFrame, list[str]]:
         "distinct_digits": F.when(kind == "card", F.size(F.array_distinct(F.split(digits, ""))).cast("double")).otherwise(-1.0),
         "domain_parts": F.when(kind == "email", F.size(F.regexp_extract_all(match, F.lit(rf"(?i){_DOT}"), F.lit(0))).cast("double")).otherwise(-1.0),
         "ending": F.when(kind == "email", F.char_length(F.regexp_extract(match, "[A-Za-z]*$", 0)).cast("double")).otherwise(-1.0),
-        "after_word": number(F.rlike(before, F.lit(r"(?i)(mail|contact|call|phone|tel|card|visa|address|server|host|ip|reach|write)\W{0,3}$"))),
+        "named": number(_named(kind)), "other_named": number(~_named(kind) & F.rlike(before, F.lit(rf"(?i)(?:{'|'.join(NAMED_BY.values())})\W{{0,3}}$"))),
         "glued_before": number(F.rlike(before, F.lit(r"[\p{L}\p{N}]$"))), "glued_after": number(F.rlike(after, F.lit(r"^[\p{L}\p{N}]"))),
         "quoted": number(F.rlike(before, F.lit("[\"'=]$"))), "space_before": number(F.rlike(before, F.lit(r"(^|\s)$"))),
         "space_after": number(F.rlike(after, F.lit(r"^(\s|$)"))), "digit_near": number(F.rlike(F.concat(before, F.lit("|"), after), F.lit("[0-9]"))),
@@ -197,8 +211,7 @@ def _scored(candidates: DataFrame) -> tuple[DataFrame, Column]:
         data = data.withColumn("score", F.lit(0.0))
     enough = F.lit(False)
     for kind in KINDS:
-        named = F.rlike(F.col("before"), F.lit(rf"(?i)(?:{NAMED_BY[kind]})\W{{0,3}}$"))
-        enough = enough | ((F.col("kind") == kind) & (F.col("score") >= thresholds[kind] if kind in thresholds else named))
+        enough = enough | ((F.col("kind") == kind) & (F.col("score") >= thresholds[kind] if kind in thresholds else _named(F.col("kind"))))
     return data, enough
 
 
@@ -211,6 +224,20 @@ def _touching(spans: DataFrame, name: str, *keys: str) -> DataFrame:
                             | F.coalesce(F.min(base_start).over(up) < F.col("end"), F.lit(False)))
 
 
+def _apart(chosen: DataFrame) -> DataFrame:
+    """The best scored, then the longest, then the first of the spans of each row, and all next ones that overlap no better one."""
+    before = Window.partitionBy("row").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    so_far = Window.partitionBy("row").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, 0)
+    apart = F.coalesce(F.col("start") >= F.max("end").over(before), F.lit(True)).cast("int")
+    chains = chosen.withColumn("apart", apart).withColumn("chain", F.sum("apart").over(so_far))
+    ranked = F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("worse"), (F.col("start") - F.col("end")).alias("shorter"), "start", "kind", "end", "match")))
+    chains = chains.groupBy("row", "chain").agg(ranked.alias("spans"))
+    kept = F.aggregate("spans", F.filter("spans", lambda s: F.lit(False)), lambda kept, s: F.when(
+        F.exists(kept, lambda k: (k["start"] < s["end"]) & (s["start"] < k["end"])), kept
+    ).otherwise(F.concat(kept, F.array(s))))
+    return chains.select("row", F.explode(kept).alias("b")).select("row", "b.kind", "b.start", "b.end", "b.match")
+
+
 def find_pii(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """All rows as ``row, doc_id``, and their spans as ``row, kind, start, end, base, match``."""
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
@@ -235,13 +262,7 @@ def find_pii(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tup
     candidates = marked.where("not base").drop("base").withColumn("valid", valid)
     candidates, enough = _scored(written(candidates, "pii-candidates"))
     chosen = candidates.where(F.col("free") & F.col("valid") & enough).select("row", "kind", "start", "end", "match", "score")
-    # Of candidates that overlap in a chain the best scored, then the longest, then the first stays.
-    before = Window.partitionBy("row").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
-    so_far = Window.partitionBy("row").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, 0)
-    apart = F.coalesce(F.col("start") >= F.max("end").over(before), F.lit(True)).cast("int")
-    rank = F.struct(F.col("score"), F.col("end") - F.col("start"), -F.col("start"), F.col("kind"))
-    chains = chosen.withColumn("apart", apart).withColumn("chain", F.sum("apart").over(so_far))
-    best = chains.groupBy("row", "chain").agg(F.max_by(F.struct("kind", "start", "end", "match"), rank).alias("b")).select("row", "b.*")
+    best = _apart(chosen)
     added = best.select("row", "kind", "start", "end", F.lit(False).alias("base"), "match")
     return rows.select("row", "doc_id"), base.unionByName(added)
 

@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+from corpusloom.llm import pii
 from corpusloom.llm.pii import KINDS, pii_summary
 
 PATTERNS = {
@@ -111,3 +112,15 @@ def test_small_tables_add_what_a_word_names(spark):
     rows = [(1, "mail jane (at) site (dot) com soon"), (2, "we saw jane (at) site (dot) com there"), (3, "phone 640 555 0953 now"), (4, "code 640 555 0953 now")]
     got = {r.doc_id: r.spans for r in pii_summary(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: "email:5:29", 2: "", 3: "phone:6:18", 4: ""}
+
+
+def test_spans_that_no_better_one_overlaps_all_stay(spark):
+    spans = [(1, "phone", 0, 10, "a", 0.9), (1, "card", 8, 24, "b", 0.8), (1, "phone", 20, 30, "c", 0.7), (1, "ip", 29, 35, "d", 0.6), (1, "ip", 35, 40, "e", 0.1), (2, "ip", 0, 4, "f", 0.5)]
+    got = pii._apart(spark.createDataFrame(spans, "row long, kind string, start int, end int, match string, score double")).collect()
+    assert sorted(r.match for r in got) == ["a", "c", "e", "f"]
+
+
+def test_every_form_is_proposed(spark):
+    rows = [(1, "mail jane at site.com soon"), (2, "phone 0044 20 7946 0958 now"), (3, "phone 640 555 0953 or 12"), (4, "call 2024-05-12 10"), (5, "phone 20 79 46 09 58 now")]
+    got = {r.doc_id: r.spans for r in pii_summary(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: "email:5:21", 2: "phone:6:23", 3: "phone:6:18", 4: "", 5: "phone:6:20"}
