@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import mixing
+from corpusloom.llm import merkle, mixing
 from corpusloom.llm.bpe_codec import round_trip
 from corpusloom.llm.exact_dedup import exact_groups
+from corpusloom.llm.merkle import tamper_report
 from corpusloom.llm.mixing import mixed
 from corpusloom.llm.ngram_join import ngram_jaccard
 from corpusloom.llm.pii import pii_summary
@@ -86,6 +87,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_warc(spark, path)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tamper_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -97,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_langid": op9_langid,
     "op10_warc": op10_warc,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 ORACLES: dict[str, str] = {
@@ -114,4 +120,5 @@ ORACLES: dict[str, str] = {
           CASE WHEN bytes >= 100 AND page_id > first THEN first END AS refers_to
         FROM f
     """,
+    "op11_merkle_manifest": merkle.ORACLE,
 }
