@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import merkle, mixing
+from corpusloom.llm import merkle, minhash, mixing, search
 from corpusloom.llm.bpe_codec import round_trip
 from corpusloom.llm.exact_dedup import exact_groups
 from corpusloom.llm.merkle import tamper_report
+from corpusloom.llm.minhash import minhash_classes
 from corpusloom.llm.mixing import mixed
 from corpusloom.llm.ngram_join import ngram_jaccard
 from corpusloom.llm.pii import pii_summary
@@ -18,6 +19,7 @@ from corpusloom.llm.folds import held_out
 from corpusloom.llm.hnsw import nearest
 from corpusloom.llm.langid import languages
 from corpusloom.llm.lm_score import cross_entropy_difference
+from corpusloom.llm.search import ranked_search
 from corpusloom.llm.toxicity import toxicity
 from corpusloom.llm.warc import read_warc, write_warc
 from corpusloom.session import scratch_path
@@ -91,6 +93,14 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tamper_report(table(spark, sf_dir, "documents"))
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_classes(table(spark, sf_dir, "documents"), width=3, num=85, den=100)
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -103,6 +113,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_langid": op9_langid,
     "op10_warc": op10_warc,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_minhash": op12_minhash,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 ORACLES: dict[str, str] = {
@@ -121,4 +133,6 @@ ORACLES: dict[str, str] = {
         FROM f
     """,
     "op11_merkle_manifest": merkle.ORACLE,
+    "op12_minhash": minhash.ORACLE,
+    "op13_ranked_search": search.ORACLE,
 }
