@@ -12,6 +12,7 @@ import re
 import unicodedata
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -25,8 +26,11 @@ from corpusloom.session import spread, written
 MARK = chr(0x2581)
 CONTROL_SYMBOLS = ("<pad>", "<unk>", "<s>", "</s>")
 USER_SYMBOLS = ("<mask>",)
+UNKNOWN_SYMBOL = "<unk>"
 MAX_PIECE = 16
 LIBRARY_LINE_BYTES = 4192
+# Kinds of pieces, by the numbers of the model file.
+NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 # Code points that normalization removes, and those it turns into a space,
 # and the one compatibility character it keeps.
 _REMOVED = [*range(0x01, 0x09), 0x0B, *range(0x0E, 0x20), 0x7F, 0x8F, 0x9F]
@@ -42,10 +46,40 @@ _HAN_GROUP = ("HAN", "HIRAGANA", "KATAKANA")
 
 @dataclass(frozen=True)
 class PieceModel:
-    """Pieces in id order; the merges are those after the fixed symbols and bytes."""
+    """Pieces in id order; the merges are those after the fixed symbols and bytes.
+
+    Scores, kinds and rules are those of a model that was read from a file; a learned one has its own by rule.
+    """
 
     pieces: tuple[str, ...]
     n_merges: int
+    control_symbols: tuple[str, ...] = CONTROL_SYMBOLS
+    user_symbols: tuple[str, ...] = USER_SYMBOLS
+    byte_fallback: bool = True
+    add_dummy_prefix: bool = True
+    remove_extra_whitespaces: bool = True
+    scores: tuple[float, ...] | None = None
+    kinds: tuple[int, ...] | None = None
+    rules: tuple[tuple[str, str], ...] | None = None
+
+    def piece_kinds(self) -> list[int]:
+        """What each piece is, by the numbers of the model file."""
+        if self.kinds is not None:
+            return list(self.kinds)
+        fixed = [UNKNOWN if s == UNKNOWN_SYMBOL else CONTROL for s in self.control_symbols]
+        fixed += [USER] * len(self.user_symbols) + [BYTE] * (256 if self.byte_fallback else 0)
+        return fixed + [NORMAL] * (len(self.pieces) - len(fixed))
+
+    def piece_scores(self) -> list[float]:
+        """The higher, the earlier a piece is made."""
+        if self.scores is not None:
+            return list(self.scores)
+        fixed = len(self.control_symbols) + len(self.user_symbols) + (256 if self.byte_fallback else 0)
+        return [0.0] * fixed + [-float(i) for i in range(len(self.pieces) - fixed)]
+
+    def normalization(self) -> dict[str, str]:
+        """The texts that normalization replaces, by the longest match at each place."""
+        return compatibility_rules() if self.rules is None else dict(self.rules)
 
     def table(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(list(enumerate(self.pieces)), "id int, piece string").select("piece", "id")
@@ -55,16 +89,37 @@ def byte_pieces() -> list[str]:
     return [f"<0x{b:02X}>" for b in range(256)]
 
 
-def _compatible(word: str) -> str:
+def compatible(word: str) -> str:
+    """The word after normalization."""
     if word.isascii() and word.isprintable():
         return word
     parts = word.translate(_CONTROL_MAP).split(_KEPT)
     return _KEPT.join(unicodedata.normalize("NFKC", p).translate(_CONTROL_MAP) for p in parts)
 
 
+@cache
+def compatibility_rules() -> dict[str, str]:
+    """What normalization replaces: single characters, and sequences that compose to one."""
+    rules = {}
+    for code in range(1, 0x110000):
+        if 0xD800 <= code < 0xE000:
+            continue
+        char = chr(code)
+        made = compatible(char)
+        if made != char:
+            rules[char] = made
+        apart = unicodedata.normalize("NFD", char)
+        if len(apart) > 1 and unicodedata.normalize("NFC", apart) == char:
+            rules[apart] = made
+            begun = unicodedata.normalize("NFC", apart[:-1])
+            if len(begun) == 1:
+                rules[begun + apart[-1]] = made
+    return rules
+
+
 @F.pandas_udf(StringType())
 def _normalized(words: pd.Series) -> pd.Series:
-    return words.map(_compatible)
+    return words.map(compatible)
 
 
 def marked_words(
@@ -192,4 +247,6 @@ def train_pieces(
     if n_merges:
         runs = mergeable_runs(spread(words), chars, split_digits)
         merge_rounds(WordTable(runs), rule, best_pairs, merges_per_round)
-    return PieceModel((*fixed, *rule.pieces, *chars), len(rule.pieces))
+    return PieceModel(
+        (*fixed, *rule.pieces, *chars), len(rule.pieces), tuple(control_symbols), tuple(user_symbols), byte_fallback
+    )

@@ -445,6 +445,10 @@ UNION ALL SELECT pieces[i], i + {len(_FIXED) + 255}
 FROM (SELECT pieces, unnest(range(1, len(pieces) + 1)) AS i FROM made)
 UNION ALL SELECT ch, rank + {len(_FIXED) + 256} + (SELECT len(pieces) FROM made) FROM chars"""
 
+# The texts hold nothing that normalization changes but repeated spaces.
+ORACLES["piece_round_trip"] = f"""
+SELECT doc_id, trim(regexp_replace({_single_line('text')}, ' +', ' ', 'g')) AS content FROM documents"""
+
 # --- streaming
 
 _KEPT = f"NOT {_BROKEN} AND trim(text, {_WS}) <> ''"

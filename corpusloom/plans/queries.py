@@ -19,7 +19,7 @@ from corpusloom.functions import text as ftext
 from corpusloom.functions.clock import format_stamp, parse_stamp
 from corpusloom.functions.jsontext import string_field, to_json_line, with_parsed
 from corpusloom.functions.words import pretokenize_bytes, pretokenize_ws, to_byte_text
-from corpusloom.operators import bpe, mapping, pieces, positions, profile, records, runlog, tokens
+from corpusloom.operators import bpe, mapping, piece_codec, piece_files, pieces, positions, profile, records, runlog, tokens
 from corpusloom.session import scratch_path, spread
 from corpusloom.sources import blobs, catalog, files, sinks
 from corpusloom.streaming.intake import incremental_corpus, incremental_dead_letters
@@ -736,6 +736,17 @@ def piece_vocab(spark, sf_dir):
     return model.table(spark).select("piece", F.col("id").cast("bigint").alias("id"))
 
 
+@query
+def piece_round_trip(spark, sf_dir):
+    """A learned piece model written to its file, read back, and used both ways on every line."""
+    path = scratch_path(spark, "piece-model") + "/tokenizer.model"
+    piece_files.save_piece_model(pieces.train_pieces(_text_lines(spark, sf_dir), "content", PIECE_VOCAB_SIZE), spark, path)
+    model = piece_files.load_piece_model(spark, path)
+    lines = documents(spark, sf_dir, "doc_id", "text").select("doc_id", ftext.single_line(F.col("text")).alias("line"))
+    coded = piece_codec.encode_pieces(lines, "line", model).select("doc_id", "input_ids")
+    return piece_codec.decode_pieces(coded, "input_ids", model).select("doc_id", "content")
+
+
 def _encoded(spark: SparkSession, sf_dir: str, max_length: int | None) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text")
     return tokens.encode(docs, "text", trained(spark, sf_dir), max_length).select("doc_id", "input_ids")
