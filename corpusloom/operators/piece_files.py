@@ -7,6 +7,7 @@ the normalization as a trie of byte strings in a double array with the texts the
 from __future__ import annotations
 
 import struct
+from collections import defaultdict
 from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
@@ -62,6 +63,11 @@ def build_trie(values: dict[bytes, int]) -> list[int]:
 
 def trie_entries(units: list[int]) -> Iterator[tuple[bytes, int]]:
     """The keys and values of a double array."""
+    children = defaultdict(list)
+    for at, unit in enumerate(units):
+        # Values carry the highest bit and have no label.
+        if 0 < unit & (1 << 31 | 255) < 256:
+            children[at ^ unit & 255].append(at)
     waiting = [(b"", 0)]
     while waiting:
         key, at = waiting.pop()
@@ -69,10 +75,7 @@ def trie_entries(units: list[int]) -> Iterator[tuple[bytes, int]]:
         base = at ^ (unit >> 10) << ((unit & 1 << 9) >> 6)
         if unit >> 8 & 1:
             yield key, units[base] & (1 << 31) - 1
-        for c in range(1, 256):
-            child = base ^ c
-            if child < len(units) and units[child] & (1 << 31 | 255) == c:
-                waiting.append((key + bytes([c]), child))
+        waiting += [(key + bytes([units[child] & 255]), child) for child in children[base]]
 
 
 def charsmap(rules: dict[str, str]) -> bytes:
