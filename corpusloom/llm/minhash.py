@@ -8,7 +8,9 @@ they agree in a key of both collections. At similarity 0.85 they fail to with a
 
 * Equal sets are one node from the start. Keys that one node alone has make no table entries.
 * Each node is first compared with the smallest node that it meets in any table. That joins most copies
-  by one comparison each.
+  by one comparison each. In some more rounds, each node is compared with the first node of another class that it
+  meets, in an order that changes with the round, so that the parts of a large group find each other without pairing
+  it with itself. Rounds only save comparisons.
 * In tables where different classes still meet, every pair of two classes is compared in the first table in
   which it meets, in tasks, by size and parity bitmaps, whose distance never exceeds the true one.
   Buckets are dealt in blocks, the class of a bucket's smallest node apart, so that no
@@ -38,8 +40,11 @@ from corpusloom.session import written
 # Keys of a collection, and minima of a key.
 HALVES = 12
 DEPTH = 3
+# Rounds of one comparison a node, after the first.
+ROUNDS = 4
 # Nodes compared at a time: a side of a block, the texts that meet one pivot in a task, pairs in memory.
 BLOCK = 512
+PART = 128
 _PAIRS = 1 << 20
 # Shingles hashed at a time.
 _SHINGLES = 1 << 16
@@ -106,7 +111,7 @@ def _entries(keyed: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """The pairs ``a, b`` that link on their whole sets.
 
-    The texts that are compared with one ``b`` follow it in a task, at most about ``BLOCK`` in each.
+    The texts that are compared with one ``b`` follow it in a task, at most about ``PART`` in each.
     """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,7 +132,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, n
     wanted = nodes.select("node", "doc_id", "mark").join(ids, "node", "left_semi")
     # Rows that repeat id and text are one.
     texts = written(docs.join(wanted, ["doc_id", "mark"]).groupBy("node").agg(F.min("text").alias("text")), "texts")
-    parts = pairs.groupBy("b").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("parts"))
+    parts = pairs.groupBy("b").agg(F.ceil(F.count("*") / F.lit(PART)).cast("int").alias("parts"))
     others = pairs.join(parts, "b").join(texts, F.col("a") == F.col("node")).select(
         "b", "a", "text", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part")
     )
@@ -138,6 +143,16 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, n
     return rows.select("b", "a", "text").mapInArrow(compare, "a long, b long")
 
 
+def _round_pairs(keyed: DataFrame, turn: int) -> DataFrame:
+    """For each node the first node of another class that leads one of its tables, in the order of this turn."""
+    entries = _entries(keyed).select("table", "node", "component")
+    order = F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), F.col("node").alias("b"), F.col("component").alias("other"))
+    leads = entries.groupBy("table").agg(F.min(order).alias("lead"), F.min("component").alias("low"), F.max("component").alias("high"))
+    met = entries.join(leads.where("low < high").select("table", "lead"), "table").where(F.col("component") != F.col("lead.other"))
+    chosen = met.groupBy(F.col("node").alias("a")).agg(F.min("lead").alias("lead"))
+    return chosen.select("a", "lead.b")
+
+
 def _open_pairs(keyed: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs of nodes of two classes that meet in a table and whose bitmaps are close."""
     entries = _entries(keyed)
@@ -254,13 +269,16 @@ def minhash_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     least = entries.groupBy("table").agg(F.min("node").alias("b"), F.count("*").alias("size")).where("size > 1").select("table", "b")
     stars = written(entries.join(least, "table").where("node > b").groupBy(F.col("node").alias("a")).agg(F.min("b").alias("b")), "stars")
     known = [nodes, texts, width, num, den]
-    first = written(_verified(stars, *known), "star-links")
-    joined = connected_components(first)
-    labelled = written(
-        keyed.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node")), "labelled-halves"
-    )
-    pairs = written(_open_pairs(labelled, nodes, num, den), "open-pairs")
-    links = first.union(_verified(pairs, *known))
+    links = written(_verified(stars, *known), "star-links")
+    for turn in range(ROUNDS + 1):
+        joined = connected_components(links)
+        labelled = written(
+            keyed.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node")), "labelled-halves"
+        )
+        pairs = written(_round_pairs(labelled, turn) if turn < ROUNDS else _open_pairs(labelled, nodes, num, den), "open-pairs")
+        if pairs.isEmpty():
+            break
+        links = links.union(written(_verified(pairs, *known), "more-links"))
 
     own = nodes.select("node", "doc_id")
     linked = links.join(own.select(F.col("node").alias("a"), F.col("doc_id").alias("x")), "a").join(
