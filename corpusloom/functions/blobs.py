@@ -75,6 +75,26 @@ def decode_lossy(col: Column) -> Column:
     return F.when(valid, text).otherwise(_decode_lossy(F.when(~valid, col)))
 
 
+# Spellings of charsets whose texts need no decoder.
+_UTF8 = ("utf-8", "utf8", "utf_8", "u8")
+_ASCII = ("ascii", "us-ascii")
+_LATIN1 = ("latin-1", "latin1", "latin_1", "iso-8859-1", "iso8859-1", "iso_8859_1", "l1")
+
+
 def decode_as(col: Column, charset: Column) -> Column:
-    """Text in a per-row encoding; null when the bytes do not fit it or it is unknown."""
-    return _decode_as(col, charset)
+    """Text in a per-row encoding; null when the bytes do not fit it or it is unknown.
+
+    UTF-8, ASCII and Latin-1 are read on the JVM; other rows go through Python.
+    """
+    name, text = F.lower(F.trim(charset)), col.cast("string")
+    # Bytes over 127 never stand alone in UTF-8, so a text as long as its bytes is ASCII.
+    plain = F.is_valid_utf8(text) & (F.length(text) == F.octet_length(text))
+    unicode, ascii_only, latin = name.isin(*_UTF8), name.isin(*_ASCII), name.isin(*_LATIN1)
+    known = unicode | ascii_only | latin
+    other = _decode_as(F.when(~known, col), charset)
+    return (
+        F.when(unicode, F.when(F.is_valid_utf8(text), text))
+        .when(ascii_only, F.when(plain, text))
+        .when(latin, F.decode(col, "ISO-8859-1"))
+        .otherwise(other)
+    )

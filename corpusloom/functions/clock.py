@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,21 +33,38 @@ def _offset_label(minutes: Column) -> Column:
     return F.concat(sign, hours, tail)
 
 
+def _once(value: Column, made: Callable[[Column], Column]) -> Column:
+    """``made(value)`` with the value worked out once, however often it is named."""
+    return F.get(F.transform(F.array(value), made), F.lit(0))
+
+
 def local_time(col: Column, zone: str = DEFAULT_ZONE) -> Column:
     """ISO-8601 text to ``yyyy-MM-dd HH:mm:ss <zone>``; unparsable text passes through, null is ''.
 
     Text without an offset is read in the session time zone.
     """
-    instant = F.when(col.rlike(_DATED), F.try_to_timestamp(col))
-    # Wall clocks without a zone: nothing here is rendered in the session's zone.
-    seconds = (F.unix_micros(instant) / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
-    utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
-    local = F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
-    apart = local - utc
-    minutes = (F.extract(F.lit("HOUR"), apart) * 60 + F.extract(F.lit("MINUTE"), apart)).cast("int")
-    label = _offset_label(minutes)
-    if zone == DEFAULT_ZONE:
-        old = F.when(minutes == 120, "EET").otherwise("EEST")
-        label = F.when(instant < F.lit(_ISTANBUL_FIXED_SINCE).cast("timestamp"), old).otherwise(label)
-    shown = F.concat_ws(" ", F.substring(local.cast("string"), 1, 19), label)
-    return F.when(col.isNull() | (col == ""), "").when(instant.isNull(), col).otherwise(shown)
+
+    def wall_clock(instant: Column) -> Column:
+        # Wall clocks without a zone: nothing here is rendered in the session's zone.
+        seconds = F.unix_seconds(instant).cast("decimal(18,6)")
+        return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+
+    def labelled(instant: Column, local: Column, apart: Column) -> Column:
+        minutes = (F.extract(F.lit("HOUR"), apart) * 60 + F.extract(F.lit("MINUTE"), apart)).cast("int")
+
+        def label(m: Column) -> Column:
+            if zone != DEFAULT_ZONE:
+                return _offset_label(m)
+            old = F.when(m == 120, "EET").otherwise("EEST")
+            return F.when(instant < F.lit(_ISTANBUL_FIXED_SINCE).cast("timestamp"), old).otherwise(_offset_label(m))
+
+        return F.concat(F.substring(local.cast("string"), 1, 19), F.lit(" "), _once(minutes, label))
+
+    def shown(instant: Column) -> Column:
+        return _once(
+            wall_clock(instant),
+            lambda utc: _once(F.convert_timezone(F.lit("UTC"), F.lit(zone), utc), lambda local: labelled(instant, local, local - utc)),
+        )
+
+    parsed = F.when(col.rlike(_DATED), F.try_to_timestamp(col))
+    return F.when(col.isNull() | (col == ""), "").otherwise(F.coalesce(_once(parsed, shown), col))

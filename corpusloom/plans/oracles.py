@@ -83,6 +83,9 @@ def _single_line(text: str) -> str:
 
 
 ORACLES["write_text"] = f"SELECT {_single_line('text')} AS content FROM documents"
+ORACLES["corpus_files"] = f"""
+SELECT source, CAST(sum(octet_length(encode({_single_line('text')})) + 1) AS BIGINT) AS n_bytes, count(*) AS n_lines
+FROM documents GROUP BY source"""
 ORACLES["write_modes"] = "SELECT text FROM benchmark"
 ORACLES["append_run_state"] = """
 SELECT 'run-' || user_id AS run_id, event_id AS step, CASE WHEN event_type <> 'error' THEN value END AS loss,

@@ -208,6 +208,16 @@ def _blob_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     )
 
 
+@query
+def corpus_files(spark, sf_dir):
+    """Bytes and lines of the files of a corpus, summed by the folder of their source."""
+    path = scratch_path(spark, "corpus-files")
+    lines = documents(spark, sf_dir, "source", "text").select("source", ftext.single_line(F.col("text")).alias("value"))
+    lines.repartition("source").write.partitionBy("source").text(path)
+    source = F.regexp_extract("path", "/source=([^/]+)/", 1).alias("source")
+    return files.input_stats(spark, path).groupBy(source).agg(F.sum("n_bytes").alias("n_bytes"), F.sum("n_lines").alias("n_lines"))
+
+
 @query
 def join_blob_store(spark, sf_dir):
     manifest, store = _blob_tables(spark, sf_dir)

@@ -107,11 +107,13 @@ def scan_blob_store(spark, path) -> DataFrame:
 def join_blob_store(manifest: DataFrame, store: DataFrame, charset: str | None = None) -> DataFrame:
     """Each manifest row with its content; null content and an error when missing or unreadable.
 
-    ``store`` holds ``blob_id, data`` (gzip); of an id stored twice the smaller blob counts. Blobs travel compressed through the
-    join and only those that the manifest names are unpacked. ``charset`` is the manifest column with
-    a per-row encoding.
+    ``store`` holds ``blob_id, data`` (gzip); of an id stored twice the smaller blob counts. The distinct
+    ids of the manifest come first: only blobs that it names are grouped, and where the ids are few enough to be
+    sent to the scan, only those are moved at all. Blobs travel compressed. ``charset`` is the manifest column
+    with a per-row encoding.
     """
-    packed = store.groupBy("blob_id").agg(F.min("data").alias("_data"), F.lit(True).alias("_found"))
+    named = manifest.select("blob_id").where(F.col("blob_id").isNotNull()).distinct()
+    packed = store.join(named, "blob_id", "left_semi").groupBy("blob_id").agg(F.min("data").alias("_data"), F.lit(True).alias("_found"))
     joined = left_join_unique(manifest, packed, "blob_id")
     text = unpack_text(F.col("_data"), F.col(charset) if charset else None)
     rows = joined.withColumn("content", text)

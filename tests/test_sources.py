@@ -213,3 +213,35 @@ def test_csv_and_tokens(spark, tmp_path):
     assert got == [(1, 1.5, "a"), (2, None, "NA")]
     (tmp_path / "t.jsonl").write_text('{"input_ids": [1, 2]}\n{"input_ids": []}\n')
     assert [r.input_ids for r in files.scan_tokens(spark, str(tmp_path / "t.jsonl")).collect()] == [[1, 2], []]
+
+
+def test_blobs_are_chosen_before_they_are_grouped(spark, tmp_path):
+    store = blobs.scan_blob_store(spark, store_files(tmp_path))
+    plan = blobs.join_blob_store(manifest(spark, ["good"]), store)._jdf.queryExecution().optimizedPlan().toString()
+    # Read from the top: the grouping of blobs, and the choice below it.
+    assert "LeftSemi" in plan[plan.index("min(data"):]
+
+
+def test_stats_of_input_files(spark, tmp_path):
+    (tmp_path / "in" / "k=1").mkdir(parents=True)
+    (tmp_path / "in" / "a b.txt").write_bytes("one\ntwo\r\nthr\u00e9e".encode())
+    (tmp_path / "in" / "k=1" / "c.txt").write_bytes(b"x\n")
+    (tmp_path / "in" / "empty.txt").write_bytes(b"")
+    got = {r.path.rsplit("/", 1)[1].replace("%20", " "): (r.n_bytes, r.n_lines) for r in files.input_stats(spark, str(tmp_path / "in")).collect()}
+    assert got == {"a b.txt": (15, 3), "c.txt": (2, 1)}
+
+
+def test_decode_on_the_jvm_is_what_python_decodes(spark):
+    values = [b"plain", "\u00e4\u6f22".encode(), b"\xff\xfe", b"\x80", b"", None]
+    charsets = ["utf-8", "UTF8", "ascii", "US-ASCII", "latin-1", "ISO-8859-1", " utf-8", "cp1254", "nope", None]
+    rows = [(v, c) for v in values for c in charsets]
+
+    def wanted(v, c):
+        try:
+            return None if v is None or c is None else v.decode(c.strip())
+        except (UnicodeError, LookupError):
+            return None
+
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, data binary, charset string")
+    got = frame.select("i", decode_as(F.col("data"), F.col("charset")).alias("o")).orderBy("i").collect()
+    assert [r.o for r in got] == [wanted(*r) for r in rows]
