@@ -41,24 +41,40 @@ BUCKETS = 1 << 16
 EPOCHS = 3
 BATCH = 64
 STEP = 0.15
-# Distinct words remembered by a task, and words labelled at a time.
-_KNOWN_WORDS = 400_000
+# Distinct words and parts of words remembered by a task, and words labelled at a time.
+_KNOWN_WORDS = 100_000
+_KNOWN_GRAMS = 1 << 18
+_WORDS_SCORED = 1 << 14
+# Longer sequences are taken in blocks of so many words.
+_BLOCK_WORDS = 64
 _WORDS_AT_ONCE = 2_000_000
 
 _LETTER = re.compile(r"[^\W\d_]")
 _EDGES = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum()) + "“”„«»…–—¿¡"
 
 
+class _Cells(dict):
+    """The cells of affixes and n-grams, which many words share."""
+
+    def __missing__(self, name: str) -> int:
+        if len(self) >= _KNOWN_GRAMS:
+            self.clear()
+        cell = self[name] = zlib.crc32(name.encode()) % BUCKETS
+        return cell
+
+
+_cells = _Cells()
+
+
 def _features(word: str) -> list[int]:
     """Hashed affixes, n-grams and the word itself; none for a word without letters."""
     w = word.strip(_EDGES).lower()
     if not _LETTER.search(w):
         return []
-    names = [f"w{w}"]
-    names += [f"p{w[:n]}" for n in (1, 2, 3) if len(w) >= n] + [f"s{w[-n:]}" for n in (1, 2, 3, 4) if len(w) >= n]
+    names = [f"p{w[:n]}" for n in (1, 2, 3) if len(w) >= n] + [f"s{w[-n:]}" for n in (1, 2, 3, 4) if len(w) >= n]
     edged = f"^{w}$"
     names += [f"g{edged[i : i + n]}" for n in (2, 3) for i in range(len(edged) - n + 1)]
-    return [zlib.crc32(x.encode()) % BUCKETS for x in dict.fromkeys(names)]
+    return [zlib.crc32(f"w{w}".encode()) % BUCKETS, *map(_cells.__getitem__, dict.fromkeys(names))]
 
 
 class Field:
@@ -67,9 +83,12 @@ class Field:
     def __init__(self, languages: list[str], emit: np.ndarray, move: np.ndarray, start: np.ndarray):
         self.languages, self.emit, self.move, self.start = languages, emit, move, start
 
-    def scores(self, word: str) -> np.ndarray | None:
-        f = _features(word)
-        return self.emit[f].sum(axis=0) / np.sqrt(len(f)) if f else None
+    def scores(self, features: list[list[int]]) -> np.ndarray:
+        """The scores of some words by their features, none of which are empty."""
+        sizes = np.array([len(f) for f in features])
+        ends = np.cumsum(sizes)
+        flat = np.fromiter((x for f in features for x in f), np.int64, ends[-1])
+        return np.add.reduceat(self.emit[flat], ends - sizes, axis=0) / np.sqrt(sizes)[:, None]
 
 
 def _chain(scores: np.ndarray, lengths: np.ndarray, move: np.ndarray, start: np.ndarray, pairs: bool = False):
@@ -108,6 +127,68 @@ def _chain(scores: np.ndarray, lengths: np.ndarray, move: np.ndarray, start: np.
     return marginal / marginal.sum(axis=1, keepdims=True), moves
 
 
+def _marginals(scores: np.ndarray, lengths: np.ndarray, move: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """As ``_chain`` without pairs, with the words of long sequences taken in blocks.
+
+    The step of a word is a matrix, and products of matrices may be grouped at will: the product of each block is
+    made for all blocks at once, block ends follow from one another, and inside the blocks all places go in step.
+    """
+    long = int(np.searchsorted(-lengths, -_BLOCK_WORDS, "left"))
+    cut = int(lengths[:long].sum())
+    short, _ = _chain(scores[cut:], lengths[long:], move, start)
+    if not long:
+        return short
+    lengths, scores = lengths[:long], scores[:cut]
+    k, m = scores.shape[1], np.exp(move)
+    blocks = -(-lengths // _BLOCK_WORDS)
+    base = np.cumsum(blocks) - blocks
+    place = np.arange(cut) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    row, column = np.repeat(base, lengths) + place // _BLOCK_WORDS, place % _BLOCK_WORDS
+    e = np.ones((int(blocks.sum()), _BLOCK_WORDS, k))
+    e[row, column] = np.exp(scores - scores.max(axis=1, keepdims=True))
+    there = np.zeros(e.shape[:2], dtype=bool)
+    there[row, column] = True
+    first = np.zeros(len(e), dtype=bool)
+    first[base] = True
+
+    def stepped(a: np.ndarray, t: int) -> np.ndarray:
+        """``a`` (rows of states for each block) after the word at ``t``; the first word has no move before it."""
+        moved = (a.reshape(-1, k) @ m).reshape(a.shape)
+        if t == 0:
+            moved[first] = a[first]
+        wide = (slice(None), *[None] * (a.ndim - 2))
+        new = moved * e[:, t][wide]
+        new /= new.sum(axis=tuple(range(1, new.ndim)), keepdims=True)
+        return np.where(there[:, t][wide + (None,)], new, a)
+
+    whole = np.broadcast_to(np.eye(k), (len(e), k, k)).copy()
+    for t in range(_BLOCK_WORDS):
+        whole = stepped(whole, t)
+    ahead, behind = np.empty((len(e), k)), np.ones((len(e), k))
+    active = [int(np.searchsorted(-blocks, -n, "left")) for n in range(int(blocks[0]))]
+    a = np.broadcast_to(np.exp(start), (long, k))
+    for n, size in enumerate(active):
+        at = base[:size] + n
+        ahead[at] = a[:size]
+        a = np.einsum("ni,nij->nj", a[:size], whole[at])
+        a /= a.sum(axis=1, keepdims=True)
+    for n in range(len(active) - 1, 0, -1):
+        at = base[: active[n]] + n
+        b = np.einsum("nij,nj->ni", whole[at], behind[at])
+        behind[at - 1] = b / b.sum(axis=1, keepdims=True)
+    forward, backward = np.empty_like(e), np.empty_like(e)
+    a, b = ahead, behind
+    for t in range(_BLOCK_WORDS):
+        a = forward[:, t] = stepped(a, t)
+    for t in range(_BLOCK_WORDS - 1, -1, -1):
+        backward[:, t] = b
+        new = (e[:, t] * b) @ m.T
+        new /= new.sum(axis=1, keepdims=True)
+        b = np.where(there[:, t, None], new, b)
+    marginal = forward[row, column] * backward[row, column]
+    return np.concatenate([marginal / marginal.sum(axis=1, keepdims=True), short])
+
+
 def train(sample: pd.DataFrame) -> Field | None:
     """Fits the chain to a bounded sample ``text, lang`` by stochastic gradient steps on its likelihood."""
     languages = sorted(sample["lang"].value_counts().index[:MOST_LANGUAGES])
@@ -183,32 +264,34 @@ class Labeller:
         self.table = np.zeros((1024, len(field.languages)), dtype=np.float32)
         self.used = 0
 
-    def _new(self, word: str) -> int:
-        scores = self.field.scores(word)
-        if self.used == len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        at = -1
-        if scores is not None:
-            at, self.used = self.used, self.used + 1
-            self.table[at] = scores
-        self.known[word] = at
-        return at
+    def _learn(self, words: list[str]) -> None:
+        """Scores of words that are not known yet; -1 for one without letters."""
+        for at in range(0, len(words), _WORDS_SCORED):
+            part = [(w, f) for w in words[at : at + _WORDS_SCORED] if (f := _features(w))]
+            self.known.update(dict.fromkeys(words[at : at + _WORDS_SCORED], -1))
+            if not part:
+                continue
+            while self.used + len(part) > len(self.table):
+                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+            self.table[self.used : self.used + len(part)] = self.field.scores([f for _, f in part])
+            self.known.update(zip((w for w, _ in part), range(self.used, self.used + len(part))))
+            self.used += len(part)
 
     def documents(self, texts: list[str | None]) -> list[tuple[str, float]]:
         if len(self.known) > _KNOWN_WORDS:
             self.known, self.used = {}, 0
-        get, new = self.known.get, self._new
+        split = [(t or "").split() for t in texts]
+        self._learn([w for w in dict.fromkeys(w for words in split for w in words) if w not in self.known])
         rows = []
-        for i, t in enumerate(texts):
-            ids = [new(w) if (at := get(w)) is None else at for w in (t or "").split()]
-            ids = np.array(ids, dtype=np.int64)
+        for i, words in enumerate(split):
+            ids = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
             rows.append((i, ids[ids >= 0]))
         out: list[tuple[str, float]] = [(UNKNOWN, 0.0)] * len(texts)
         rows = sorted((r for r in rows if len(r[1])), key=lambda r: -len(r[1]))
         if not rows:
             return out
         lengths = np.array([len(ids) for _, ids in rows])
-        marginal, _ = _chain(self.table[np.concatenate([ids for _, ids in rows])], lengths, self.field.move, self.field.start)
+        marginal = _marginals(self.table[np.concatenate([ids for _, ids in rows])], lengths, self.field.move, self.field.start)
         ends = np.cumsum(lengths)
         sums = np.add.reduceat(marginal, ends - lengths, axis=0) / lengths[:, None]
         for (i, _), mean in zip(rows, sums):
