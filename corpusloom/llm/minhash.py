@@ -8,8 +8,8 @@ they agree in a key of both collections. At similarity 0.85 they fail to with a
 
 * Equal sets are one node from the start. Keys that one node alone has make no table entries.
 * Each node is first compared with the smallest node that it meets in any table. That joins most copies
-  by one comparison each. In some more rounds, each node is compared with the first node of another class that it
-  meets, in an order that changes with the round, so that the parts of a large group find each other without pairing
+  by one comparison each. In some more rounds, each node is compared with the first nodes of other classes that it
+  meets, in orders that change from round to round, so that the parts of a large group find each other without pairing
   it with itself. Rounds only save comparisons.
 * In tables where different classes still meet, every pair of two classes is compared in the first table in
   which it meets, in tasks, by size and parity bitmaps, whose distance never exceeds the true one.
@@ -40,8 +40,9 @@ from corpusloom.session import written
 # Keys of a collection, and minima of a key.
 HALVES = 12
 DEPTH = 3
-# Rounds of one comparison a node, after the first.
-ROUNDS = 4
+# Rounds after the first, and the comparisons of a node in each.
+ROUNDS = 1
+TURNS = 3
 # Nodes compared at a time: a side of a block, the texts that meet one pivot in a task, pairs in memory.
 BLOCK = 512
 PART = 128
@@ -143,19 +144,29 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, n
     return rows.select("b", "a", "text").mapInArrow(compare, "a long, b long")
 
 
-def _round_pairs(keyed: DataFrame, turn: int) -> DataFrame:
-    """For each node the first node of another class that leads one of its tables, in the order of this turn."""
-    entries = _entries(keyed).select("table", "node", "component")
-    order = F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), F.col("node").alias("b"), F.col("component").alias("other"))
-    leads = entries.groupBy("table").agg(F.min(order).alias("lead"), F.min("component").alias("low"), F.max("component").alias("high"))
-    met = entries.join(leads.where("low < high").select("table", "lead"), "table").where(F.col("component") != F.col("lead.other"))
-    chosen = met.groupBy(F.col("node").alias("a")).agg(F.min("lead").alias("lead"))
-    return chosen.select("a", "lead.b")
+def _open_entries(keyed: DataFrame) -> DataFrame:
+    """The entries of tables in which several classes meet, of halves with their node's ``component``."""
+    entries = _entries(keyed)
+    several = entries.groupBy("table").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    return entries.join(several.select("table"), "table").drop("component")
+
+
+def _round_pairs(entries: DataFrame, turns: list[int]) -> DataFrame:
+    """For each node and turn the first node of another class that leads one of its tables, in the order of the turn."""
+    orders = {
+        f"lead{t}": F.struct(F.xxhash64("node", F.lit(t)).alias("order"), F.col("node").alias("b"), F.col("component").alias("other"))
+        for t in turns
+    }
+    leads = entries.groupBy("table").agg(*[F.min(o).alias(name) for name, o in orders.items()])
+    met = entries.select("table", "node", "component").join(leads, "table")
+    others = [F.min(F.when(F.col("component") != F.col(f"{name}.other"), F.col(name))).alias(name) for name in orders]
+    chosen = met.groupBy(F.col("node").alias("a")).agg(*others)
+    pairs = chosen.select("a", F.explode(F.array(*[F.col(f"{name}.b") for name in orders])).alias("b")).where("b is not null")
+    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def _open_pairs(keyed: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
+def _open_pairs(entries: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs of nodes of two classes that meet in a table and whose bitmaps are close."""
-    entries = _entries(keyed)
     several = entries.groupBy("table").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")
     ).where("low < high")
@@ -270,12 +281,17 @@ def minhash_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     stars = written(entries.join(least, "table").where("node > b").groupBy(F.col("node").alias("a")).agg(F.min("b").alias("b")), "stars")
     known = [nodes, texts, width, num, den]
     links = written(_verified(stars, *known), "star-links")
+    entries = None
     for turn in range(ROUNDS + 1):
         joined = connected_components(links)
-        labelled = written(
-            keyed.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node")), "labelled-halves"
-        )
-        pairs = written(_round_pairs(labelled, turn) if turn < ROUNDS else _open_pairs(labelled, nodes, num, den), "open-pairs")
+        labelled = (entries if turn else keyed).join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        if not turn:
+            # From here on only tables in which several classes meet are read.
+            entries = written(_open_entries(written(labelled, "labelled-halves")), "open-entries")
+            labelled = entries.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        labelled = written(labelled, "labelled-entries")
+        turns = list(range(turn * TURNS, (turn + 1) * TURNS))
+        pairs = written(_round_pairs(labelled, turns) if turn < ROUNDS else _open_pairs(labelled, nodes, num, den), "open-pairs")
         if pairs.isEmpty():
             break
         links = links.union(written(_verified(pairs, *known), "more-links"))
