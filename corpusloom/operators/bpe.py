@@ -18,7 +18,10 @@ One Spark round settles many merges at once, exactly:
 
 The digest is only brought to the driver within a fixed size (``DIGEST_ROWS`` pieces with
 ``DIGEST_SYMBOLS`` symbols in all, so a few very long runs do no harm). When it is larger, ``K`` is
-lowered; at ``K = 1`` no digest is needed, since the best pair is the next merge.
+lowered. Where even ``NARROW`` pairs have too large a digest, a round takes none: the counts of what stands left and
+right of the ``BOUNDED`` best pairs are summed on the executors. A pair that a merge makes counts no more than the
+most frequent neighbour of the merged pair, and a pair loses no more than its overlaps, so the merges up to the
+first that such a pair could outrank are settled.
 """
 
 from __future__ import annotations
@@ -45,6 +48,10 @@ DIGEST_ROWS = 100_000
 DIGEST_SYMBOLS = 4_000_000
 # Pairs looked at in the first round; later rounds widen while the digest stays small.
 _FIRST_WIDTH = 64
+# The narrowest digest, the pairs looked at without one, and the rounds until a digest is tried again.
+NARROW = 16
+BOUNDED = 1024
+_ROUNDS_BOUNDED = 8
 # Working ids: a character is its code point, merges follow, special tokens come before. The order
 # of working ids equals the order of the final ids.
 _FIRST_MERGE = 0x110000
@@ -410,6 +417,89 @@ class WordTable:
         self._write(apply_merges(self.words, merges))
 
 
+def neighbour_counts(words: DataFrame, pairs: Sequence[tuple]) -> DataFrame:
+    """``pair, side, symbol, n``: what stands before (0) and after (1) each of the pairs, by their number."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat, ends = _flat(batch)
+            coded = flat.dictionary_encode()
+            code = {symbol: c for c, symbol in enumerate(coded.dictionary.to_pylist())}
+            width = len(code)
+            known = sorted((code[a] * width + code[b], i) for i, (a, b) in enumerate(pairs) if a in code and b in code)
+            if not known or len(flat) < 3:
+                continue
+            keys, numbers = (np.array(c, dtype=np.int64) for c in zip(*known))
+            codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            owner = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+            joints = codes[:-1] * width + codes[1:]
+            at = np.minimum(np.searchsorted(keys, joints), len(keys) - 1)
+            places = np.flatnonzero((keys[at] == joints) & (owner[:-1] == owner[1:]))
+            number = numbers[at[places]]
+            before = (places > 0) & (owner[places - 1] == owner[places])
+            follows = np.minimum(places + 2, len(flat) - 1)
+            after = (places + 2 < len(flat)) & (owner[follows] == owner[places])
+            cells = np.concatenate([
+                (number[before] * 2) * width + codes[places[before] - 1], (number[after] * 2 + 1) * width + codes[follows[after]]
+            ])
+            weights = batch.column("n").to_numpy(zero_copy_only=False)
+            n = np.concatenate([weights[owner[places[before]]], weights[owner[places[after]]]])
+            found, back = np.unique(cells, return_inverse=True)
+            sums = np.zeros(len(found), np.int64)
+            np.add.at(sums, back, n)
+            which = found // width
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(which // 2), pa.array(which % 2), coded.dictionary.take(pa.array(found % width)), pa.array(sums)],
+                ["pair", "side", "symbol", "n"],
+            )
+
+    symbol = words.schema["symbols"].dataType.elementType.simpleString()
+    counted = words.mapInArrow(count, f"pair long, side long, symbol {symbol}, n long")
+    return counted.groupBy("pair", "side", "symbol").agg(F.sum("n").alias("n"))
+
+
+def settle_by_bounds(words: DataFrame, best: list, rule: MergeRule) -> list[tuple]:
+    """The merges of the best pairs, in order, that no pair made by them can outrank; no digest is needed.
+
+    ``best`` holds at most ``BOUNDED`` rows, so what is brought to the driver is at most a number for each and
+    the overlaps among them.
+    """
+    pairs = [(r.left, r.right) for r in best]
+    around = written(neighbour_counts(words, pairs), "pair-neighbours")
+    bound = {r.pair: r.n for r in around.groupBy("pair").agg(F.max("n").alias("n")).collect()}
+    symbol = around.schema["symbol"].dataType.simpleString()
+    known = words.sparkSession.createDataFrame(
+        [(i, a, b) for i, (a, b) in enumerate(pairs)], f"number long, left {symbol}, right {symbol}"
+    )
+    own = F.broadcast(known.select(F.col("number").alias("pair"), F.col("right").alias("left")))
+    other = F.broadcast(known.select("left", F.col("right").alias("symbol"), "number"))
+    overlaps: dict[int, list[tuple[int, int]]] = defaultdict(list)
+    for r in around.where("side = 1").join(own, "pair").join(other, ["left", "symbol"]).select("pair", "number", "n").collect():
+        overlaps[r.pair].append((r.number, r.n))
+        overlaps[r.number].append((r.pair, r.n))
+    merges: list[tuple] = []
+    taken: set[int] = set()
+    # The most that a pair still to come, or one that has lost some of its places, can count.
+    rival = 0
+    for i, (pair, row) in enumerate(zip(pairs, best)):
+        twice = pair[0] == pair[1]
+        if row.n < rule.min_count or row.n <= rival or rule.full() or (twice and merges):
+            break
+        lost = max((n for j, n in overlaps[i] if j in taken), default=0)
+        if lost:
+            rival = max(rival, row.n - lost)
+            continue
+        outcome = rule.merge(pair)
+        if outcome is None:
+            continue
+        merges.append((*pair, outcome[0]))
+        if outcome[1] or twice:
+            break
+        taken.add(i)
+        rival = max(rival, bound.get(i, 0))
+    return merges
+
+
 def _digest(state: WordTable, hot: list[tuple]):
     """The digest as a list, or None when it is over its fixed size, which is measured first."""
     path = f"{state.base}/digest"
@@ -434,15 +524,20 @@ def merge_rounds(
     with ``mergeable`` only those that the rule would merge.
     """
     merges: list[tuple] = []
-    width = min(_FIRST_WIDTH, merges_per_round)
+    width, bounded = min(_FIRST_WIDTH, merges_per_round), 0
     while not rule.full():
-        done, growth = None, 4
-        if width > 1:
+        done, growth, finished = None, 4, False
+        if bounded:
+            bounded, growth = bounded - 1, 1
+            done = settle_by_bounds(state.words, best_pairs(state.words, min(BOUNDED, merges_per_round), False), rule)
+        elif width > 1:
             best = best_pairs(state.words, width + 1, False)
             pairs = [(r.left, r.right) for r in best]
             digest = _digest(state, pairs[:width]) if best else []
             if digest is None:
-                width = max(width // 4, 1)
+                if width <= NARROW:
+                    bounded = _ROUNDS_BOUNDED
+                width = min(width, max(width // 4, NARROW))
                 continue
             floor = rule.rank(best[width].n, pairs[width]) if len(best) > width else None
             done, finished = settle(digest, floor, rule)

@@ -96,6 +96,25 @@ def test_a_digest_with_too_many_symbols_changes_nothing(rows, monkeypatch):
     assert learned(rows, texts, 30, 1) == vocabulary(library(texts, 30, 1))
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_rounds_without_a_digest_settle_several_merges(rows, monkeypatch, seed):
+    monkeypatch.setattr(bpe, "DIGEST_ROWS", 0)
+    settled = []
+    by_bounds = bpe.settle_by_bounds
+    monkeypatch.setattr(bpe, "settle_by_bounds", lambda *a: settled.append(by_bounds(*a)) or settled[-1])
+    rng = random.Random(seed)
+    words = ["".join(rng.choice("abcdefghijklmno") for _ in range(rng.randint(2, 9))) for _ in range(300)]
+    texts = [" ".join(w for w in words for _ in range(int(rng.paretovariate(0.6)) % 200 + 1))]
+    assert learned(rows, texts, 70, 1) == vocabulary(library(texts, 70, 1))
+    assert max(map(len, settled)) > 1 and len(settled) < sum(map(len, settled))
+
+
+def test_neighbours_of_pairs(spark):
+    words = spark.createDataFrame([([1, 2, 3, 1, 2], 5), ([2, 1, 2, 3], 2), ([1, 2], 9)], "symbols array<int>, n long")
+    got = {tuple(r) for r in bpe.neighbour_counts(words, [(1, 2), (9, 9), (2, 3)]).collect()}
+    assert got == {(0, 0, 3, 5), (0, 1, 3, 7), (0, 0, 2, 2), (2, 0, 1, 7), (2, 1, 1, 5)}
+
+
 def test_a_long_run_takes_no_more_rounds(rows, monkeypatch):
     rounds = []
     settle = bpe.settle
