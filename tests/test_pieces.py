@@ -13,6 +13,7 @@ TEXTS = [
 ]
 
 
+# The options of the trainer whose vocabularies must be equalled.
 def library(texts, vocab_size, **options):
     model = io.BytesIO()
     sentencepiece.SentencePieceTrainer.train(
@@ -66,3 +67,10 @@ def test_too_small_vocabulary(rows):
 def test_without_bytes(rows):
     got = pieces.train_pieces(rows(["ab ab"]), "text", 9, byte_fallback=False, user_symbols=())
     assert got.pieces == ("<pad>", "<unk>", "<s>", "</s>", "ab", "▁ab", "a", "b", "▁")
+
+
+def test_rounds_without_a_digest(rows, monkeypatch):
+    from corpusloom.operators import bpe
+
+    monkeypatch.setattr(bpe, "DIGEST_ROWS", 0)
+    assert pieces.train_pieces(rows(TEXTS * 3), "text", 350).pieces == library(TEXTS * 3, 350)
