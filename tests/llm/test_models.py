@@ -210,3 +210,10 @@ def test_spaced_letters_are_split_into_words(spark):
     )
     got = {r.doc_id: r.toxicity_score for r in toxicity.toxicity(docs, labels).collect()}
     assert got[71] < 0.5 < got[70]
+
+
+@pytest.mark.parametrize("lengths", [[500, 130, 129, 128, 65, 64, 63, 5, 1], [64], [65], [3, 2], [1000, 1000]])
+def test_long_sequences_in_blocks_are_the_chain(lengths):
+    rng, lengths = np.random.default_rng(6), np.array(lengths)
+    scores, move, start = rng.normal(0, 3, (lengths.sum(), 4)), rng.normal(0, 1, (4, 4)), rng.normal(0, 1, 4)
+    assert np.allclose(langid._marginals(scores, lengths, move, start), langid._chain(scores, lengths, move, start)[0], atol=1e-12)
