@@ -57,6 +57,8 @@ SELECT blob_id,
          AS attempts,
        CASE WHEN contains(blob_id, 'casino') THEN 'FileNotFoundError: gone' END AS error
 FROM (SELECT CAST(page_id AS VARCHAR) || '|' || url AS blob_id FROM pages)"""
+ORACLES["hydrate_resumable"] = """
+SELECT page_id, coalesce(html, '') AS content, CAST(1 AS BIGINT) AS attempts, CAST(NULL AS VARCHAR) AS error FROM pages"""
 _STORED = "text IN (SELECT text FROM documents SEMI JOIN labels USING (doc_id))"
 ORACLES["join_blob_store"] = f"""
 SELECT doc_id, CASE WHEN {_STORED} THEN text END AS content, CASE WHEN NOT {_STORED} THEN 'missing' END AS error

@@ -20,7 +20,7 @@ from corpusloom.functions.clock import format_stamp, parse_stamp
 from corpusloom.functions.jsontext import string_field, to_json_line, with_parsed
 from corpusloom.functions.words import pretokenize_bytes, pretokenize_ws, to_byte_text
 from corpusloom.operators import bpe, mapping, piece_codec, piece_files, pieces, positions, profile, records, runlog, tokens
-from corpusloom.session import scratch_path, spread
+from corpusloom.session import scratch_path, spread, written
 from corpusloom.sources import blobs, catalog, files, sinks
 from corpusloom.streaming.intake import incremental_corpus, incremental_dead_letters
 
@@ -196,6 +196,22 @@ def hydrate_blobs(spark, sf_dir):
     )
 
 
+@query
+def hydrate_resumable(spark, sf_dir):
+    """Every page from its packed body: a first run has the pages with a query string, the next one all that are left."""
+    packed = F.base64(_gzipped(text_bytes(F.coalesce("html", F.lit("")))))
+    body = F.concat(F.lit("data:application/gzip;base64,"), F.regexp_replace(packed, r"\s", ""))
+    host = F.regexp_extract("url", "^[a-z]+://([^/]+)", 1)
+    pages = written(table(spark, sf_dir, "pages").select("page_id", "url", host.alias("host"), body.alias("blob_id")), "packed-pages")
+    ledger = scratch_path(spark, "fetched-pages")
+    how = {"ids_per_block": 20_000, "host": "host", "per_second": 10_000.0}
+    blobs.hydrate_resumable(pages.where(F.contains("url", F.lit("?"))), blobs.url_fetcher("{}"), ledger, **how)
+    rows = blobs.hydrate_resumable(pages, blobs.url_fetcher("{}"), ledger, **how)
+    found = rows.withColumn("key", F.sha2("blob_id", 256)).drop("blob_id")
+    keyed = pages.select("page_id", F.sha2("blob_id", 256).alias("key"))
+    return keyed.join(found, "key", "left").select("page_id", "content", F.col("attempts").cast("bigint").alias("attempts"), "error")
+
+
 def _blob_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """All documents as the manifest; the labelled ones, once per content, as the store."""
     docs = table(spark, sf_dir, "documents").select(

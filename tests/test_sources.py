@@ -2,6 +2,7 @@ import gzip
 import sys
 import time
 
+import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
@@ -88,6 +89,53 @@ def test_at_most_inflight_at_once(spark):
     assert max(int(r.content) for r in rows) == 2
 
 
+def test_a_killed_run_fetches_only_open_ids_again(spark, tmp_path):
+    ids, log, alive = [str(i) for i in range(60)], tmp_path / "log", tmp_path / "alive"
+    ledger = str(tmp_path / "ledger")
+
+    def fetch(blob_id):
+        class Killed(BaseException):
+            pass
+
+        if blob_id == "31" and not alive.exists():
+            raise Killed
+        with open(log, "a") as out:
+            out.write(blob_id + "\n")
+        if blob_id == "7":
+            raise FileNotFoundError(blob_id)
+        return gzip.compress(blob_id.encode())
+
+    frame = manifest(spark, [*ids, *ids[:20], None])
+    run = lambda: blobs.hydrate_resumable(frame, fetch, ledger, ids_per_block=10, max_retries=1, sleep=lambda s: None)
+    with pytest.raises(Exception):
+        run()
+    kept = {r.blob_id for r in blobs.fetched(spark, ledger).where("error is null").collect()}
+    assert len(kept) < 60
+    log.write_text("")
+    alive.touch()
+    got = {r.blob_id: (r.content, r.error) for r in run().collect()}
+    assert sorted(log.read_text().split()) == sorted(set(ids) - kept)
+    assert got == {i: (i, None) if i != "7" else (None, "FileNotFoundError: 7") for i in ids}
+    # Only what had failed is tried again, and its id still has one row.
+    log.write_text("")
+    assert run().count() == 60 and log.read_text().split() == ["7"]
+
+
+def test_no_ids_to_fetch(spark, tmp_path):
+    rows = blobs.hydrate_resumable(manifest(spark, []), Flaky(), str(tmp_path / "ledger"))
+    assert rows.count() == 0 and rows.columns == ["blob_id", "content", "attempts", "error"]
+    with pytest.raises(ValueError):
+        blobs.hydrate_resumable(manifest(spark, []), Flaky(), str(tmp_path / "ledger"), per_second=0)
+
+
+def test_pace_of_each_lane():
+    waits = []
+    pace = blobs.Pace(0.5, waits.append, clock=lambda: 10.0)
+    for lane in "aabab":
+        pace.wait(lane)
+    assert waits == [0.5, 1.0, 0.5]
+
+
 def store_files(tmp_path):
     folder = tmp_path / "store"
     folder.mkdir()
