@@ -1,15 +1,17 @@
 """Language-model scoring by cross-entropy difference.
 
 Two bigram models, one of a target and one of the background, are counted over every row. Words and pairs
-of words are told apart by 64-bit hashes of the whole word, so the written tables of counts grow with the corpus. The
+of words are told apart by 64-bit hashes, so what is counted grows with the corpus. The
 models are matched: the counts of the background are scaled to the target's number of words, and both are
 smoothed alike over one vocabulary, that of all words seen and of ``2 ** WORD_BITS`` words at least. A
 document's score is the mean over its words of target loss minus background loss, in nats: the lower, the
 closer to the target.
 
-Pairs that make up ``1 / FREQUENT`` of all, of which there are at most ``FREQUENT``, are scored while texts are
-read; the other pairs of a document are joined with the table and summed per row. Equally, frequent words
-are broadcast and the others joined.
+Texts are dealt by chance into chunks of about ``CHUNK_BYTES``. Each chunk asks once for each of its distinct pairs,
+words and words before: the sorted hashes, cut into ranges and packed, go with their counts to the task of a range, which
+sums them and answers every chunk in the order in which it asked. So neither hashes nor counts are shuffled as rows,
+a pair that occurs once costs a few bytes, and a frequent one is asked for once in a chunk. A chunk's texts are then read
+again beside its answers. Both sizes are fixed, so the numbers of chunks and of ranges grow with the input.
 
 Words are lower-cased A-Z between ASCII white space; the first word of a text follows a start mark. A
 null or empty text has no words and null losses. Rows are scored as often as they come in; a null
@@ -18,22 +20,18 @@ null or empty text has no words and null losses. Rows are scored as often as the
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.shingles import Shingler
-from corpusloom.session import in_stable_order, written
+from corpusloom.session import written
 
 # The smoothed vocabulary has at least so many words. PAIR_BITS only serves ``cells``.
 WORD_BITS, PAIR_BITS = 16, 18
-# A word or pair with this share of all counts is broadcast, so at most twice as many words and as many pairs are.
-FREQUENT = 100_000
-# Words of texts that are counted at once, and rows of a batch sent back.
-_COUNTED_WORDS, _BATCH_ROWS = 1 << 21, 1 << 16
+# Texts of a chunk, and texts whose keys one range of each kind receives on average, in bytes.
+CHUNK_BYTES, RANGE_BYTES = 12 << 20, 16 << 20
 # Weight of the word model in the pair model, and of the uniform model in the word model.
 PAIR_PRIOR, WORD_PRIOR = 20.0, 1.0
 # Target ids that are broadcast, at most; beyond, documents are joined with them by a shuffle.
@@ -41,6 +39,7 @@ BROADCAST_IDS = 1_000_000
 
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 _START = np.uint64(0x94D049BB133111EB)
+_PAIRS, _WORDS, _BEFORE = range(3)
 
 
 # Cells of fixed tables: on few words, where hardly any two share one, they count what the models count.
@@ -64,131 +63,121 @@ def cells(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return words & mask, before & mask, _pairs(before, words) >> np.uint64(64 - PAIR_BITS)
 
 
-def _marked(docs: DataFrame, target: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """``text, is_target``; ``target`` holds the ids of the target's documents."""
+def _marked(docs: DataFrame, target: DataFrame, text: str, doc_id: str, chunks: int) -> DataFrame:
+    """``doc_id, text, is_target, chunk`` of every row; ``target`` holds the ids of the target's documents."""
     ids = target.select(F.col(doc_id).alias("id")).where("id is not null").distinct().withColumn("is_target", F.lit(True))
     if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
-    rows = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    return rows.join(ids, "id", "left").select("text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
-
-
-def _sliced(columns: list[pa.Array], names: list[str]) -> Iterator[pa.RecordBatch]:
-    whole = pa.RecordBatch.from_arrays(columns, names)
-    for i in range(0, whole.num_rows, _BATCH_ROWS):
-        yield whole.slice(i, _BATCH_ROWS)
-
-
-def counted(docs: DataFrame, target: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``before, word, target, background``: the counts of every pair of words, of the target and of all rows."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, held, n = Shingler(1), [], 0
-
-        def summed() -> Iterator[pa.RecordBatch]:
-            words, before = np.concatenate([w for w, _ in held]), np.concatenate([_before(w) for w, _ in held])
-            mine = np.repeat([m for _, m in held], [len(w) for w, _ in held])
-            _, first, which = np.unique(_pairs(before, words), return_index=True, return_inverse=True)
-            sums = np.bincount(which, mine, len(first)).astype(np.int64), np.bincount(which, minlength=len(first))
-            yield from _sliced([pa.array(x) for x in (before[first].view(np.int64), words[first].view(np.int64), *sums)], ["before", "word", "target", "background"])
-
-        for batch in batches:
-            for words, mine in zip(shingler.words(batch.column(0)), batch.column(1).to_pylist()):
-                if len(words):
-                    held.append((words, mine))
-                    n += len(words)
-                if n >= _COUNTED_WORDS:
-                    yield from summed()
-                    held, n = [], 0
-        if held:
-            yield from summed()
-
-    rows = _marked(docs, target, text, doc_id).mapInArrow(count, "before long, word long, target long, background long")
-    return rows.groupBy("before", "word").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
-
-
-def _with_counts(pairs: DataFrame, key: str, words: DataFrame, least: float) -> DataFrame:
-    """The pairs with the ``counts`` of one of their words: frequent words broadcast, the rest by a shuffle."""
-    counts = words.select(F.col("id").alias("other"), F.struct("target", "background").alias("counts"), F.col("background").alias("n"))
-    frequent = F.broadcast(counts.where(F.col("n") >= least).select(F.col("other").alias(key), F.col("counts").alias("frequent")))
-    # Pairs of frequent words are spread by their own hash, which finds nothing more.
-    spread = pairs.join(frequent, key, "left").withColumn("other", F.when(F.col("frequent").isNull(), F.col(key)).otherwise(F.xxhash64("before", "word")))
-    rest = counts.where(F.col("n") < least).drop("n")
-    return spread.join(rest, "other", "left").withColumn(f"of_{key}", F.coalesce("frequent", "counts")).drop("other", "frequent", "counts")
-
-
-def _losses(pairs: DataFrame, words: DataFrame, contexts: DataFrame, totals: tuple[int, int], vocabulary: int) -> DataFrame:
-    """``before, word, target_loss, background_loss`` of the pairs under both models."""
-    least = totals[1] / FREQUENT
-    pairs = _with_counts(_with_counts(pairs, "word", words, least), "before", contexts, least)
-    # Without a target both models are the background's.
-    models = [("target", 1.0) if totals[0] else ("background", 1.0), ("background", totals[0] / totals[1] if totals[0] else 1.0)]
-    matched = totals[0] or totals[1]
-    out = []
-    for (counts, scale), name in zip(models, ("target_loss", "background_loss")):
-        single = (F.col(f"of_word.{counts}") * scale + WORD_PRIOR) / (matched + WORD_PRIOR * vocabulary)
-        pair = (F.col(counts) * scale + PAIR_PRIOR * single) / (F.col(f"of_before.{counts}") * scale + PAIR_PRIOR)
-        out.append((-F.log(pair)).alias(name))
-    return pairs.select("before", "word", *out)
+    # Written before its first use, so that a row has the same chunk in every job.
+    chunk = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(chunks)).alias("chunk")
+    rows = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"), chunk).join(ids, "id", "left")
+    return rows.select(F.col("id").cast("long").alias("doc_id"), "text", F.coalesce("is_target", F.lit(False)).alias("is_target"), "chunk")
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """The numbers compressed, equal places of their bytes side by side."""
+    return pa.compress(values.view(np.uint8).reshape(len(values), -1).T.tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(packed: bytes, n: int, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(packed, n * size, "zstd", asbytes=True), np.uint8).reshape(size, n)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _words_of(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The number of words of each text, and the keys of each kind of all words in order."""
+    shingler = Shingler(1)
+    words = [w for batch in table.select(["text"]).to_batches() for w in shingler.words(batch.column(0))]
+    none = [np.zeros(0, np.uint64)]
+    before, after = np.concatenate([_before(w) for w in words] + none), np.concatenate(words + none)
+    return np.array([len(w) for w in words], np.int64), [_pairs(before, after), after, before]
+
+
+def asked(rows: DataFrame, ranges: int) -> DataFrame:
+    """``chunk, kind, range, n, keys, target, background``: the packed distinct keys of each chunk with its counts."""
+
+    def ask(table: pa.Table) -> pa.Table:
+        lengths, kinds = _words_of(table)
+        mine = np.repeat(table.column("is_target").to_numpy(), lengths)
+        out = []
+        for kind, each in enumerate(kinds):
+            keys, which = np.unique(each, return_inverse=True)
+            counts = np.bincount(which, mine, len(keys)).astype(np.uint32), np.bincount(which, minlength=len(keys)).astype(np.uint32)
+            # The product of the upper half is monotonous, so a range is a slice of the sorted keys.
+            place = ((keys >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+            starts = np.flatnonzero(np.diff(place, prepend=np.uint64(ranges)))
+            for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)]):
+                out.append((kind, int(place[a]), b - a, _packed(keys[a:b]), *(_packed(c[a:b]) for c in counts)))
+        columns = [list(c) for c in zip(*out)] or [[] for _ in range(6)]
+        types = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+        chunk = pa.array([table.column("chunk")[0].as_py()] * len(out), pa.int64())
+        return pa.Table.from_arrays([chunk, *(pa.array(c, t) for c, t in zip(columns, types))], ["chunk", "kind", "range", "n", "keys", "target", "background"])
+
+    return rows.select("chunk", "is_target", "text").groupBy("chunk").applyInArrow(
+        ask, "chunk long, kind int, range long, n long, keys binary, target binary, background binary"
+    )
+
+
+def answered(requests: DataFrame) -> DataFrame:
+    """``chunk, kind, range, n, target, background``: the counts of the keys asked for, in the same order.
+
+    ``distinct, all_target, all_background`` are the sums of a range, in the first of its rows and 0 in the others.
+    """
+
+    def answer(table: pa.Table) -> pa.Table:
+        sizes = table.column("n").to_pylist()
+        parts = {n: np.concatenate([_unpacked(x, k, t) for x, k in zip(table.column(n).to_pylist(), sizes)])
+                 for n, t in (("keys", np.uint64), ("target", np.uint32), ("background", np.uint32))}
+        keys, which = np.unique(parts["keys"], return_inverse=True)
+        counts = [np.bincount(which, parts[n], len(keys)).astype(np.int64) for n in ("target", "background")]
+        ends = np.cumsum(sizes).tolist()
+        packed = [[_packed(c[which[e - n : e]]) for n, e in zip(sizes, ends)] for c in counts]
+        sums = [[s] + [0] * (len(sizes) - 1) for s in (len(keys), int(counts[0].sum()), int(counts[1].sum()))]
+        out = table.select(["chunk", "kind", "range", "n"])
+        for name, column, kind in zip(("target", "background", "distinct", "all_target", "all_background"), packed + sums, [pa.binary()] * 2 + [pa.int64()] * 3):
+            out = out.append_column(name, pa.array(column, kind))
+        return out
+
+    return requests.groupBy("kind", "range").applyInArrow(
+        answer, "chunk long, kind int, range long, n long, target binary, background binary, distinct long, all_target long, all_background long"
+    )
 
 
 def cross_entropy_difference(docs: DataFrame, target: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``doc_id, n_words, target_loss, background_loss, score`` of every row."""
-    pairs = written(counted(docs, target, text, doc_id), "lm-pairs")
-    sums = [F.sum(n).alias(n) for n in ("target", "background")]
-    words = written(pairs.groupBy(F.col("word").alias("id")).agg(*sums), "lm-words")
-    contexts = written(pairs.groupBy(F.col("before").alias("id")).agg(*sums), "lm-contexts")
-    total = words.agg(*sums, F.count("*").alias("n")).first()
-    totals = (total["target"] or 0, max(total["background"] or 0, 1))
-    vocabulary = max(total["n"], 1 << WORD_BITS)
-    often = F.col("background") >= totals[1] / FREQUENT
-    # At most FREQUENT rows.
-    top = _losses(pairs.where(often), words, contexts, totals, vocabulary).toPandas()
-    keys = _pairs(top["before"].to_numpy(np.int64).view(np.uint64), top["word"].to_numpy(np.int64).view(np.uint64))
-    order = np.argsort(keys)
-    shared = docs.sparkSession.sparkContext.broadcast((keys[order], top[["target_loss", "background_loss"]].to_numpy(np.float64)[order]))
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, (keys, losses) = Shingler(1), shared.value
-        names = ["row", "before", "word", "n", "head"]
-        kind = pa.struct([("doc_id", pa.int64()), ("n_words", pa.int64()), ("target_loss", pa.float64()), ("background_loss", pa.float64())])
-        for batch in batches:
-            heads, rest, n = [], [], 0
-
-            def sent() -> Iterator[pa.RecordBatch]:
-                yield from _sliced(
-                    [pa.array([h[0] for h in heads], pa.int64()), *(pa.nulls(len(heads), t) for t in (pa.int64(), pa.int64(), pa.int32())), pa.array([h[1] for h in heads], kind)], names
-                )
-                if rest:
-                    columns = [np.concatenate(c) for c in zip(*rest)]
-                    yield from _sliced([*(pa.array(c) for c in columns), pa.nulls(len(columns[0]), kind)], names)
-
-            for row, i, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), shingler.words(batch.column(2))):
-                before = _before(words)
-                distinct, first, times = np.unique(_pairs(before, words), return_index=True, return_counts=True)
-                known = np.zeros(len(distinct), dtype=bool)
-                a = b = 0.0
-                if len(keys):
-                    at = np.minimum(np.searchsorted(keys, distinct), len(keys) - 1)
-                    known = keys[at] == distinct
-                    a, b = (float(x) for x in times[known] @ losses[at[known]])
-                heads.append((row, {"doc_id": i, "n_words": len(words), "target_loss": a, "background_loss": b}))
-                first = first[~known]
-                rest.append((np.full(len(first), row, np.int64), before[first].view(np.int64), words[first].view(np.int64), times[~known].astype(np.int32)))
-                n += len(first)
-                if n >= _COUNTED_WORDS:
-                    yield from sent()
-                    heads, rest, n = [], [], 0
-            yield from sent()
-
-    rows = in_stable_order(docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")))
-    rows = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    parts = rows.mapInArrow(read, "row long, before long, word long, n int, head struct<doc_id:long,n_words:long,target_loss:double,background_loss:double>")
-    # A row's head has no pair; its key spreads heads over all tasks.
-    parts = parts.select("row", F.when(F.col("head").isNull(), F.xxhash64("before", "word")).otherwise(F.xxhash64("row")).alias("pair"), "n", "head")
-    table = _losses(pairs.where(~often), words, contexts, totals, vocabulary).select(F.xxhash64("before", "word").alias("pair"), "target_loss", "background_loss")
-    loss = {n: F.sum(F.coalesce(F.col(f"head.{n}"), F.col("n") * F.col(n))).alias(n) for n in ("target_loss", "background_loss")}
-    summed = parts.join(table, "pair", "left").groupBy("row").agg(F.max("head.doc_id").alias("doc_id"), F.max("head.n_words").alias("n_words"), *loss.values())
+    size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
+    rows = written(_marked(docs, target, text, doc_id, size // CHUNK_BYTES + 1), "lm-rows")
+    counts = written(answered(asked(rows, size // RANGE_BYTES + 1)), "lm-counts")
+    total = counts.where(F.col("kind") == _WORDS).agg(*[F.sum(n).alias(n) for n in ("distinct", "all_target", "all_background")]).first()
+    totals = (total["all_target"] or 0, max(total["all_background"] or 0, 1))
+    vocabulary = max(total["distinct"] or 0, 1 << WORD_BITS)
+    # Without a target both models are the background's.
+    models = [("target", 1.0) if totals[0] else ("background", 1.0), ("background", totals[0] / totals[1] if totals[0] else 1.0)]
+    matched = totals[0] or totals[1]
+
+    def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        lengths, kinds = _words_of(texts)
+        got = sorted(answers.to_pylist(), key=lambda r: (r["kind"], r["range"]))
+        keys, first, which = np.unique(kinds[_PAIRS], return_index=True, return_inverse=True)
+        # The place of each distinct pair, of its word and of the word before among the answers.
+        places = [np.arange(len(keys)), *(np.unique(kinds[k], return_inverse=True)[1][first] for k in (_WORDS, _BEFORE))]
+        of_text, losses = np.repeat(np.arange(len(lengths)), lengths), []
+        for name, scale in models:
+            pair, word, before = (
+                np.concatenate([np.zeros(0, np.int64), *(_unpacked(r[name], r["n"], np.int64) for r in got if r["kind"] == k)])[places[k]] * scale
+                for k in (_PAIRS, _WORDS, _BEFORE)
+            )
+            single = (word + WORD_PRIOR) / (matched + WORD_PRIOR * vocabulary)
+            loss = -np.log((pair + PAIR_PRIOR * single) / (before + PAIR_PRIOR))
+            losses.append(np.bincount(of_text, loss[which], len(lengths)))
+        return pa.Table.from_arrays(
+            [texts.column("doc_id"), pa.array(lengths), *(pa.array(x) for x in losses)], ["doc_id", "n_words", "target_loss", "background_loss"]
+        )
+
+    summed = rows.drop("is_target").groupBy("chunk").cogroup(counts.select("chunk", "kind", "range", "n", "target", "background").groupBy("chunk")).applyInArrow(
+        score, "doc_id long, n_words long, target_loss double, background_loss double"
+    )
     # Null where there are no words.
-    mean = [F.when(F.col("n_words") > 0, F.col(n) / F.col("n_words")).alias(n) for n in loss]
+    mean = [F.when(F.col("n_words") > 0, F.col(n) / F.col("n_words")).alias(n) for n in ("target_loss", "background_loss")]
     return summed.select("doc_id", "n_words", *mean).withColumn("score", F.col("target_loss") - F.col("background_loss"))

@@ -131,6 +131,20 @@ def test_cross_entropy_difference_equals_brute_force(spark):
     assert lm_score.cross_entropy_difference(docs.limit(0), target).count() == 0
 
 
+def test_cross_entropy_difference_over_many_chunks_and_ranges(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(i, " ".join(f"w{int(rng.paretovariate(0.7)) % 900}" for _ in range(rng.randrange(80)))) for i in range(300)] + [(400, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    target = spark.createDataFrame([(i,) for i in range(0, 300, 4)], "doc_id long")
+    whole = {r.doc_id: r for r in lm_score.cross_entropy_difference(docs, target).collect()}
+    monkeypatch.setattr(lm_score, "CHUNK_BYTES", 3_000)
+    monkeypatch.setattr(lm_score, "RANGE_BYTES", 5_000)
+    cut = {r.doc_id: r for r in lm_score.cross_entropy_difference(docs, target).collect()}
+    assert len(cut) == len(whole) == 301 and cut[400].score is None
+    for i, r in whole.items():
+        assert tuple(cut[i])[1:] == pytest.approx(tuple(r)[1:]) or i == 400 or not r.n_words
+
+
 def test_nearest_neighbours_against_brute_force(spark):
     rows = table(spark, SF, "embeddings").select("vec_id", "embedding").collect()
     ids, v = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], dtype=np.float32).astype(float)
