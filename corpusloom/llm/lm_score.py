@@ -7,7 +7,8 @@ smoothed alike over one vocabulary, that of all words seen and of ``2 ** WORD_BI
 document's score is the mean over its words of target loss minus background loss, in nats: the lower, the
 closer to the target.
 
-Texts are dealt by chance into chunks of about ``CHUNK_BYTES``. Each chunk asks once for each of its distinct pairs,
+Rows are packed into pieces of about ``PIECE_BYTES`` of text, and pieces dealt by chance into chunks of about
+``CHUNK_BYTES``. Each chunk asks once for each of its distinct pairs,
 words and words before: the sorted hashes, cut into ranges and packed, go with their counts to the task of a range, which
 sums them and answers every chunk in the order in which it asked. So neither hashes nor counts are shuffled as rows,
 a pair that occurs once costs a few bytes, and a frequent one is asked for once in a chunk. A chunk's texts are then read
@@ -20,8 +21,11 @@ null or empty text has no words and null losses. Rows are scored as often as the
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,8 +34,8 @@ from corpusloom.session import written
 
 # The smoothed vocabulary has at least so many words. PAIR_BITS only serves ``cells``.
 WORD_BITS, PAIR_BITS = 16, 18
-# Texts of a chunk, and texts whose keys one range of each kind receives on average, in bytes.
-CHUNK_BYTES, RANGE_BYTES = 12 << 20, 16 << 20
+# Texts of a piece and of a chunk (or one longer text), and texts whose keys one range of each kind receives on average, in bytes.
+PIECE_BYTES, CHUNK_BYTES, RANGE_BYTES = 1 << 20, 12 << 20, 16 << 20
 # Weight of the word model in the pair model, and of the uniform model in the word model.
 PAIR_PRIOR, WORD_PRIOR = 20.0, 1.0
 # Target ids that are broadcast, at most; beyond, documents are joined with them by a shuffle.
@@ -63,15 +67,32 @@ def cells(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return words & mask, before & mask, _pairs(before, words) >> np.uint64(64 - PAIR_BITS)
 
 
-def _marked(docs: DataFrame, target: DataFrame, text: str, doc_id: str, chunks: int) -> DataFrame:
-    """``doc_id, text, is_target, chunk`` of every row; ``target`` holds the ids of the target's documents."""
+def _pieces(docs: DataFrame, target: DataFrame, text: str, doc_id: str, chunks: int) -> DataFrame:
+    """``chunk, texts``: every row as ``doc_id, text, is_target`` in compressed pieces; ``target`` holds the ids of the target's documents."""
     ids = target.select(F.col(doc_id).alias("id")).where("id is not null").distinct().withColumn("is_target", F.lit(True))
     if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
-    # Written before its first use, so that a row has the same chunk in every job.
-    chunk = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(chunks)).alias("chunk")
-    rows = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"), chunk).join(ids, "id", "left")
-    return rows.select(F.col("id").cast("long").alias("doc_id"), "text", F.coalesce("is_target", F.lit(False)).alias("is_target"), "chunk")
+    rows = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text")).join(ids, "id", "left")
+    rows = rows.select(F.col("id").cast("long").alias("doc_id"), "text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
+    size = PIECE_BYTES
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bytes_ = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy())
+            starts = np.flatnonzero(np.diff(bytes_ // size, prepend=-1)).tolist()
+            for a, b in zip(starts, [*starts[1:], batch.num_rows]):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                    out.write_batch(batch.slice(a, b - a))
+                yield pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["texts"])
+
+    # Written before its first use, so that a piece has the same chunk in every job.
+    return rows.mapInArrow(pack, "texts binary").select(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(chunks)).alias("chunk"), "texts")
+
+
+def _rows_of(pieces: pa.Table) -> pa.Table:
+    """The rows of some pieces."""
+    return pa.concat_tables(pa.ipc.open_stream(x.as_buffer()).read_all() for x in pieces.column("texts"))
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -94,10 +115,11 @@ def _words_of(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
     return np.array([len(w) for w in words], np.int64), [_pairs(before, after), after, before]
 
 
-def asked(rows: DataFrame, ranges: int) -> DataFrame:
+def asked(pieces: DataFrame, ranges: int) -> DataFrame:
     """``chunk, kind, range, n, keys, target, background``: the packed distinct keys of each chunk with its counts."""
 
-    def ask(table: pa.Table) -> pa.Table:
+    def ask(pieces: pa.Table) -> pa.Table:
+        table = _rows_of(pieces)
         lengths, kinds = _words_of(table)
         mine = np.repeat(table.column("is_target").to_numpy(), lengths)
         out = []
@@ -111,10 +133,10 @@ def asked(rows: DataFrame, ranges: int) -> DataFrame:
                 out.append((kind, int(place[a]), b - a, _packed(keys[a:b]), *(_packed(c[a:b]) for c in counts)))
         columns = [list(c) for c in zip(*out)] or [[] for _ in range(6)]
         types = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-        chunk = pa.array([table.column("chunk")[0].as_py()] * len(out), pa.int64())
+        chunk = pa.array([pieces.column("chunk")[0].as_py()] * len(out), pa.int64())
         return pa.Table.from_arrays([chunk, *(pa.array(c, t) for c, t in zip(columns, types))], ["chunk", "kind", "range", "n", "keys", "target", "background"])
 
-    return rows.select("chunk", "is_target", "text").groupBy("chunk").applyInArrow(
+    return pieces.groupBy("chunk").applyInArrow(
         ask, "chunk long, kind int, range long, n long, keys binary, target binary, background binary"
     )
 
@@ -147,8 +169,8 @@ def answered(requests: DataFrame) -> DataFrame:
 def cross_entropy_difference(docs: DataFrame, target: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``doc_id, n_words, target_loss, background_loss, score`` of every row."""
     size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
-    rows = written(_marked(docs, target, text, doc_id, size // CHUNK_BYTES + 1), "lm-rows")
-    counts = written(answered(asked(rows, size // RANGE_BYTES + 1)), "lm-counts")
+    pieces = written(_pieces(docs, target, text, doc_id, size // CHUNK_BYTES + 1), "lm-pieces")
+    counts = written(answered(asked(pieces, size // RANGE_BYTES + 1)), "lm-counts")
     total = counts.where(F.col("kind") == _WORDS).agg(*[F.sum(n).alias(n) for n in ("distinct", "all_target", "all_background")]).first()
     totals = (total["all_target"] or 0, max(total["all_background"] or 0, 1))
     vocabulary = max(total["distinct"] or 0, 1 << WORD_BITS)
@@ -156,7 +178,8 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, text: str = "te
     models = [("target", 1.0) if totals[0] else ("background", 1.0), ("background", totals[0] / totals[1] if totals[0] else 1.0)]
     matched = totals[0] or totals[1]
 
-    def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
+    def score(pieces: pa.Table, answers: pa.Table) -> pa.Table:
+        texts = _rows_of(pieces)
         lengths, kinds = _words_of(texts)
         got = sorted(answers.to_pylist(), key=lambda r: (r["kind"], r["range"]))
         keys, first, which = np.unique(kinds[_PAIRS], return_index=True, return_inverse=True)
@@ -175,7 +198,7 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, text: str = "te
             [texts.column("doc_id"), pa.array(lengths), *(pa.array(x) for x in losses)], ["doc_id", "n_words", "target_loss", "background_loss"]
         )
 
-    summed = rows.drop("is_target").groupBy("chunk").cogroup(counts.select("chunk", "kind", "range", "n", "target", "background").groupBy("chunk")).applyInArrow(
+    summed = pieces.groupBy("chunk").cogroup(counts.select("chunk", "kind", "range", "n", "target", "background").groupBy("chunk")).applyInArrow(
         score, "doc_id long, n_words long, target_loss double, background_loss double"
     )
     # Null where there are no words.

@@ -137,6 +137,7 @@ def test_cross_entropy_difference_over_many_chunks_and_ranges(spark, monkeypatch
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     target = spark.createDataFrame([(i,) for i in range(0, 300, 4)], "doc_id long")
     whole = {r.doc_id: r for r in lm_score.cross_entropy_difference(docs, target).collect()}
+    monkeypatch.setattr(lm_score, "PIECE_BYTES", 500)
     monkeypatch.setattr(lm_score, "CHUNK_BYTES", 3_000)
     monkeypatch.setattr(lm_score, "RANGE_BYTES", 5_000)
     cut = {r.doc_id: r for r in lm_score.cross_entropy_difference(docs, target).collect()}
