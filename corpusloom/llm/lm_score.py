@@ -35,7 +35,7 @@ from corpusloom.session import written
 # The smoothed vocabulary has at least so many words. PAIR_BITS only serves ``cells``.
 WORD_BITS, PAIR_BITS = 16, 18
 # Texts of a piece and of a chunk (or one longer text), and texts whose keys one range of each kind receives on average, in bytes.
-PIECE_BYTES, CHUNK_BYTES, RANGE_BYTES = 1 << 20, 12 << 20, 16 << 20
+PIECE_BYTES, CHUNK_BYTES, RANGE_BYTES = 1 << 19, 8 << 20, 8 << 20
 # Weight of the word model in the pair model, and of the uniform model in the word model.
 PAIR_PRIOR, WORD_PRIOR = 20.0, 1.0
 # Target ids that are broadcast, at most; beyond, documents are joined with them by a shuffle.
