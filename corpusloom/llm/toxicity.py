@@ -3,15 +3,19 @@
 A word that holds look-alike characters, separators or drawn-out letters is a
 lattice: each character may stand for itself, for the letters it resembles, or for nothing, and a run
 of one letter for one or two of it. Viterbi decoding under a character language model picks the
-restored word. The model is a bigram model over the plain words of the training sample. A run of single spaced
-characters is a lattice too, whose gaps may each be a word break or nothing: words of the sample and the words
+restored word. The model is a bigram model over the plain words of all labelled texts. A run of single spaced
+characters is a lattice too, whose gaps may each be a word break or nothing: words of these texts and the words
 that are signs have their share as probability, any other word that of its characters.
 
-The signs are restored words and their beginnings. They are chosen greedily on labelled rows: each next one
+The signs are restored words and their beginnings. They are chosen greedily on all labelled rows: each next one
 covers the most toxic documents that no earlier sign covers, at the least error on the rest. So the words that merely
 come along with a sign in a repeated document are not learned. A document's score is the chance that at
 least one of its signs is right (noisy or).
 
+Counts are taken in Spark. What is left for the choice are the sets of possible signs of documents, equal
+ones summed; they reach the driver within a fixed size. Where they are larger, a round takes only the signs with the most toxic
+documents left, and settles those that no other sign can outrank.
+
 Labels, language, source and id are never inputs of a score. A null or empty text has no sign and the
 score of such a document. Texts are read whole at any length, repeated rows score alike, a null
 ``doc_id`` counts as held out, other columns are ignored. Without usable labels every score is 0.
@@ -19,23 +23,33 @@ score of such a document. Texts are read whole at any length, repeated rows scor
 
 from __future__ import annotations
 
+import json
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from corpusloom.llm.folds import bounded, held_out
+from corpusloom.functions.batches import in_parts
+from corpusloom.llm.folds import held_out
 from corpusloom.session import written
 
-# Labelled documents that the signs and the language model are learned from, at most.
-SAMPLE_ROWS = 20_000
-# Signs looked at, at most, by the toxic documents they occur in, and signs kept.
-MOST_CANDIDATES = 10_000
+# Labelled rows whose ids are broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 2_000_000
+# Possible signs that tasks look for themselves; more are joined by a shuffle.
+BROADCAST_SIGNS = 100_000
+# Signs of all sets that the driver sees at once, and signs that a round begins with if they are more.
+# Sixteen signs have no more than this.
+DIGEST = 1 << 21
+ROUND_SIGNS = 1024
+# The size of the model.
 MOST_SIGNS = 500
+# Distinct words or signs that a counting task holds.
+_COUNTED = 200_000
 # A sign must cover so many toxic documents that no earlier one does, and be right so often on them.
 LEAST_COVER = 3
 LEAST_RIGHT = 0.7
@@ -52,6 +66,7 @@ LOOKS_LIKE = {
 }
 _SEPARATORS = ".-_*~'`^,:;/\\"
 _NOISY = re.compile(r"(.)\1\1|[^\W\d_][\W\d_]+[^\W\d_]|^[0-9@$!|(+€£]+[^\W\d_]|[^\W\d_][0-9@$€£]+$")
+_DRAWN = re.compile(r"(.)\1\1")
 _TRIM = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in "@$!|(+") + "“”„«»…–—"
 _ONE = rf"[\w{re.escape(''.join(LOOKS_LIKE))}]"
 # Three single characters or more; the last may have marks behind it.
@@ -183,23 +198,32 @@ class Spaced:
 class Reader:
     """Signs of words, each distinct word restored once."""
 
-    def __init__(self, model: CharModel, wanted: frozenset[str] | None = None):
+    def __init__(self, model: CharModel, wanted: frozenset[str] | None = None, likely: frozenset[str] | None = None):
         # A sign that asks for two words needs each of them.
         self.model, self.wanted = model, None if wanted is None else wanted | {s[:-1] for s in wanted if s.endswith("~~")}
+        starts = [(n, frozenset(s[:-1] for s in self.wanted or () if len(s) == n + 1 and s.endswith("~"))) for n in PREFIXES]
+        self.starts = [(n, s) for n, s in starts if s]
         self.known: dict[str, tuple[str, ...]] = {}
-        self.spaced = Spaced(model, wanted or frozenset())
+        # Signs that spaced characters may stand for: the wanted ones, where no others are named.
+        self.spaced = Spaced(model, (wanted or frozenset()) if likely is None else likely)
 
     def _signs(self, word: str) -> tuple[str, ...]:
-        core = word.strip(_TRIM)
-        if _NOISY.search(core):
+        # A word of letters only has nothing to trim, and is noisy where a letter is drawn out.
+        plain = word.isalpha()
+        core = word if plain else word.strip(_TRIM)
+        if (_DRAWN if plain else _NOISY).search(core):
             core = self.model.restored(core)
-        else:
+        elif not plain:
             core = core.strip("@$!|(+")
         found = ()
-        if core:
+        if core and self.wanted is None:
             found = (core, *(f"{core[:n]}~" for n in PREFIXES if len(core) >= n))
-            if self.wanted is not None:
-                found = tuple(s for s in found if s in self.wanted)
+        elif core:
+            if core in self.wanted:
+                found = (core,)
+            for n, starts in self.starts:
+                if core[:n] in starts:
+                    found += (f"{core[:n]}~",)
         if len(word) <= _KNOWN_LENGTH:
             if len(self.known) >= _KNOWN_WORDS:
                 self.known.clear()
@@ -221,33 +245,58 @@ class Reader:
         return {*found, *more}
 
 
-def _sample(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, label: str) -> DataFrame:
-    """A bounded set of distinct labelled texts outside the held-out rows."""
+def _labelled(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, label: str) -> DataFrame:
+    """All labelled texts outside the held-out rows, one for each id."""
     usable = labels.where(~held_out(F.col(doc_id)) & F.col(label).isNotNull()).select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label"))
-    few = F.broadcast(written(bounded(usable.groupBy("id").agg(F.max("label").alias("label")), SAMPLE_ROWS, "id"), "toxic-sample-ids"))
+    usable = written(usable.groupBy("id").agg(F.max("label").alias("label")), "toxic-labels")
+    if usable.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        usable = F.broadcast(usable)
     texts = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text")).where("text is not null")
-    return written(texts.join(few, "id").dropDuplicates(["id"]), "toxic-sample")
+    found = written(texts.join(usable, "id"), "toxic-texts")
+    # Rows that repeat an id are few or none; only they are moved.
+    again = written(found.groupBy("id").count().where("count > 1").select("id"), "toxic-repeated")
+    if again.isEmpty():
+        return found
+    one = found.join(again, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"), F.first("label").alias("label"))
+    return written(found.join(again, "id", "left_anti").unionByName(one), "toxic-texts-once")
 
 
-def _char_model(sample: DataFrame) -> CharModel:
+def _char_model(texts: DataFrame) -> CharModel:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-        for batch in batches:
-            for t in batch.column(0).to_pylist():
+        # Words, and what they are more or less where spaced characters are taken out.
+        words, apart = Counter(), Counter()
+
+        def summed() -> pa.RecordBatch:
+            counts: Counter = Counter()
+            for w, n in words.items():
+                if w.isalpha():
+                    for a, b in zip(_EDGE + w, w + _EDGE):
+                        counts[False, a + b] += n
+            for w in words.keys() | apart.keys():
+                if w.isalpha() and len(w) <= _LONGEST_WORD:
+                    counts[True, w] = words[w] + apart[w]
+            words.clear()
+            apart.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array([k[0] for k in counts], pa.bool_()), pa.array([k[1] for k in counts], pa.string()), pa.array(list(counts.values()), pa.int64())], ["whole", "key", "n"]
+            )
+
+        for part in in_parts(batches):
+            for t in part.column(0).to_pylist():
                 t = t.lower()
-                for w, n in Counter(t.split()).items():
-                    if w.isalpha():
-                        for a, b in zip(_EDGE + w, w + _EDGE):
-                            counts[False, a + b] += n
-                for w in _SPACED.sub(" ", t).split():
-                    if w.isalpha() and len(w) <= _LONGEST_WORD:
-                        counts[True, w] += 1
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in counts], pa.bool_()), pa.array([k[1] for k in counts], pa.string()), pa.array(list(counts.values()), pa.int64())], ["whole", "key", "n"]
-        )
+                found = t.split()
+                words.update(found)
+                rest = _SPACED.sub(" ", t)
+                if rest != t:
+                    apart.update(rest.split())
+                    apart.subtract(found)
+                if len(words) > _COUNTED:
+                    yield summed()
+        yield summed()
 
     # Pairs of letters: bounded by the alphabet, and cut to the usual ones, as words are.
-    summed = written(sample.select("text").mapInArrow(count, "whole boolean, key string, n long").groupBy("whole", "key").agg(F.sum("n").alias("n")), "toxic-letters")
+    summed = texts.select("text").mapInArrow(count, "whole boolean, key string, n long").groupBy("whole", "key").agg(F.sum("n").alias("n"))
+    summed = written(summed.where("n > 0"), "toxic-letters")
     pairs, words = (
         {r["key"]: r["n"] for r in summed.where(F.col("whole") == whole).orderBy(F.desc("n"), "key").limit(most).collect()}
         for whole, most in ((False, 20_000), (True, MOST_WORDS))
@@ -255,47 +304,180 @@ def _char_model(sample: DataFrame) -> CharModel:
     return CharModel(pairs, words)
 
 
-def learn(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic") -> tuple[CharModel, dict[str, float], float]:
-    """The character model, the signs with the chance that each is right, and the score without a sign."""
-    sample = _sample(docs, labels, text, doc_id, label)
-    model = _char_model(sample)
+def _possible(texts: DataFrame, model: CharModel) -> DataFrame:
+    """``sign, bad, n`` of the signs that are right often enough, over all labelled texts."""
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(model)
-        for batch in batches:
-            for i, t, y in zip(*(c.to_pylist() for c in batch.columns)):
-                found = list(reader.signs(t))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([i] * len(found), pa.int64()), pa.array(found, pa.string()), pa.array([y] * len(found), pa.int32())], ["id", "sign", "label"]
-                )
-
-    rows = written(sample.select("id", "text", "label").mapInArrow(read, "id long, sign string, label int"), "toxic-signs")
-    counts = rows.groupBy("sign").agg(F.sum("label").alias("bad"), F.count("*").alias("n"))
-    likely = counts.where((F.col("bad") >= LEAST_COVER) & (F.col("bad") >= LEAST_RIGHT * F.col("n")))
-    likely = F.broadcast(likely.orderBy(F.desc("bad"), "sign").limit(MOST_CANDIDATES).select("sign"))
-    # Bounded by the sample and the candidates.
-    hits: dict[str, tuple[set, set]] = defaultdict(lambda: (set(), set()))
-    for r in rows.join(likely, "sign").select("sign", "id", "label").toLocalIterator():
-        hits[r["sign"]][1 if r["label"] else 0].add(r["id"])
-    totals = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
-    signs: dict[str, float] = {}
-    covered_good: set = set()
-    covered_bad: set = set()
-    left = {s: (set(good), set(bad)) for s, (good, bad) in hits.items()}
-    while left and len(signs) < MOST_SIGNS:
-        # Whole words before beginnings, longer beginnings before shorter, where they cover as much.
-        best = max(left, key=lambda s: (len(left[s][1]) - 4 * len(left[s][0]), not s.endswith("~"), len(s), s))
-        good, bad = left.pop(best)
-        if len(bad) < LEAST_COVER or len(bad) < LEAST_RIGHT * (len(bad) + len(good)):
-            break
-        all_good, all_bad = hits[best]
-        signs[best] = (len(all_bad) + 0.5) / (len(all_bad) + len(all_good) + 1)
-        covered_good |= good
-        covered_bad |= bad
-        left = {s: (g - good, b - bad) for s, (g, b) in left.items()}
-        left = {s: v for s, v in left.items() if len(v[1]) >= LEAST_COVER}
-    missed = totals.get(1, 0) - len(covered_bad)
-    rest = missed + totals.get(0, 0) - len(covered_good)
+        bad, n = Counter(), Counter()
+
+        def summed() -> pa.RecordBatch:
+            found = list(n)
+            out = pa.RecordBatch.from_arrays(
+                [pa.array(found, pa.string()), pa.array([bad[s] for s in found], pa.int64()), pa.array([n[s] for s in found], pa.int64())], ["sign", "bad", "n"]
+            )
+            bad.clear()
+            n.clear()
+            return out
+
+        for part in in_parts(batches):
+            for t, y in zip(*(c.to_pylist() for c in part.columns)):
+                found = reader.signs(t)
+                n.update(found)
+                if y:
+                    for s in found:
+                        bad[s] += y
+                if len(n) > _COUNTED:
+                    yield summed()
+        yield summed()
+
+    rows = texts.select("text", "label").mapInArrow(count, "sign string, bad long, n long")
+    counts = rows.groupBy("sign").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
+    return written(counts.where((F.col("bad") >= LEAST_COVER) & (F.col("bad") >= LEAST_RIGHT * F.col("n"))), "toxic-possible")
+
+
+def _sign_sets(texts: DataFrame, model: CharModel, possible: DataFrame) -> DataFrame:
+    """``bad, signs, n``: the sets of possible signs that documents have, equal ones counted."""
+    few = possible.limit(BROADCAST_SIGNS + 1).count() <= BROADCAST_SIGNS
+    wanted = frozenset(r["sign"] for r in possible.select("sign").collect()) if few else None
+    shared = texts.sparkSession.sparkContext.broadcast((model, wanted))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, wanted = shared.value
+        reader = Reader(model, wanted, frozenset())
+        for part in in_parts(batches):
+            ids, signs, bad = [], [], []
+            for i, t, y in zip(*(c.to_pylist() for c in part.columns)):
+                found = reader.signs(t) if wanted is None else reader.signs(t) & wanted
+                ids += [i] * len(found)
+                signs += found
+                bad += [bool(y)] * len(found)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, kind), pa.array(signs, pa.string()), pa.array(bad, pa.bool_())], ["id", "sign", "bad"])
+
+    kind = to_arrow_type(texts.schema["id"].dataType)
+    rows = texts.select("id", "text", "label").mapInArrow(read, f"id {texts.schema['id'].dataType.simpleString()}, sign string, bad boolean")
+    if not few:
+        rows = rows.join(possible.select("sign"), "sign")
+    sets = rows.groupBy("id", "bad").agg(F.sort_array(F.collect_list("sign")).alias("signs"))
+    return written(sets.groupBy("bad", "signs").agg(F.count("*").alias("n")), "toxic-sets")
+
+
+def _rank(sign: str, bad: int, good: int) -> tuple:
+    """Whole words before beginnings, longer beginnings before shorter, where they cover as much."""
+    return bad - 4 * good, not sign.endswith("~"), len(sign), sign
+
+
+class _Digest:
+    """Sets of signs with their documents, as arrays on the driver."""
+
+    def __init__(self, sets: list):
+        self.names = sorted({s for r in sets for s in r["signs"]})
+        number = {s: i for i, s in enumerate(self.names)}
+        size = np.array([len(r["signs"]) for r in sets], np.int64)
+        self.owner = np.repeat(np.arange(len(sets)), size)
+        self.sign = np.fromiter((number[s] for r in sets for s in r["signs"]), np.int64, int(size.sum()))
+        self.n = np.array([r["n"] for r in sets], np.int64)
+        self.is_bad = np.array([r["bad"] for r in sets], bool)
+        by_sign = np.argsort(self.sign, kind="stable")
+        self.sets_of = np.split(self.owner[by_sign], np.cumsum(np.bincount(self.sign, minlength=len(self.names)))[:-1]) if self.names else []
+        first = np.concatenate(([0], np.cumsum(size)))
+        self.signs_of = [self.sign[a:b] for a, b in zip(first, first[1:])]
+        weights = lambda bad: np.bincount(self.sign, np.where(self.is_bad == bad, self.n, 0)[self.owner], len(self.names)).astype(np.int64)
+        self.bad, self.good = weights(True), weights(False)
+        self.open = np.ones(len(sets), bool)
+
+    def best(self) -> str | None:
+        """The sign that comes next, of those that still cover enough."""
+        left = np.flatnonzero(self.bad >= LEAST_COVER)
+        if not len(left):
+            return None
+        gain = self.bad[left] - 4 * self.good[left]
+        return max((self.names[i] for i in left[gain == gain.max()]), key=lambda s: _rank(s, 0, 0))
+
+    def counts(self, sign: str) -> tuple[int, int]:
+        i = int(np.searchsorted(self.names, sign))
+        return int(self.bad[i]), int(self.good[i])
+
+    def take(self, sign: str) -> None:
+        """The documents that the sign covers count no more."""
+        for k in self.sets_of[int(np.searchsorted(self.names, sign))]:
+            if self.open[k]:
+                self.open[k] = False
+                (self.bad if self.is_bad[k] else self.good)[self.signs_of[k]] -= self.n[k]
+
+
+def _listed(signs: list[str]) -> Column:
+    return F.from_json(F.lit(json.dumps(signs)), "array<string>")
+
+
+def _digest(sets: DataFrame, ranked: DataFrame) -> tuple[_Digest, int]:
+    """The sets cut to as many signs as the driver may see, and the most toxic documents that a sign left out has."""
+    size = sets.agg(F.sum(F.size("signs"))).first()[0] or 0
+    if size <= DIGEST:
+        return _Digest(sets.collect()), -1
+    most = ROUND_SIGNS
+    while True:
+        top = ranked.orderBy(F.desc("bad"), "sign").limit(most + 1).collect()
+        kept = F.array_intersect("signs", _listed([r["sign"] for r in top[:most]]))
+        cut = sets.select("bad", F.sort_array(kept).alias("signs"), "n").where(F.size("signs") > 0).groupBy("bad", "signs").agg(F.sum("n").alias("n"))
+        cut = written(cut, "toxic-digest")
+        if most <= 16 or cut.agg(F.sum(F.size("signs"))).first()[0] <= DIGEST:
+            return _Digest(cut.collect()), top[most]["bad"] if len(top) > most else -1
+        most //= 2
+
+
+def _chosen(sets: DataFrame) -> tuple[list[str], int, int]:
+    """The signs in the order of their choice, and the toxic and other documents that they cover."""
+    chosen: list[str] = []
+    covered = [0, 0]
+    while True:
+        side = lambda bad: F.sum(F.when(F.col("bad") == bad, F.col("n")).otherwise(0))
+        ranked = sets.select("bad", "n", F.explode("signs").alias("sign")).groupBy("sign").agg(side(True).alias("bad"), side(False).alias("good")).where(F.col("bad") >= LEAST_COVER)
+        digest, others = _digest(sets, ranked)
+        taken: list[str] = []
+        ended = False
+        while not ended and len(chosen) < MOST_SIGNS:
+            best, exact = digest.best(), others < 0
+            if best is not None:
+                bad, good = digest.counts(best)
+                exact = exact or bad - 4 * good > others
+            if not exact:
+                if taken:
+                    break
+                # Nothing is sure from the digest alone: the first of all signs is.
+                first = ranked.orderBy(F.desc(F.expr("bad - 4 * good")), F.endswith("sign", F.lit("~")), F.desc(F.length("sign")), F.desc("sign")).first()
+                best, bad, good = (first["sign"], first["bad"], first["good"]) if first else (None, 0, 0)
+            if best is None or bad < LEAST_COVER or bad < LEAST_RIGHT * (bad + good):
+                ended = True
+                break
+            taken.append(best)
+            chosen.append(best)
+            covered = [covered[0] + bad, covered[1] + good]
+            if not exact:
+                break
+            digest.take(best)
+        if ended or others < 0 or len(chosen) >= MOST_SIGNS:
+            return chosen, *covered
+        sets = written(sets.where(~F.arrays_overlap("signs", _listed(taken))), "toxic-sets-left")
+
+
+def learn(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic") -> tuple[CharModel, dict[str, float], float]:
+    """The character model, the signs with the chance that each is right, and the score without a sign.
+
+    Every labelled text outside the held-out rows is counted.
+    """
+    texts = _labelled(docs, labels, text, doc_id, label)
+    model = _char_model(texts)
+    possible = _possible(texts, model)
+    sets = _sign_sets(texts, model, possible)
+    chosen, covered_bad, covered_good = _chosen(sets)
+    side = lambda bad: F.sum(F.when(F.col("bad") == bad, F.col("n")).otherwise(0))
+    found = sets.select("bad", "n", F.explode("signs").alias("sign")).where(F.array_contains(_listed(chosen), F.col("sign")))
+    counts = {r["sign"]: (r["b"], r["g"]) for r in found.groupBy("sign").agg(side(True).alias("b"), side(False).alias("g")).collect()}
+    signs = {s: (counts[s][0] + 0.5) / (sum(counts[s]) + 1) for s in chosen}
+    totals = {r["label"]: r["count"] for r in texts.groupBy("label").count().collect()}
+    missed = totals.get(1, 0) - covered_bad
+    rest = missed + totals.get(0, 0) - covered_good
     return model, signs, (missed + 0.5) / (rest + 1) if totals.get(1) else 0.0
 
 
@@ -308,7 +490,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model, signs, base = shared.value
         reader = Reader(model, frozenset(signs))
-        for texts in batches:
+        for texts in in_parts(batches):
             out = []
             for t in texts:
                 wrong = 1.0 - base

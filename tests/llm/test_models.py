@@ -51,6 +51,61 @@ def test_toxicity_edges(spark):
     assert toxicity.toxicity(docs.limit(0), labels).count() == 0
 
 
+def test_signs_are_learned_from_every_labelled_row(spark):
+    ids = spark.range(26_000).withColumnRenamed("id", "doc_id").where("crc32(cast(doc_id as string)) % 5 <> 0")
+    last = [r.doc_id for r in ids.orderBy(F.xxhash64("doc_id").desc()).limit(3).collect()]
+    docs = ids.withColumn("text", F.when(F.col("doc_id").isin(last), "a badword here").otherwise("all is fine here"))
+    labels = ids.withColumn("toxic", F.col("doc_id").isin(last).cast("int"))
+    model, signs, _ = toxicity.learn(docs, labels)
+    assert ids.count() > 20_000
+    assert signs == {"badword": 3.5 / 4}
+    assert model.words == {"a": 3, "badword": 3, "here": ids.count(), "all": ids.count() - 3, "is": ids.count() - 3, "fine": ids.count() - 3}
+
+
+def greedy(rows):
+    chosen, left = [], list(rows)
+    while len(chosen) < toxicity.MOST_SIGNS:
+        bad = Counter(s for y, signs in left if y for s in signs)
+        good = Counter(s for y, signs in left if not y for s in signs)
+        able = [s for s in bad if bad[s] >= toxicity.LEAST_COVER]
+        if not able:
+            break
+        best = max(able, key=lambda s: (bad[s] - 4 * good[s], not s.endswith("~"), len(s), s))
+        if bad[best] < toxicity.LEAST_RIGHT * (bad[best] + good[best]):
+            break
+        chosen.append(best)
+        left = [(y, signs) for y, signs in left if best not in signs]
+    gone = len(rows) - len(left)
+    gone_bad = sum(y for y, _ in rows) - sum(y for y, _ in left)
+    return chosen, gone_bad, gone - gone_bad
+
+
+@pytest.mark.parametrize("digest", [1 << 21, 0])
+def test_signs_chosen_in_rounds_are_those_of_all_at_once(spark, monkeypatch, digest):
+    monkeypatch.setattr(toxicity, "DIGEST", digest)
+    monkeypatch.setattr(toxicity, "ROUND_SIGNS", 3)
+    rng = random.Random(5)
+    names = [f"sign{i}" for i in range(8)] + [f"si{i}~" for i in range(6)]
+    rows = []
+    for _ in range(400):
+        signs = rng.sample(names, rng.choice([1, 1, 2, 3]))
+        rows.append((rng.random() < 0.95 - 0.15 * any(s.endswith("~") for s in signs), signs))
+    sets = spark.createDataFrame(rows, "bad boolean, signs array<string>").select("bad", F.sort_array("signs").alias("signs")).groupBy("bad", "signs").agg(F.count("*").alias("n"))
+    got = toxicity._chosen(sets)
+    assert len(got[0]) > 4
+    assert got == greedy(rows)
+
+
+def test_repeated_ids_and_spaced_words_are_counted_once(spark):
+    docs = spark.createDataFrame([(1, "b a d words"), (1, "b a d words"), (2, "words only"), (2, "a only")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0)], "doc_id long, toxic int")
+    texts = toxicity._labelled(docs, labels, "text", "doc_id", "toxic")
+    assert sorted(tuple(r) for r in texts.select("id", "text", "label").collect()) == [(1, "b a d words", 1), (2, "a only", 0)]
+    model = toxicity._char_model(texts)
+    assert model.words == {"words": 1, "a": 1, "only": 1}
+    assert model.pairs["\x00b"] == 1 and model.pairs["\x00a"] == 2 and model.pairs["ds"] == 1
+
+
 def test_language_on_held_out_documents(spark):
     rows = QUERIES["op9_langid"](spark, SF).join(table(spark, SF, "documents").select("doc_id", "lang"), "doc_id").collect()
     assert len(rows) == 1000
