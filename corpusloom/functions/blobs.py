@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import gzip
 import zlib
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
+from corpusloom.functions.batches import in_parts
+
 
 def _unpacked(data):
     try:
@@ -27,30 +30,40 @@ def _decoded(data, charset, errors):
         return None
 
 
-@F.pandas_udf(BinaryType())
-def _gunzip(data: pd.Series) -> pd.Series:
-    return data.map(_unpacked)
+def _rows(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[list[tuple]]:
+    """Bytes and charsets of some rows at a time."""
+    for batch in in_parts(pa.RecordBatch.from_arrays(list(c), ["data", "charset"]) for c in columns):
+        yield list(zip(*(c.to_pylist() for c in batch.columns)))
+
+
+@F.arrow_udf(BinaryType())
+def _gunzip(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for data in in_parts(batches):
+        yield pa.array([_unpacked(d) for d in data.to_pylist()], pa.binary())
 
 
-@F.pandas_udf(StringType())
-def _decode_lossy(data: pd.Series) -> pd.Series:
-    return data.map(lambda d: _decoded(d, "utf-8", "ignore"))
+@F.arrow_udf(StringType())
+def _decode_lossy(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for data in in_parts(batches):
+        yield pa.array([_decoded(d, "utf-8", "ignore") for d in data.to_pylist()], pa.string())
 
 
-@F.pandas_udf(StringType())
-def _decode_as(data: pd.Series, charset: pd.Series) -> pd.Series:
-    return pd.Series([_decoded(d, c, "strict") for d, c in zip(data, charset)], dtype="object")
+@F.arrow_udf(StringType())
+def _decode_as(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    for rows in _rows(columns):
+        yield pa.array([_decoded(d, c, "strict") for d, c in rows], pa.string())
 
 
-@F.pandas_udf(StringType())
-def _unpacked_text(data: pd.Series) -> pd.Series:
-    return data.map(lambda d: _decoded(_unpacked(d), "utf-8", "ignore"))
+@F.arrow_udf(StringType())
+def _unpacked_text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for data in in_parts(batches):
+        yield pa.array([_decoded(_unpacked(d), "utf-8", "ignore") for d in data.to_pylist()], pa.string())
 
 
-@F.pandas_udf(StringType())
-def _unpacked_text_as(data: pd.Series, charset: pd.Series) -> pd.Series:
-    texts = [_decoded(_unpacked(d), c, "strict") for d, c in zip(data, charset)]
-    return pd.Series(texts, dtype="object")
+@F.arrow_udf(StringType())
+def _unpacked_text_as(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    for rows in _rows(columns):
+        yield pa.array([_decoded(_unpacked(d), c, "strict") for d, c in rows], pa.string())
 
 
 def unpack_text(col: Column, charset: Column | None = None) -> Column:
