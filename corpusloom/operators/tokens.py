@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
+from corpusloom.functions.batches import in_parts
 from corpusloom.functions.words import byte_alphabet
 from corpusloom.operators.bpe import BpeModel, Merge
 from corpusloom.operators.merging import MergeTable, merge_words
@@ -20,6 +21,8 @@ from corpusloom.operators.positions import batch_of_n
 
 MAX_LENGTH = 8192
 LABEL_IGNORED = -100
+# Bytes of word lists encoded at a time; the arrays made of them are some twenty times as large.
+_ENCODED_BYTES = 1 << 22
 
 
 def split_special(col: Column, special: Sequence[str], split) -> Column:
@@ -132,7 +135,7 @@ def encode_words(spark: SparkSession, words: Column, model: BpeModel, max_length
     @F.arrow_udf(ArrayType(IntegerType()))
     def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _WordEncoder(*shipped.value)
-        for lists in batches:
+        for lists in in_parts(batches, _ENCODED_BYTES):
             ids = _encode_lists(lists, encoder)
             yield ids if max_length is None else pc.list_slice(ids, 0, max_length)
 
