@@ -9,6 +9,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
@@ -18,6 +19,7 @@ from corpusloom.functions.words import byte_alphabet
 from corpusloom.operators.bpe import BpeModel, Merge
 from corpusloom.operators.merging import MergeTable, merge_words
 from corpusloom.operators.positions import batch_of_n
+from corpusloom.session import written
 
 MAX_LENGTH = 8192
 LABEL_IGNORED = -100
@@ -158,11 +160,21 @@ def causal_batch(df: DataFrame, order, n: int, pad_id: int = 1, col: str = "inpu
     """Consecutive rows in batches of ``n``, each padded to its longest row.
 
     Adds ``batch``, ``attention_mask`` and ``labels`` (the ids, with the pad id replaced by -100).
-    A batch has ``n`` rows, so the window over it stays small.
+    A batch has ``n`` rows, so the window over it stays small. Ids are written once and moved once; places
+    and widths come from the other columns and the sizes.
     """
-    rows = batch_of_n(df, order, n)
-    widest = F.max(F.size(col)).over(Window.partitionBy("batch"))
-    sized = rows.withColumn("_size", F.size(col)).withColumn("_width", widest)
+    rows = written(df.withColumn("_row", F.monotonically_increasing_id()), "causal-rows")
+    keys = [order] if isinstance(order, (str, Column)) else list(order)
+    sizes = rows.withColumn("_size", F.size(col))
+    try:
+        narrow = sizes.drop(col)
+        narrow.sort(*keys)
+    except AnalysisException:  # the order goes by the ids themselves
+        narrow = sizes
+    widest = F.max("_size").over(Window.partitionBy("batch"))
+    # Ties keep their input order.
+    placed = batch_of_n(narrow, [*keys, "_row"], n).select("_row", "batch", "_size", widest.alias("_width"))
+    sized = rows.join(placed.hint("shuffle_hash"), "_row").select(*df.columns, "batch", "_size", "_width")
     gap = F.col("_width") - F.col("_size")
     pad = F.array_repeat(F.lit(pad_id), gap)
     padded = sized.withColumn(col, F.concat(F.col(col), pad)).withColumn(

@@ -77,3 +77,23 @@ def test_encode_needs_no_shuffle(spark, tmp_path):
     spark.createDataFrame([("the",)], "text string").write.parquet(str(tmp_path / "t"))
     frame = tokens.encode(spark.read.parquet(str(tmp_path / "t")), "text", model_of(library(TRAINING, 70, 1)))
     assert "Exchange" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_causal_batch_makes_each_row_once_and_keeps_ties_in_input_order(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<int>")
+    def ids(i):
+        made.add(1)
+        return [i] * (i % 5)
+
+    frame = spark.range(40, numPartitions=3).select(F.col("id").cast("int").alias("i"), F.lit(7).alias("same"), ids.asNondeterministic()("id").alias("input_ids"))
+    got = tokens.causal_batch(frame, [F.desc("same")], 4).collect()
+    assert made.value == 40
+    assert {r.i: r.batch for r in got} == {i: i // 4 for i in range(40)}
+    for r in got:
+        width = max(i % 5 for i in range(r.batch * 4, r.batch * 4 + 4))
+        assert r.input_ids == [r.i] * (r.i % 5) + [1] * (width - r.i % 5)
+        assert r.attention_mask == [1] * (r.i % 5) + [0] * (width - r.i % 5)
+    by_size = tokens.causal_batch(frame, F.size("input_ids"), 8).collect()
+    assert {r.i % 5: r.batch for r in by_size} == {k: k for k in range(5)}
