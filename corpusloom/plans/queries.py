@@ -833,9 +833,10 @@ def decode_tokens(spark, sf_dir):
 def stream_corpus(spark, sf_dir):
     """JSON lines taken in by a stream, one file at a time, in two runs over the same folder."""
     folder, out, state = (scratch_path(spark, x) for x in ("intake", "cleaned", "intake-state"))
-    lines = _document_lines(spark, sf_dir)
+    # A few files, put together without a shuffle of the texts.
+    lines = _document_lines(spark, sf_dir).coalesce(4)
     for _ in range(2):
-        sinks.write_lines(lines.repartition(4), folder, mode="append")
+        sinks.write_lines(lines, folder, mode="append")
         incremental_corpus(spark, folder, out, state, max_files_per_trigger=3).awaitTermination()
     return spark.read.schema("content string").json(out)
 
