@@ -77,18 +77,93 @@ def _features(word: str) -> list[int]:
     return [zlib.crc32(f"w{w}".encode()) % BUCKETS, *map(_cells.__getitem__, dict.fromkeys(names))]
 
 
+def _crc_steps() -> np.ndarray:
+    steps = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        steps = (steps >> 1) ^ np.where(steps & 1, np.uint32(0xEDB88320), np.uint32(0))
+    return steps
+
+
+_CRC = _crc_steps()
+
+
+def _cells_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """``_features`` of trimmed words with a letter, one after another, and how many each word has.
+
+    All checksums grow by one character at a time, those of all words together.
+    """
+    edged = "".join([f"^{w}$" for w in words])
+    code, raw = np.frombuffer(edged.encode("utf-32-le"), "<u4"), np.frombuffer(edged.encode(), np.uint8)
+    width = 1 + (code >= 0x80).astype(np.int64) + (code >= 0x800) + (code >= 0x10000)
+    byte = np.cumsum(width) - width
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    first = np.cumsum(size + 2) - size - 1
+
+    def after(state: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Checksums that have also read the characters at some places."""
+        b, w = byte[at], width[at]
+        state = _CRC[(state ^ raw[b]) & 255] ^ (state >> 8)
+        for k in range(1, 4):
+            wide = np.flatnonzero(w > k)
+            if not len(wide):
+                break
+            s = state[wide]
+            state[wide] = _CRC[(s ^ raw[b[wide] + k]) & 255] ^ (s >> 8)
+        return state
+
+    def opened(kind: bytes, n: int) -> np.ndarray:
+        return np.full(n, zlib.crc32(kind) ^ 0xFFFFFFFF, np.uint32)
+
+    heads, tails = np.minimum(size, 3), np.minimum(size, 4)
+    n = 2 + heads + tails + 2 * size
+    base = np.cumsum(n) - n
+    state = np.empty(int(n.sum()), np.uint32)
+    state[base] = np.fromiter((zlib.crc32(f"w{w}".encode()) for w in words), np.uint32, len(words)) ^ np.uint32(0xFFFFFFFF)
+    found, some = opened(b"p", len(words)), np.arange(len(words))
+    for k in range(3):
+        some = np.flatnonzero(size > k)
+        found[some] = after(found[some], first[some] + k)
+        state[base[some] + 1 + k] = found[some]
+    for k in range(1, 5):
+        some = np.flatnonzero(size >= k)
+        found = opened(b"s", len(some))
+        for back in range(k, 0, -1):
+            found = after(found, first[some] + size[some] - back)
+        state[base[some] + heads[some] + k] = found
+    # Two characters begin at every place but a word's last, three at every place but its last two.
+    owner = np.repeat(np.arange(len(words)), size + 1)
+    place = np.arange(len(owner)) - np.repeat(np.cumsum(size + 1) - size - 1, size + 1)
+    at, to = first[owner] - 1 + place, (base + 1 + heads + tails)[owner] + place
+    two = after(after(opened(b"g", len(at)), at), at + 1)
+    state[to] = two
+    inner = np.flatnonzero(place < size[owner])
+    state[to[inner] + size[owner[inner]] + 1] = after(two[inner], at[inner] + 2)
+    cells = ((state ^ np.uint32(0xFFFFFFFF)) % BUCKETS).astype(np.int64)
+    # A word that repeats two of its letters may repeat a feature, which counts once.
+    pairs = owner << 42 | code[at].astype(np.int64) << 21 | code[at + 1]
+    pairs.sort()
+    again = np.unique(pairs[1:][pairs[1:] == pairs[:-1]] >> 42)
+    if len(again):
+        keep = np.ones(len(cells), dtype=bool)
+        for i in again:
+            own = _features(words[i])
+            cells[base[i] : base[i] + len(own)] = own
+            keep[base[i] + len(own) : base[i] + n[i]] = False
+            n[i] = len(own)
+        cells = cells[keep]
+    return cells, n
+
+
 class Field:
     """Weights of a trained chain: ``emit`` by feature and language, ``move`` from language to language."""
 
     def __init__(self, languages: list[str], emit: np.ndarray, move: np.ndarray, start: np.ndarray):
         self.languages, self.emit, self.move, self.start = languages, emit, move, start
 
-    def scores(self, features: list[list[int]]) -> np.ndarray:
-        """The scores of some words by their features, none of which are empty."""
-        sizes = np.array([len(f) for f in features])
-        ends = np.cumsum(sizes)
-        flat = np.fromiter((x for f in features for x in f), np.int64, ends[-1])
-        return np.add.reduceat(self.emit[flat], ends - sizes, axis=0) / np.sqrt(sizes)[:, None]
+    def scores(self, words: list[str]) -> np.ndarray:
+        """The scores of some trimmed words with a letter by their features."""
+        cells, sizes = _cells_of(words)
+        return np.add.reduceat(self.emit.take(cells, axis=0), np.cumsum(sizes) - sizes, axis=0) / np.sqrt(sizes)[:, None]
 
 
 def _chain(scores: np.ndarray, lengths: np.ndarray, move: np.ndarray, start: np.ndarray, pairs: bool = False):
@@ -267,21 +342,23 @@ class Labeller:
     def _learn(self, words: list[str]) -> None:
         """Scores of words that are not known yet; -1 for one without letters."""
         for at in range(0, len(words), _WORDS_SCORED):
-            part = [(w, f) for w in words[at : at + _WORDS_SCORED] if (f := _features(w))]
-            self.known.update(dict.fromkeys(words[at : at + _WORDS_SCORED], -1))
-            if not part:
-                continue
-            while self.used + len(part) > len(self.table):
-                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-            self.table[self.used : self.used + len(part)] = self.field.scores([f for _, f in part])
-            self.known.update(zip((w for w, _ in part), range(self.used, self.used + len(part))))
-            self.used += len(part)
+            part = words[at : at + _WORDS_SCORED]
+            trimmed = [w.strip(_EDGES).lower() for w in part]
+            places = {w: -1 for w in trimmed}
+            new = [w for w in places if _LETTER.search(w)]
+            if new:
+                while self.used + len(new) > len(self.table):
+                    self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+                self.table[self.used : self.used + len(new)] = self.field.scores(new)
+                places.update(zip(new, range(self.used, self.used + len(new))))
+                self.used += len(new)
+            self.known.update(zip(part, map(places.__getitem__, trimmed)))
 
     def documents(self, texts: list[str | None]) -> list[tuple[str, float]]:
         if len(self.known) > _KNOWN_WORDS:
             self.known, self.used = {}, 0
         split = [(t or "").split() for t in texts]
-        self._learn([w for w in dict.fromkeys(w for words in split for w in words) if w not in self.known])
+        self._learn(list(set().union(*split) - self.known.keys()))
         rows = []
         for i, words in enumerate(split):
             ids = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))

@@ -124,6 +124,26 @@ def test_language_edges(spark):
     assert langid.languages(blank).first().lang_pred == "und"
 
 
+def test_features_of_many_words_at_once(monkeypatch):
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyzäßéñı0159'-^$" + "日本語Ж" + "😀𝒳"
+    words = ["a", "ß", "𝒳", "日本", "banana", "aaa", "^a$", "x" * 3000, "Ж'日😀a"]
+    words += ["a" + "".join(rng.choice(letters) for _ in range(rng.randrange(1, 14))) for _ in range(3000)]
+    words = [w for w in dict.fromkeys(w.strip(langid._EDGES).lower() for w in words) if langid._features(w)]
+    cells, sizes = langid._cells_of(words)
+    own = [langid._features(w) for w in words]
+    assert sizes.tolist() == list(map(len, own)) and cells.tolist() == [x for f in own for x in f]
+    # Only words that repeat two letters are taken one by one.
+    calls, real = [], langid._features
+    monkeypatch.setattr(langid, "_features", lambda w: calls.append(w) or real(w))
+    field = langid.Field(["de", "en"], np.random.default_rng(1).normal(size=(langid.BUCKETS, 2)).astype(np.float32), np.zeros((2, 2)), np.zeros(2))
+    found = langid.Labeller(field).documents(["The banana, 12 words; (the) Banana!", None, "..."])
+    assert calls == ["banana"] and found[1:] == [("und", 0.0)] * 2
+    emit = [field.emit[real(w)].sum(axis=0) / np.sqrt(len(real(w))) for w in ("the", "banana", "words", "the", "banana")]
+    odds = np.exp(emit) / np.exp(emit).sum(axis=1, keepdims=True)
+    assert math.isclose(found[0][1], odds.mean(axis=0).max(), rel_tol=1e-5)
+
+
 def test_forward_backward_equals_enumeration():
     rng = np.random.default_rng(2)
     scores, lengths = rng.normal(size=(7, 3)), np.array([4, 3])
