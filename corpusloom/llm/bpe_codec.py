@@ -25,6 +25,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions.batches import in_parts
+
 # Pieces are cut where white space follows other text; these are the white space of the pattern.
 _WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 # Distinct words kept with their ids, in each of two generations, and the longest ones kept.
@@ -180,6 +182,10 @@ class Encoder:
         self.known[word] = packed
         return packed
 
+    def forget(self) -> None:
+        """Frees what is kept of the texts so far; a worker that goes on to other work would hold it."""
+        self.known, self.older, self.fits = {}, {}, {}
+
     def encode(self, text: str) -> bytes:
         known, other = self.known.get, self._word
         return b"".join([known(w) or other(w) for w in self.words.findall(text)])
@@ -202,8 +208,9 @@ def encoded(text: Column, path: str, pattern: str) -> Column:
     @F.arrow_udf("binary")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = _encoder(path, pattern)
-        for texts in batches:
+        for texts in in_parts(batches):
             yield pa.array([own.encode(t.as_py() or "") for t in texts], pa.binary())
+        own.forget()
 
     # Its result is used more than once; it must not be worked out again for each use.
     return encode.asNondeterministic()(text)
@@ -215,7 +222,7 @@ def decoded(ids: Column, path: str) -> Column:
     @F.arrow_udf("binary")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = _decoder(path)
-        for values in batches:
+        for values in in_parts(batches):
             yield pa.array([own.decode(v.as_py() or b"") for v in values], pa.binary())
 
     return decode(ids)
@@ -234,7 +241,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text", kee
     @F.arrow_udf("struct<ids:binary,decoded:binary>")
     def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder, decoder = _encoder(path, pattern), _decoder(path)
-        for texts in batches:
+        for texts in in_parts(batches):
             ids = [encoder.encode(t.as_py() or "") for t in texts]
             yield pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(map(decoder.decode, ids), pa.binary())], ["ids", "decoded"])
 

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.functions.batches import in_parts
 from corpusloom.llm.graph import connected_components
 from corpusloom.llm.shingles import Shingler
 from corpusloom.session import written
@@ -67,7 +68,7 @@ def _frequent(docs: DataFrame, text: str, width: int) -> tuple[np.ndarray, np.nd
             u, at = np.unique(both, return_inverse=True)
             return u, np.bincount(at, np.concatenate([kept_n, n[n > 1]]), len(u)).astype(np.int64)
 
-        for batch in batches:
+        for batch in in_parts(batches):
             for s in shingler.sets(batch.column(0)):
                 pending.append(s)
                 size += len(s)
@@ -111,7 +112,7 @@ def _sets(docs: DataFrame, text: str, doc_id: str, width: int, num: int, den: in
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, (often, counts) = Shingler(width), last.value
-        for batch in batches:
+        for batch in in_parts(batches):
             sizes, digests, prefixes, bitmaps = [], [], [], []
             for s in shingler.sets(batch.column(1)):
                 n = len(s)
@@ -155,18 +156,18 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, text: str, doc
             out.append(_may_link(x, y, apart, num, den))
         return pd.Series(out, dtype=bool)
 
-    @F.pandas_udf(T.BooleanType())
-    def linked(sa: pd.Series, sb: pd.Series) -> pd.Series:
+    @F.arrow_udf("boolean")
+    def linked(sa: pa.Array, sb: pa.Array) -> pa.Array:
         out = []
         for x, y in zip(sa, sb):
-            x, y = np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)
+            x, y = np.frombuffer(x.as_buffer(), np.int64), np.frombuffer(y.as_buffer(), np.int64)
             same = len(np.intersect1d(x, y, assume_unique=True))
             out.append(den * same >= num * (len(x) + len(y) - same))
-        return pd.Series(out, dtype=bool)
+        return pa.array(out, pa.bool_())
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(width)
-        for batch in batches:
+        for batch in in_parts(batches):
             found = pa.array([s.tobytes() for s in shingler.sets(batch.column(1))], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), found], ["doc_id", "elements"])
 

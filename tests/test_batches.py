@@ -1,8 +1,12 @@
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from corpusloom.functions.batches import in_parts
 from corpusloom.functions.blobs import _decode_as
+from corpusloom.llm.bpe_codec import _encoder, decoded, encoded, round_trip
+from corpusloom.llm.ngram_join import _sets
+from corpusloom.llm.queries import public_ranks
 from corpusloom.operators.bpe import bpe_train
 from corpusloom.operators.piece_codec import decode_pieces, encode_pieces
 from corpusloom.operators.pieces import CONTROL_SYMBOLS, MARK, USER_SYMBOLS, PieceModel, byte_pieces
@@ -51,6 +55,35 @@ def test_word_lists_are_encoded_in_small_parts(spark, monkeypatch):
     assert [None if r is None else len(r) for r in ids] == [None if r is None else len(ids[3]) * len(r) for r in rows]
 
 
+def test_byte_level_ids_are_made_in_small_parts(spark, monkeypatch):
+    path, pattern = public_ranks()
+    docs = spark.createDataFrame([("ab",)], "text string")
+    to_ids, to_bytes, both = captured(
+        monkeypatch,
+        lambda: (encoded(F.lit("a"), path, pattern), decoded(F.lit(b"a"), path), round_trip(docs, path, pattern, keep=())),
+    )
+    texts = ["ab cé" * 300_000, None, "ab"] * 4
+    ids = list(to_ids(iter([pa.array(texts)])))
+    assert len(ids) >= 4 and sum(map(len, ids)) == 12
+    assert not _encoder(path, pattern).known and not _encoder(path, pattern).fits
+    back = list(to_bytes(iter([pa.concat_arrays(ids)])))
+    assert len(back) >= 4 and [t.decode() for p in back for t in p.to_pylist()] == [t or "" for t in texts]
+    rows = list(both(iter([pa.array(texts)])))
+    assert len(rows) >= 4 and [r["decoded"].decode() for p in rows for r in p.to_pylist()] == [t or "" for t in texts]
+
+
+def test_shingle_sets_are_made_in_small_parts(spark, monkeypatch):
+    docs, made = spark.createDataFrame([(1, "a")], "doc_id long, text string"), []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, schema: made.append(f))
+    last = spark.sparkContext.broadcast((np.zeros(0, np.int64), np.zeros(0, np.int64)))
+    _sets(docs, "text", "doc_id", 5, 80, 100, last)
+    texts = ["some words of a text " * 40_000, None, "a b"] * 4
+    batch = pa.RecordBatch.from_arrays([pa.array(range(12)), pa.array(texts)], ["doc_id", "text"])
+    out = list(made[0](iter([batch])))
+    assert len(out) >= 4 and [r["doc_id"] for p in out for r in p.to_pylist()] == list(range(12))
+    assert [r["n"] for p in out for r in p.select(["n"]).to_pylist()] == [5, 0, 1] * 4
+
+
 def test_bytes_are_decoded_in_small_parts():
     texts = ["ä" * 500_000, None, "b"] * 4
     data = pa.array([t and t.encode("utf-16-le") for t in texts], pa.binary())
