@@ -15,7 +15,7 @@ from corpusloom.llm.mixing import mixed
 from corpusloom.llm.ngram_join import ngram_jaccard
 from corpusloom.llm.queries import public_ranks
 from corpusloom.llm.toxicity import toxicity
-from corpusloom.session import written
+from corpusloom.session import small_batches, written
 
 # A document with this score or more is rejected.
 TOXIC = 0.5
@@ -46,6 +46,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with ``n_tokens`` and ``token_ids`` (little-endian unsigned 32-bit integers)."""
+    small_batches(spark)
     coded = docs.withColumn("token_ids", encoded(F.col("text"), *public_ranks()))
     return coded.withColumn("n_tokens", n_tokens(F.col("token_ids")))
 

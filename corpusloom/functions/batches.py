@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
 from typing import TypeVar
 
 import pyarrow as pa
@@ -23,6 +25,25 @@ def parts(batch: Batch, most: int = PART_BYTES) -> Iterator[Batch]:
         yield from parts(batch.slice(half), most)
 
 
+def give_back() -> None:
+    """Hands freed memory to the system; the allocators would keep it while a worker waits for its next task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:  # only the GNU library has it
+        trim(0)
+
+
+def giving_back(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The work of a task, after which its memory is given back."""
+
+    @wraps(work)
+    def task(batches):
+        yield from work(batches)
+        give_back()
+
+    return task
+
+
 def in_parts(batches: Iterable[Batch], most: int = PART_BYTES) -> Iterator[Batch]:
     """The parts of all batches."""
     for batch in batches:

@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.batches import in_parts
+from corpusloom.functions.batches import giving_back, in_parts
 
 # Pieces are cut where white space follows other text; these are the white space of the pattern.
 _WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
@@ -206,6 +206,7 @@ def encoded(text: Column, path: str, pattern: str) -> Column:
     """Ids of a text as little-endian unsigned 32-bit integers."""
 
     @F.arrow_udf("binary")
+    @giving_back
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = _encoder(path, pattern)
         for texts in in_parts(batches):

@@ -31,10 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.functions.batches import in_parts
+from corpusloom.functions.batches import giving_back, in_parts
 from corpusloom.llm.graph import connected_components
 from corpusloom.llm.shingles import Shingler
-from corpusloom.session import written
+from corpusloom.session import small_batches, written
 
 # Shingles put last in the order, at most; they only decide the order, never what is compared.
 ORDERED_LAST = 1 << 17
@@ -55,29 +55,43 @@ def least_overlap(n, num: int, den: int):
     return -(-num * n // den)
 
 
+class _Repeats:
+    """Elements met more than once within ``_PENDING`` elements of a task, with the sums of their counts."""
+
+    def __init__(self):
+        self.pending, self.size = np.empty(_PENDING, np.int64), 0
+        self.values, self.n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, s: np.ndarray) -> None:
+        if self.size + len(s) > len(self.pending):
+            self.merge()
+            if len(s) > len(self.pending):
+                self.pending = np.empty(len(s), np.int64)
+        self.pending[self.size : self.size + len(s)] = s
+        self.size += len(s)
+
+    def merge(self) -> None:
+        # Sorted in place, so that only what repeats is copied.
+        met, self.size = self.pending[: self.size], 0
+        met.sort()
+        values, n = np.unique(met[1:][met[1:] == met[:-1]], return_counts=True)
+        counts = np.concatenate([self.n, n + 1])
+        self.values, at = np.unique(np.concatenate([self.values, values]), return_inverse=True)
+        self.n = np.bincount(at, counts, len(self.values)).astype(np.int64)
+
+
 def _frequent(docs: DataFrame, text: str, width: int) -> tuple[np.ndarray, np.ndarray]:
     """The shingles most repeated within tasks, with the sums of their counts, sorted by shingle."""
 
+    @giving_back
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, pending, size = Shingler(width), [], 0
-        kept, kept_n = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-        def merge():
-            values, n = np.unique(np.concatenate(pending), return_counts=True) if pending else (kept[:0], kept_n[:0])
-            both = np.concatenate([kept, values[n > 1]])
-            u, at = np.unique(both, return_inverse=True)
-            return u, np.bincount(at, np.concatenate([kept_n, n[n > 1]]), len(u)).astype(np.int64)
-
+        shingler, met = Shingler(width), _Repeats()
         for batch in in_parts(batches):
             for s in shingler.sets(batch.column(0)):
-                pending.append(s)
-                size += len(s)
-                if size > _PENDING:
-                    kept, kept_n = merge()
-                    pending, size = [], 0
-        kept, kept_n = merge()
-        often = kept_n >= LOCAL_COUNT
-        yield pa.RecordBatch.from_arrays([pa.array(kept[often]), pa.array(kept_n[often])], ["shingle", "n"])
+                met.add(s)
+        met.merge()
+        often = met.n >= LOCAL_COUNT
+        yield pa.RecordBatch.from_arrays([pa.array(met.values[often]), pa.array(met.n[often])], ["shingle", "n"])
 
     found = (
         docs.select(text).mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
@@ -110,6 +124,7 @@ def _may_link(nx, ny, apart, num: int, den: int):
 def _sets(docs: DataFrame, text: str, doc_id: str, width: int, num: int, den: int, last) -> DataFrame:
     """Per row: size, digest, the longest prefix that any choice of ``l`` needs, and the bitmap."""
 
+    @giving_back
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, (often, counts) = Shingler(width), last.value
         for batch in in_parts(batches):
@@ -165,6 +180,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, text: str, doc
             out.append(den * same >= num * (len(x) + len(y) - same))
         return pa.array(out, pa.bool_())
 
+    @giving_back
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(width)
         for batch in in_parts(batches):
@@ -255,6 +271,7 @@ def ngram_jaccard(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", w
     ``component_id`` is the smallest ``doc_id`` that links reach, the row's own included.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     last = spark.sparkContext.broadcast(_frequent(docs, text, width))
     sets = written(_sets(docs, text, doc_id, width, num, den, last), "sets")
     equal = sets.where("n > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("same_as"))

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 # Texts are hashed in pieces of about this many bytes, so that memory does not follow their length.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 
 # Odd constants: the base of the rolling hash and one multiplier per place in a shingle.
 _BASE = 0x9E3779B97F4A7C15

@@ -34,9 +34,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from corpusloom.functions.batches import in_parts
+from corpusloom.functions.batches import giving_back, in_parts
 from corpusloom.llm.folds import held_out
-from corpusloom.session import written
+from corpusloom.session import small_batches, written
 
 # Labelled rows whose ids are broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 2_000_000
@@ -262,24 +262,29 @@ def _labelled(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, label:
 
 
 def _char_model(texts: DataFrame) -> CharModel:
+    @giving_back
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Words, and what they are more or less where spaced characters are taken out.
         words, apart = Counter(), Counter()
 
         def summed() -> pa.RecordBatch:
-            counts: Counter = Counter()
+            pairs: Counter = Counter()
             for w, n in words.items():
                 if w.isalpha():
                     for a, b in zip(_EDGE + w, w + _EDGE):
-                        counts[False, a + b] += n
-            for w in words.keys() | apart.keys():
-                if w.isalpha() and len(w) <= _LONGEST_WORD:
-                    counts[True, w] = words[w] + apart[w]
+                        pairs[a + b] += n
+            found = [w for c, other in ((words, ()), (apart, words)) for w in c if w not in other and w.isalpha() and len(w) <= _LONGEST_WORD]
+            out = pa.RecordBatch.from_arrays(
+                [
+                    pa.array([False] * len(pairs) + [True] * len(found), pa.bool_()),
+                    pa.array([*pairs, *found], pa.string()),
+                    pa.array([*pairs.values(), *(words[w] + apart[w] for w in found)], pa.int64()),
+                ],
+                ["whole", "key", "n"],
+            )
             words.clear()
             apart.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in counts], pa.bool_()), pa.array([k[1] for k in counts], pa.string()), pa.array(list(counts.values()), pa.int64())], ["whole", "key", "n"]
-            )
+            return out
 
         for part in in_parts(batches):
             for t in part.column(0).to_pylist():
@@ -307,6 +312,7 @@ def _char_model(texts: DataFrame) -> CharModel:
 def _possible(texts: DataFrame, model: CharModel) -> DataFrame:
     """``sign, bad, n`` of the signs that are right often enough, over all labelled texts."""
 
+    @giving_back
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(model)
         bad, n = Counter(), Counter()
@@ -342,6 +348,7 @@ def _sign_sets(texts: DataFrame, model: CharModel, possible: DataFrame) -> DataF
     wanted = frozenset(r["sign"] for r in possible.select("sign").collect()) if few else None
     shared = texts.sparkSession.sparkContext.broadcast((model, wanted))
 
+    @giving_back
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, wanted = shared.value
         reader = Reader(model, wanted, frozenset())
@@ -483,10 +490,12 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
 
 def toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic") -> DataFrame:
     """The rows of ``docs`` with ``toxicity_score`` from 0 to 1; signs are learned outside the held-out rows."""
+    small_batches(docs.sparkSession)
     model, signs, base = learn(docs, labels, text, doc_id, label)
     shared = docs.sparkSession.sparkContext.broadcast((model, signs, base))
 
     @F.arrow_udf("double")
+    @giving_back
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model, signs, base = shared.value
         reader = Reader(model, frozenset(signs))

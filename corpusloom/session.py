@@ -18,6 +18,10 @@ _MOST_RANGES = 400_000
 # Spark's estimate for rows it knows nothing about is the largest long.
 _UNKNOWN_BYTES = 1 << 60
 
+# Bytes of an Arrow batch on its way to Python, and the setting for it.
+_BATCH_BYTES = 1 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _local_dirs: dict[str, str] = {}
 _scopes: list[str] = []
 
@@ -87,6 +91,17 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the Arrow batches of the session by about 1 MB; a single row may be larger.
+
+    Spark fills a batch up to 10,000 rows or 64 MB, which both the JVM and Python hold, growing copies besides; rows of
+    whole texts or sets reach that. Frames are lazy, so the setting stays. A smaller one of the caller is kept.
+    """
+    now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(_BATCH_SETTING))
+    if now > _BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, str(_BATCH_BYTES))
+
+
 def in_stable_order(df: DataFrame) -> DataFrame:
     """The rows in an order that repeats when a task is run again.
 
