@@ -24,6 +24,8 @@ HEAVY = 1000
 COUNTERS = 16384
 # Rows that make a digest worth the broadcast.
 HEAVY_ROWS = 32
+# Winners of the other digests with several rows that are broadcast; more are joined by a shuffle.
+BROADCAST_WINNERS = 200_000
 
 # Working columns beside those of the caller.
 _DIGEST, _BEST, _HEAVY_BEST, _COPY = "dedup digest", "dedup best", "dedup heavy best", "dedup copy"
@@ -72,7 +74,7 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     """The rows of ``docs`` that stay, with their columns.
 
     Decisions are made on digests alone. Rows of heavy digests are removed where they are read; the
-    others meet only the winners of digests that have several rows. Of rows that repeat text and
+    others meet only the winners of digests that have several rows; texts move only where those are many. Of rows that repeat text and
     ``doc_id`` one is taken, by their other columns.
     """
     rows = written(
@@ -90,6 +92,8 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
 
     heavy = written(several(rows.join(names, "text_sha256")), "heavy-winners")
     light = written(several(rows.join(names, "text_sha256", "left_anti")), "winners")
+    if light.limit(BROADCAST_WINNERS + 1).count() <= BROADCAST_WINNERS:
+        light = F.broadcast(light)
     best = F.col(f"`{_BEST}`")
     stays = best.isNull() | best["doc_id"].eqNullSafe(F.col(f"`{doc_id}`").cast("long"))
     left = docs.withColumn(_DIGEST, text_sha256(F.col(f"`{text}`")))

@@ -1,3 +1,4 @@
+import importlib
 import random
 
 import pytest
@@ -99,3 +100,22 @@ def test_exact_groups_and_dedup(spark):
     stay = exact_dedup(docs)
     assert stay.columns == docs.columns
     assert sorted((r.doc_id or 0, r.text) for r in stay.collect()) == [(0, "z"), (2, ""), (5, "k "), (6, "k"), (399, "hot")]
+
+
+def test_texts_move_only_where_many_digests_repeat(spark, monkeypatch):
+    module = importlib.import_module("corpusloom.llm.exact_dedup")
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    rows = [(i, f"text {i // 2}" if i < 40 else f"single {i}", i % 3) for i in range(60)] + [(1, "text 0", 7), (None, "single 50", 1), (70, None, 2), (71, "", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, extra int")
+    kept = []
+    spark.conf.set(setting, "-1")
+    try:
+        for most in (module.BROADCAST_WINNERS, 0):
+            monkeypatch.setattr(module, "BROADCAST_WINNERS", most)
+            left = exact_dedup(docs)
+            kept.append((sorted(map(tuple, left.collect()), key=str), left._jdf.queryExecution().executedPlan().toString()))
+    finally:
+        spark.conf.unset(setting)
+    assert kept[0][0] == kept[1][0]
+    assert {r[0] for r in kept[0][0]} == {*range(1, 40, 2), *range(40, 60), 71}
+    assert "SortMergeJoin" not in kept[0][1] and "SortMergeJoin" in kept[1][1]
